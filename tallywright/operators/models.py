@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.numbers import class_probability
 
+# Fewer rows than this per core cost more to schedule than to compute.
+ROWS_PER_CORE = 1000
+
 
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
@@ -28,6 +31,27 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         stored.unpersist()
 
 
+@contextmanager
+def training_rows(df: DataFrame) -> Iterator[DataFrame]:
+    """A kept frame which gives every core of the cluster some of its rows.
+
+    The solvers work by partition. Rows that lie in fewer partitions than there
+    are cores are dealt out once, ahead of the many passes; any other frame, and
+    one too small to gain by it, stays as it is, without a shuffle. Counting the
+    partitions fills the cache.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    with kept(df) as rows:
+        sizes = rows.groupBy(F.spark_partition_id().alias("part")).count()
+        found = sizes.agg(F.count("part").alias("parts"), F.sum("count").alias("rows")).first()
+        wanted = min(cores, (found["rows"] or 0) // ROWS_PER_CORE)
+        if found["parts"] >= wanted:
+            yield rows
+            return
+        with kept(rows.repartition(wanted)) as dealt:
+            yield dealt
+
+
 def logistic(label: str, max_iter: int = 10, threshold: float | None = None, **params: object) -> LogisticRegression:
     """Logistic regression; a threshold makes it predict 1 only above it."""
     model = LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter, **params)
@@ -54,7 +78,7 @@ def forest_regressor(label: str, trees: int = 50, depth: int = 6, seed: int = 42
 
 def fit(estimator: Estimator, train: DataFrame, columns: Sequence[str]) -> Model:
     """Fit on the named columns only, kept for the passes of the solver."""
-    with kept(train.select(*columns)) as rows:
+    with training_rows(train.select(*columns)) as rows:
         return estimator.fit(rows)
 
 

@@ -6,8 +6,12 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.operators.models import kept
 from tallywright.sources.scratch import scratch_root
 
+LEAST_BLOCKS = 10
+RATINGS_PER_BLOCK = 20_000_000
+
 
 def als(
     user: str = "user_id",
@@ -16,12 +20,10 @@ def als(
     rank: int = 10,
     max_iter: int = 10,
     reg: float = 0.1,
-    blocks: int = 10,
     seed: int = 42,
 ) -> ALS:
     """Explicit ratings, factors not below zero. Users and items that were not
-    trained on get no prediction: their rows are dropped. ``blocks`` sets how
-    far the work is divided and should grow with the cluster."""
+    trained on get no prediction: their rows are dropped."""
     return ALS(
         userCol=user,
         itemCol=item,
@@ -29,8 +31,6 @@ def als(
         rank=rank,
         maxIter=max_iter,
         regParam=reg,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
         nonnegative=True,
         coldStartStrategy="drop",
         seed=seed,
@@ -38,14 +38,21 @@ def als(
     )
 
 
-def fit_als(estimator: ALS, train: DataFrame) -> ALSModel:
-    """Fit on the three columns needed; every fifth iteration goes to the shared
-    folder, so the lineage of the factors stays short."""
+def fit_als(estimator: ALS, train: DataFrame, blocks: int | None = None) -> ALSModel:
+    """Fit on the three columns needed.
+
+    Users and items are divided into ten blocks, and into more as the ratings
+    grow, so that a block stays within one task's memory. Every fifth iteration
+    goes to the shared folder, which keeps the lineage of the factors short.
+    """
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(train.sparkSession))
     columns = [estimator.getUserCol(), estimator.getItemCol(), estimator.getRatingCol()]
-    return estimator.fit(train.select(*columns))
+    with kept(train.select(*columns)) as rows:
+        if blocks is None:
+            blocks = max(LEAST_BLOCKS, -(-rows.count() // RATINGS_PER_BLOCK))
+        return estimator.copy().setNumBlocks(blocks).fit(rows)
 
 
 def top_items(model: ALSModel, k: int = 3) -> DataFrame:

@@ -41,13 +41,12 @@ def term_frequency(df: DataFrame, key: str, words: str) -> DataFrame:
     words is counted there: nothing is shuffled, and the work is n log n in the
     length of the document.
     """
-    ordered = df.select(key, F.array_sort(tokens.without_empty(F.col(words))).alias("_w"))
+    ordered = df.select(key, F.sort_array(tokens.without_empty(F.col(words))).alias("_w"))
     size = F.size("_w")
-    first_of_run = F.filter(
-        F.sequence(F.lit(0), size - 1),
-        lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)),
-    )
-    starts = ordered.filter(size > 0).withColumn("_starts", first_of_run)
+    # No filter on the size: pushed to the scan, it would split the text twice.
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    first_of_run = F.filter(places, lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
+    starts = ordered.withColumn("_starts", first_of_run)
     runs = F.transform(
         "_starts",
         lambda start, j: F.struct(

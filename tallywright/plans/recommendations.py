@@ -27,21 +27,21 @@ def recommendations(
     rank: int = 10,
     max_iter: int = 10,
     rounded: bool = False,
-    blocks: int = 10,
+    blocks: int | None = None,
     seed: int = 42,
     output: str | None = None,
 ) -> Recommendations:
-    """Factors of 80 % of the ratings, evaluated on the others.
+    """Factors of 80 % of the ratings, evaluated on the others. The ratings are
+    stored once, since training and evaluation both read them.
 
     The comparison table counts predictions rounded to cents; ``rounded`` makes
     the error figures use these too.
     """
-    complete = cleaning.drop_nulls(df.select("user_id", "product_id", "rating"))
+    complete = stored(cleaning.drop_nulls(df.select("user_id", "product_id", "rating")), "ratings")
     train, test = split.hash_split(complete, ["user_id", "product_id"], (0.8, 0.2), seed)
-    estimator = recommend.als(rank=rank, max_iter=max_iter, blocks=blocks, seed=seed)
-    model = recommend.fit_als(estimator, train)
+    model = recommend.fit_als(recommend.als(rank=rank, max_iter=max_iter, seed=seed), train, blocks)
     scores = metrics.with_rounded(model.transform(test), "prediction", "rounded")
-    predictions = stored(scores, "ratings")
+    predictions = stored(scores, "rating-predictions")
     if output is not None:
         write_csv(predictions, output)
     return Recommendations(

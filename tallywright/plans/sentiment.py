@@ -40,7 +40,7 @@ def sentiment_model(
     a sentiment only the test rows have counts as missed.
     """
     posts = cleaning.drop_nulls(df, [*keys, "post_text", "sentiment"])
-    words = text.ml_words(posts, "post_text", "filtered_words")
+    words = stored(text.ml_words(posts, "post_text", "filtered_words"), "post-words")
     train, test = split.hash_split(words, keys, (0.8, 0.2), seed)
     labels = indexing.string_indexer(["sentiment"], ["label"], "error").fit(train)
     train = labels.transform(train).select(*keys, "filtered_words", "label")

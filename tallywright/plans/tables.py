@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import unit_hash
+from tallywright.sources.readers import spread_small_scan
 
 # Fixed values of the transaction data: merchant and region names.
 MERCHANTS = ("Grocery", "Fuel", "Electronics", "Travel", "Food", "Clothing")
@@ -215,6 +216,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as posts without a sentiment."""
-    return table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("post_id"), F.col("text").alias("post_text")
     )
+    return spread_small_scan(documents)

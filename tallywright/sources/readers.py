@@ -19,3 +19,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """A scan dealt out over all cores where it has fewer partitions than these.
+
+    For costly work on each row of a few files. A scan of many files passes
+    through as it is. Only for frames read from files: asking a frame with a
+    shuffle for its partitions would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
