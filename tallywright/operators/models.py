@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions.numbers import class_probability
+from tallywright.sources.scratch import ensure_checkpoint_dir
 
 # Fewer rows than this per core cost more to schedule than to compute.
 ROWS_PER_CORE = 1000
@@ -65,19 +66,38 @@ def forest_classifier(
     weight: str | None = None,
     seed: int = 42,
     max_bins: int = 32,
+    cache_nodes: bool = True,
 ) -> RandomForestClassifier:
+    """``cache_nodes`` keeps the node each row has reached in each tree, rather
+    than walking down all trees again at every level."""
     model = RandomForestClassifier(
-        labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins
+        labelCol=label,
+        featuresCol="features",
+        numTrees=trees,
+        maxDepth=depth,
+        seed=seed,
+        maxBins=max_bins,
+        cacheNodeIds=cache_nodes,
     )
     return model.setWeightCol(weight) if weight is not None else model
 
 
-def forest_regressor(label: str, trees: int = 50, depth: int = 6, seed: int = 42) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
+def forest_regressor(
+    label: str, trees: int = 50, depth: int = 6, seed: int = 42, cache_nodes: bool = True
+) -> RandomForestRegressor:
+    return RandomForestRegressor(
+        labelCol=label,
+        featuresCol="features",
+        numTrees=trees,
+        maxDepth=depth,
+        seed=seed,
+        cacheNodeIds=cache_nodes,
+    )
 
 
 def fit(estimator: Estimator, train: DataFrame, columns: Sequence[str]) -> Model:
     """Fit on the named columns only, kept for the passes of the solver."""
+    ensure_checkpoint_dir(train.sparkSession)
     with training_rows(train.select(*columns)) as rows:
         return estimator.fit(rows)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.operators.models import kept
-from tallywright.sources.scratch import scratch_root
+from tallywright.sources.scratch import ensure_checkpoint_dir
 
 LEAST_BLOCKS = 10
 RATINGS_PER_BLOCK = 20_000_000
@@ -45,9 +45,7 @@ def fit_als(estimator: ALS, train: DataFrame, blocks: int | None = None) -> ALSM
     grow, so that a block stays within one task's memory. Every fifth iteration
     goes to the shared folder, which keeps the lineage of the factors short.
     """
-    context = train.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(train.sparkSession))
+    ensure_checkpoint_dir(train.sparkSession)
     columns = [estimator.getUserCol(), estimator.getItemCol(), estimator.getRatingCol()]
     with kept(train.select(*columns)) as rows:
         if blocks is None:

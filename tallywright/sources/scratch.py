@@ -11,20 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own. On a
-    cluster a folder of one machine would lose data with that machine.
+    Without that setting it is the checkpoint folder of the running context.
+    Only a local session that has neither gets a folder of its own: on a cluster
+    a folder of one machine would lose data with that machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder which all executors can reach")
     own = tempfile.mkdtemp(prefix="tallywright-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    spark.sparkContext.setCheckpointDir(own)
+    context.setCheckpointDir(own)
     return own
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give the context a checkpoint folder where it has none yet."""
+    root = scratch_root(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call uses."""
     return f"{scratch_root(spark)}/tallywright/{name}-{uuid.uuid4().hex}"
