@@ -23,7 +23,7 @@ def _step_below(p: Column, step: float, steps: int) -> Column:
     up = guess + 1
     exact_up = (up <= steps) & (up.cast("double") * F.lit(step) <= p)
     exact = guess.cast("double") * F.lit(step) <= p
-    return F.when(exact_up, up).when(exact, guess).otherwise(guess - 1)
+    return F.greatest(F.when(exact_up, up).when(exact, guess).otherwise(guess - 1), F.lit(-1))
 
 
 def threshold_sweep(

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywright.functions.hashing import unit_hash
+from tallywright.operators import balance, split
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y")).persist()
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+LAYOUTS = (1, 4, 7)
+
+
+def same_in_each_layout(df, operator):
+    results = [operator(df.repartition(n)) for n in LAYOUTS]
+    assert results[0] == results[1] == results[2]
+    return results[0]
+
+
+def test_hash_is_uniform_and_depends_on_the_seed(spark):
+    u = spark.range(20_000).select(unit_hash("id").alias("a"), unit_hash("id", seed=7).alias("b"))
+    row = u.agg(F.min("a"), F.max("a"), F.avg("a"), F.corr("a", "b")).first()
+    assert row[0] >= 0 and row[1] < 1
+    assert abs(row[2] - 0.5) < 0.01 and abs(row[3]) < 0.05
+
+
+def test_hash_of_null_is_a_value(spark):
+    assert spark.sql("select cast(null as int) as k").select(unit_hash("k").alias("u")).first()["u"] is not None
+
+
+def test_split_is_whole_disjoint_and_stable(labelled):
+    def parts(df):
+        train, test = split.hash_split(df, ["id"])
+        return rows(train), rows(test)
+
+    train, test = same_in_each_layout(labelled, parts)
+    assert sorted(train + test) == rows(labelled)
+    assert 750 < len(train) < 850
+
+
+def test_three_way_split_equals_part_numbers(labelled):
+    parts = split.hash_split(labelled, ["id"], (0.64, 0.16, 0.2))
+    numbered = split.with_part(labelled, ["id"], "part", (0.64, 0.16, 0.2))
+    for i, part in enumerate(parts):
+        assert rows(part) == rows(numbered.filter(F.col("part") == i).drop("part"))
+
+
+def test_rows_of_one_key_stay_together(spark):
+    df = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    train, test = split.hash_split(df, ["k"])
+    assert not {r["k"] for r in train.collect()} & {r["k"] for r in test.collect()}
+
+
+def test_random_split_is_whole(labelled):
+    parts = split.random_split(labelled)
+    assert sum(p.count() for p in parts) == 1000
+    assert not split.is_empty(parts[0])
+    assert split.is_empty(labelled.limit(0))
+
+
+def test_oversampling_balances_and_is_stable(labelled):
+    result = same_in_each_layout(labelled, lambda df: rows(balance.oversample_minority(df, "y", ["id"])))
+    counts = Counter(y for _, y in result)
+    assert counts[0] == 900
+    assert counts[1] == 900  # 900 / 100 is whole: nine copies of each
+    assert set(Counter(i for i, y in result if y == 1).values()) == {9}
+
+
+def test_oversampling_with_a_rest(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7 == 0).cast("int").alias("y"))
+    copies = Counter(r["id"] for r in balance.oversample_minority(df, "y", ["id"]).filter("y = 1").collect())
+    assert set(copies.values()) == {5, 6}
+    assert len(copies) == 143 and abs(sum(copies.values()) - 857) < 40
+
+
+def test_oversampling_numbers_the_copies(labelled):
+    df = balance.oversample_minority(labelled, "y", ["id"], copy_column="copy").filter("id = 10")
+    assert sorted(r["copy"] for r in df.collect()) == list(range(1, 10))
+
+
+def test_oversampling_without_a_class(labelled):
+    only_zero = labelled.filter("y = 0")
+    assert balance.oversample_minority(only_zero, "y", ["id"]).count() == 900
+    assert balance.oversample_minority(labelled.filter("y = 1"), "y", ["id"]).count() == 0
+
+
+def test_oversampling_scans_once_and_does_not_shuffle(labelled):
+    df = balance.oversample_minority(labelled, "y", ["id"])
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in text and "Join" not in text
+
+
+def test_poisson_mode(labelled):
+    counts = {r["y"]: r["count"] for r in balance.oversample_poisson(labelled, "y").groupBy("y").count().collect()}
+    assert counts[0] == 900 and 780 < counts[1] < 1020
+
+
+def test_class_weights(spark):
+    df = spark.createDataFrame([(0,)] * 20 + [(1,)] * 30 + [(None,)], "disease int")
+    weights = {r["disease"]: r["weight"] for r in balance.class_weights(df, "disease").collect()}
+    assert weights == {0: 50 / 40, 1: 50 / 60}
+    joined = balance.with_class_weights(df, "disease", "w").groupBy("disease").agg(F.first("w").alias("w"))
+    assert {r["disease"]: r["w"] for r in joined.collect()} == {0: 1.25, 1: 50 / 60, None: None}
+
+
+def test_class_weights_of_three_classes(spark):
+    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2 + [("c",)] * 4, "y string")
+    weights = {r["y"]: r["weight"] for r in balance.class_weights(df, "y").collect()}
+    assert weights == {"a": 12 / 18, "b": 12 / 6, "c": 12 / 12}
+    assert balance.class_weights(df, "y", classes=2).filter("y = 'c'").first()["weight"] == 12 / 8
+
+
+def test_a_key_is_no_class_label(spark):
+    with pytest.raises(ValueError, match="no class label"):
+        balance.with_class_weights(spark.range(2000), "id", "w")
+
+
+def test_binary_weights_guard_an_absent_class(labelled):
+    one = balance.with_binary_weights(labelled.filter("y = 1"), "y", "w").first()["w"]
+    assert one == 0.5
+    both = {r["y"]: r["w"] for r in balance.with_binary_weights(labelled, "y", "w").select("y", "w").distinct().collect()}
+    assert both == {0: 1000 / 1800, 1: 1000 / 200}
