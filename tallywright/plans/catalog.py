@@ -36,9 +36,12 @@ def _query(function: Query) -> Query:
 
 
 def _clean(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """Cleaned sales of the named columns and those cleaning itself needs."""
+    """Cleaned sales of the named columns and those cleaning itself needs. Dates
+    are repaired on the orders, before these meet their lines."""
     needed = ("order_date", "price", "qty")
-    return sales.clean_sales(tables.sales(spark, sf, [*needed, *[c for c in columns if c not in needed]]))
+    wanted = [*needed, *[c for c in columns if c not in needed]]
+    rows = tables.sales(spark, sf, wanted, lambda orders: cleaning.repair_dates(orders, "order_date"))
+    return sales.clean_sales(rows)
 
 
 # Sources and sinks
@@ -269,7 +272,7 @@ def sales_clean(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def sales_prepared(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaned rows that all sales reports start from."""
-    rows = sales.clean_sales(tables.sales(spark, sf))
+    rows = _clean(spark, sf, *tables.SALES_COLUMNS)
     return rows.withColumn("revenue", F.col("revenue").cast("double"))
 
 
@@ -513,7 +516,7 @@ def churn_lr(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def price_rf(spark: SparkSession, sf: str) -> DataFrame:
-    clean = sales.clean_sales(tables.sales(spark, sf))
+    clean = _clean(spark, sf, *tables.SALES_COLUMNS)
     result = sales.price_model(clean, ["order_id"])
     return result.predictions.select("order_id", "qty", "price", "prediction")
 

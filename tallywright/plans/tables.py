@@ -7,7 +7,7 @@ is left out by that.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +60,17 @@ def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str, columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:
-    """Order lines as raw sales. Only the tables that ``columns`` need are joined."""
+def sales(
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Sequence[str] = SALES_COLUMNS,
+    per_order: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Order lines as raw sales. Only the tables that ``columns`` need are joined.
+
+    ``per_order`` is a step on columns of the order alone. It runs before the
+    lines are joined, so once per order instead of once per line.
+    """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -69,6 +78,8 @@ def sales(spark: SparkSession, sf_dir: str, columns: Sequence[str] = SALES_COLUM
         _null_every("o_orderkey", 13, F.col("o_orderpriority")).alias("payment_method"),
         F.col("o_orderstatus").alias("order_status"),
     )
+    if per_order is not None:
+        orders = per_order(orders)
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         "l_partkey",
