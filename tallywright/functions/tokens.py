@@ -42,9 +42,12 @@ def tokenize(text: Column) -> Column:
     return F.when(only_blank, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
 
 
-def without_stop_words(words: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
-    """Words not in the list. A word with punctuation is a different word."""
-    return F.filter(words, lambda word: ~F.lower(word).isin(*stop_words))
+def without_stop_words(
+    words: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, lower_case: bool = False
+) -> Column:
+    """Words not in the list, in whatever case. A word with punctuation is a
+    different word. ``lower_case`` says that the words are lower-case already."""
+    return F.filter(words, lambda word: ~(word if lower_case else F.lower(word)).isin(*stop_words))
 
 
 def without_empty(words: Column) -> Column:

@@ -11,6 +11,9 @@ from tallywright.functions.hashing import unit_hash
 
 # More values than this make a column something else than a class label.
 MAX_CLASSES = 1000
+# Copies made of a row at a time, and how many such chunks a task should get.
+COPIES_PER_ROW = 10_000
+CHUNKS_PER_TASK = 100
 
 
 def split_by_class(df: DataFrame, label: str, positive: int = 1, negative: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -28,9 +31,9 @@ def class_weights(df: DataFrame, label: str, classes: int | None = None) -> Data
     Rows without a label belong to no class and are left out.
     """
     counts = class_counts(df.filter(F.col(label).isNotNull()), label)
-    total = counts.agg(F.sum("n_rows")).scalar()
-    k = F.lit(classes) if classes is not None else counts.agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("weight", total / (k * F.col("n_rows")))
+    sums = counts.agg(F.struct(F.sum("n_rows").alias("total"), F.count(F.lit(1)).alias("k"))).scalar()
+    k = F.lit(classes) if classes is not None else sums["k"]
+    return counts.withColumn("weight", sums["total"] / (k * F.col("n_rows")))
 
 
 def with_class_weights(df: DataFrame, label: str, output: str, classes: int | None = None) -> DataFrame:
@@ -57,11 +60,11 @@ def with_binary_weights(df: DataFrame, label: str, output: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
     )
 
-    def weight(name: str) -> Column:
-        guarded = F.when(F.col(name) > 0, F.col("n") / (2 * F.col(name))).otherwise(F.lit(0.0))
-        return counts.select(guarded.alias(name)).scalar()
+    def weight(n: str) -> Column:
+        return F.when(F.col(n) > 0, F.col("n") / (2 * F.col(n))).otherwise(F.lit(0.0))
 
-    return df.withColumn(output, y * weight("n1") + (1 - y) * weight("n0"))
+    weights = counts.select(F.struct(weight("n1").alias("w1"), weight("n0").alias("w0"))).scalar()
+    return df.withColumn(output, y * weights["w1"] + (1 - y) * weights["w0"])
 
 
 def oversample_minority(
@@ -72,6 +75,7 @@ def oversample_minority(
     minority: int = 1,
     majority: int = 0,
     copy_column: str | None = None,
+    copies_per_row: int = COPIES_PER_ROW,
 ) -> DataFrame:
     """All majority rows, and the minority rows repeated up to the same number.
 
@@ -79,27 +83,41 @@ def oversample_minority(
     once more where the hash of its key is below the rest of m. The row's key
     alone decides, so partitioning and retries do not change the result, and one
     scan yields both classes. ``copy_column`` numbers the copies of a row.
+
+    Where a row has more than ``copies_per_row`` copies, they are made in chunks
+    which are dealt out first, so that many tasks share the copies of one row.
     """
     counts = df.agg(
         F.count_if(F.col(label) == majority).alias("n0"), F.count_if(F.col(label) == minority).alias("n1")
-    )
-    guarded = F.when(F.col("n1") > 0, F.col("n0") / F.col("n1")).otherwise(F.lit(0.0))
-    ratio = counts.select(guarded.alias("ratio")).scalar()
-    whole = F.floor(F.col("_ratio"))
-    extra = (unit_hash(*keys, seed=seed) < F.col("_ratio") - whole).cast("int")
-    copies = F.when(F.col(label) == majority, F.lit(1)).otherwise((whole + extra).cast("int"))
+    ).first()
+    ratio = counts["n0"] / counts["n1"] if counts["n1"] else 0.0
+    whole = int(ratio)
+    extra = (unit_hash(*keys, seed=seed) < F.lit(ratio - whole)).cast("bigint")
+    copies = F.when(F.col(label) == majority, F.lit(1)).otherwise(F.lit(whole) + extra)
     out = copy_column or "_copy"
-    repeated = (
-        df.filter(F.col(label).isin(majority, minority))
-        .withColumn("_ratio", ratio)
-        .withColumn("_copies", copies)
-        .filter(F.col("_copies") > 0)
-        .withColumn(out, F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_ratio", "_copies")
-    )
+    if ratio <= copies_per_row:
+        rows = df.filter(F.col(label).isin(majority, minority)).withColumn("_copies", copies)
+        repeated = _repeated(rows, F.lit(1), F.col("_copies"), out).drop("_copies")
+    else:
+        small, large = split_by_class(df, label, minority, majority)
+        counted = small.withColumn("_copies", copies)
+        first = F.sequence(F.lit(1), F.col("_copies"), F.lit(copies_per_row))
+        chunks = counted.withColumn("_first", F.explode(first))
+        n_chunks = -(-counts["n0"] // copies_per_row)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        dealt = chunks.repartition(max(cores, -(-n_chunks // CHUNKS_PER_TASK)))
+        last = F.least(F.col("_copies"), F.col("_first") + (copies_per_row - 1))
+        many = _repeated(dealt, F.col("_first"), last, out).drop("_copies", "_first")
+        repeated = large.withColumn(out, F.lit(1)).unionByName(many)
     return repeated if copy_column else repeated.drop(out)
 
 
+def _repeated(rows: DataFrame, first: Column, last: Column, output: str) -> DataFrame:
+    """Each row once for every number from ``first`` to ``last``."""
+    numbers = F.sequence(first.cast("int"), last.cast("int"))
+    return rows.filter(last >= first).withColumn(output, F.explode(numbers))
+
+
 def oversample_poisson(
     df: DataFrame, label: str, seed: int = 42, minority: int = 1, majority: int = 0
 ) -> DataFrame:

@@ -17,7 +17,7 @@ def with_words(df: DataFrame, text: str, output: str) -> DataFrame:
 
 def with_filtered_words(df: DataFrame, text: str, output: str) -> DataFrame:
     """Words of the text without English stop words."""
-    return df.withColumn(output, tokens.without_stop_words(tokens.tokenize(F.col(text))))
+    return df.withColumn(output, tokens.without_stop_words(tokens.tokenize(F.col(text)), lower_case=True))
 
 
 def ml_words(df: DataFrame, text: str, output: str) -> DataFrame:

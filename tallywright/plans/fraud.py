@@ -113,8 +113,11 @@ def fraud_forest(
     def score(part: DataFrame) -> DataFrame:
         return models.with_class_probability(model.transform(part))
 
-    test = stored(score(held_out[-1]), "fraud-scores")
-    chosen_on = stored(score(held_out[0]).select(LABEL, "probability_1"), "fraud-validation") if with_validation else test
+    test = score(held_out[-1])
+    if with_validation:
+        chosen_on = stored(score(held_out[0]).select(LABEL, "probability_1"), "fraud-validation")
+    else:
+        chosen_on = test = stored(test, "fraud-scores")
     sweep = thresholds.threshold_sweep(chosen_on, LABEL, "probability_1")
     best = thresholds.best_threshold(sweep)
     final = stored(thresholds.apply_threshold(test, "probability_1", best), "fraud-forest", output)

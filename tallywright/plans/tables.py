@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import unit_hash
+from tallywright.operators.lookup import attach_lookup
 from tallywright.sources.readers import spread_small_scan
+from tallywright.sources.scratch import materialize
 
 # Fixed values of the transaction data: merchant and region names.
 MERCHANTS = ("Grocery", "Fuel", "Electronics", "Travel", "Food", "Clothing")
@@ -194,10 +196,17 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings predicted by the mean of their product: a score without a model."""
-    rows = ratings(spark, sf_dir)
-    means = rows.groupBy("product_id").agg((F.sum("points") / F.sum("n_lines")).alias("prediction"))
-    return rows.join(means, "product_id").select("user_id", "product_id", "rating", "prediction")
+    """Ratings predicted by the mean of their product: a score without a model.
+
+    The ratings are stored, as both sides of the join come from them. A product
+    with very many ratings is divided by the lookup.
+    """
+    rows = materialize(ratings(spark, sf_dir), "ratings")
+    means = rows.groupBy("product_id").agg(
+        (F.sum("points") / F.sum("n_lines")).alias("prediction"), F.count(F.lit(1)).alias("n_ratings")
+    )
+    joined = attach_lookup(rows, materialize(means, "means"), "product_id", "n_ratings", "user_id")
+    return joined.select("user_id", "product_id", "rating", "prediction")
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:

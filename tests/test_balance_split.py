@@ -88,6 +88,18 @@ def test_oversampling_numbers_the_copies(labelled):
     assert sorted(r["copy"] for r in df.collect()) == list(range(1, 10))
 
 
+@pytest.mark.parametrize("n", [1, 3])
+def test_many_copies_are_made_in_chunks(spark, n):
+    """A few minority rows, each with thousands of copies."""
+    df = spark.range(10_000).select("id", (F.col("id") < n).cast("int").alias("y"))
+    plain = balance.oversample_minority(df, "y", ["id"], copy_column="copy")
+    chunked = balance.oversample_minority(df, "y", ["id"], copy_column="copy", copies_per_row=100)
+    assert rows(plain) == rows(chunked)
+    assert plain.schema == chunked.schema
+    tasks = chunked.filter("y = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 8
+
+
 def test_oversampling_without_a_class(labelled):
     only_zero = labelled.filter("y = 0")
     assert balance.oversample_minority(only_zero, "y", ["id"]).count() == 900
@@ -97,7 +109,7 @@ def test_oversampling_without_a_class(labelled):
 def test_oversampling_scans_once_and_does_not_shuffle(labelled):
     df = balance.oversample_minority(labelled, "y", ["id"])
     text = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in text and "Join" not in text
+    assert "Union" not in text and "Join" not in text and "Repartition" not in text
 
 
 def test_poisson_mode(labelled):
