@@ -23,7 +23,7 @@ def _class_rows(cells: DataFrame) -> DataFrame:
     its actual and to its predicted class.
     """
     zero = F.lit(0).cast("bigint")
-    n = F.col("n_rows")
+    n = F.when(F.col("a").isNotNull() & F.col("p").isNotNull(), F.col("n_rows")).otherwise(zero)
     hit = F.when(F.col("a") == F.col("p"), n).otherwise(zero)
     as_actual = F.struct(
         F.col("a").alias("class"), hit.alias("tp"), n.alias("support"), zero.alias("predicted")
@@ -35,6 +35,7 @@ def _class_rows(cells: DataFrame) -> DataFrame:
         cells.select(F.inline(F.array(as_actual, as_predicted)))
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
+        .filter(F.col("support") + F.col("predicted") > 0)
     )
 
 
@@ -49,11 +50,11 @@ def _f1(precision: Column, recall: Column) -> Column:
 def per_class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Precision, recall and F1 of every class that occurs or is predicted.
 
-    Rows without label or prediction are left out.
+    Rows without label or prediction are left out, by their cells: a filter on
+    the rows would have a model that is not yet stored score each row twice.
     """
-    known = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     cells = (
-        known.groupBy(F.col(label).cast("double").alias("a"), F.col(prediction).cast("double").alias("p"))
+        df.groupBy(F.col(label).cast("double").alias("a"), F.col(prediction).cast("double").alias("p"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
     tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")

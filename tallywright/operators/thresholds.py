@@ -13,7 +13,7 @@ STEPS = 100
 
 
 def _step_below(p: Column, step: float, steps: int) -> Column:
-    """The largest i of 0..steps with i * step <= p, and -1 below the first.
+    """The largest i of 0..steps with i * step <= p; -1 below the first, null for null.
 
     The quotient may miss a bound by one in its last bit, therefore the two
     neighbours are compared exactly as a plain comparison would.
@@ -23,7 +23,8 @@ def _step_below(p: Column, step: float, steps: int) -> Column:
     up = guess + 1
     exact_up = (up <= steps) & (up.cast("double") * F.lit(step) <= p)
     exact = guess.cast("double") * F.lit(step) <= p
-    return F.greatest(F.when(exact_up, up).when(exact, guess).otherwise(guess - 1), F.lit(-1))
+    found = F.greatest(F.when(exact_up, up).when(exact, guess).otherwise(guess - 1), F.lit(-1))
+    return F.when(p.isNotNull(), found)
 
 
 def threshold_sweep(
@@ -33,11 +34,12 @@ def threshold_sweep(
 
     One pass over the rows: each falls between two thresholds, and the counts of
     these few slots, added up from the highest downwards, give the positives of
-    every threshold. Rows without label or probability are left out.
+    every threshold. Rows without label or probability are left out: the first
+    are not counted, and no threshold joins the empty slot of the second. A filter
+    would do the same, but have the model score each row twice.
     """
-    known = df.filter(F.col(label).isNotNull() & F.col(probability).isNotNull())
     is_positive = F.col(label) == 1
-    slots = known.groupBy(_step_below(F.col(probability), step, steps).alias("slot")).agg(
+    slots = df.groupBy(_step_below(F.col(probability), step, steps).alias("slot")).agg(
         F.count_if(is_positive).alias("pos"), F.count_if(~is_positive).alias("neg")
     )
     # One row per slot, 102 at most by default: safe for a broadcast and one task.

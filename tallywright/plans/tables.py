@@ -70,8 +70,9 @@ def sales(
 ) -> DataFrame:
     """Order lines as raw sales. Only the tables that ``columns`` need are joined.
 
-    ``per_order`` is a step on columns of the order alone. It runs before the
-    lines are joined, so once per order instead of once per line.
+    What belongs to an order is joined to the orders, and the parts to the lines
+    while these are narrow, so that no wide line is shuffled but once, by order.
+    ``per_order`` is a step on columns of the order alone; it runs once per order.
     """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
@@ -82,26 +83,29 @@ def sales(
     )
     if per_order is not None:
         orders = per_order(orders)
+    if "city" in columns:
+        nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        homes = (
+            table(spark, sf_dir, "customer")
+            .select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
+            .join(nations, "c_nationkey", "left")
+        )
+        orders = orders.join(homes, "customer_id", "left")
+        orders = orders.withColumn("city", _null_every("order_id", 11, F.col("n_name")))
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         "l_partkey",
         F.col("l_quantity").alias("qty"),
         _null_every("l_orderkey", 7, F.col("l_discount") * 100).alias("discount_pct"),
     )
-    rows = lines.join(orders, "order_id")
     if {"price", "category"} & set(columns):
         parts = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("l_partkey"),
             F.col("p_retailprice").alias("price"),
             F.col("p_type").alias("category"),
         )
-        rows = rows.join(parts, "l_partkey", "left")
-    if "city" in columns:
-        homes = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
-        nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        rows = rows.join(homes, "customer_id", "left").join(nations, "c_nationkey", "left")
-        rows = rows.withColumn("city", _null_every("order_id", 11, F.col("n_name")))
-    return rows.select(*columns)
+        lines = lines.join(parts, "l_partkey", "left")
+    return lines.join(orders, "order_id").select(*columns)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,11 +49,12 @@ def test_never_predicted_class(spark):
 def test_report_leaves_out_unknown_rows(spark):
     df = spark.createDataFrame([(0, 0.0), (1, None), (None, 1.0)], "y int, p double")
     assert metrics.classification_report(df, "y", "p").first()["accuracy"] == 1.0
+    assert [r["class"] for r in metrics.per_class_metrics(df, "y", "p").collect()] == [0.0]
     assert metrics.classification_report(df.limit(0), "y", "p").first()["accuracy"] is None
 
 
 def test_report_is_one_shuffle_of_rows(three):
-    """Two exchanges and one for the single final row, all after partial counts."""
+    """Rows are counted before the first exchange, and read without a filter."""
     plan = metrics.classification_report(three, "y", "p")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Join" not in plan
 
