@@ -109,5 +109,7 @@ def price_model(
     )
     model = models.fit(pipeline, train, columns)
     scored = model.transform(test).drop("features", *indices, *vectors)
-    predictions = stored(scored, "price-predictions", output)
+    predictions = stored(scored, "price-predictions")
+    if output is not None:
+        write_csv(predictions.select("qty", "price", "prediction"), output)
     return PriceModel(model, predictions, metrics.regression_metrics(predictions, "price", "prediction"))

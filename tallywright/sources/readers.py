@@ -9,12 +9,13 @@ from pyspark.sql.types import StructType
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header line.
 
-    A schema saves the extra pass over the file which inference needs; without
-    one the types are inferred.
+    A schema saves the extra pass over the file which inference needs, and its
+    names are checked against the header. Without one the types are inferred.
     """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
