@@ -39,9 +39,9 @@ def attach_lookup(
     total = lookup.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) * HOT_SHARE >= total
     hot = lookup.filter(is_hot).select(on, F.lit(True).alias("_hot"))
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
     salted = df.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot") | F.col(on).isNull(), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
+        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), salt).otherwise(F.lit(0))
     )
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = lookup.withColumn("_salt", F.explode(parts))

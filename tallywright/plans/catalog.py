@@ -15,7 +15,6 @@ from tallywright.operators import (
     features,
     indexing,
     metrics,
-    models,
     recommend,
     split,
     text,
@@ -172,7 +171,10 @@ def positive_filter(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def conjunctive_filter(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", (F.col("l_quantity") - 10).alias("qty"), (F.col("l_discount") - 0.02).alias("price")
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_quantity") - 10).alias("qty"),
+        (F.col("l_discount") - 0.02).alias("price"),
     )
     return cleaning.keep_positive(rows, "price", "qty")
 
@@ -404,7 +406,8 @@ def tf_idf(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def index_to_string(spark: SparkSession, sf: str) -> DataFrame:
     """Labels of order lines by number; numbers past the list are unknown."""
-    rows = tables.table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 5).cast("double").alias("prediction"))
+    number = (F.col("o_orderkey") % 5).cast("double")
+    rows = tables.table(spark, sf, "orders").select("o_orderkey", number.alias("prediction"))
     return indexing.index_to_label(rows, "prediction", ["positive", "negative", "neutral"], "predicted_label")
 
 

@@ -73,6 +73,41 @@ def test_sales_cleaning(spark, tmp_path):
     assert rows.schema["order_date"].dataType.simpleString() == "date"
 
 
+def test_sales_report(spark, tmp_path):
+    columns = {
+        "order_id": F.col("id"),
+        "customer_id": mod(40),
+        "order_date": F.when(mod(2) == 0, "13-01-2024").otherwise("2/14/2024"),
+        "city": F.when(mod(5) != 0, F.concat(F.lit("c"), mod(3).cast("string"))),
+        "category": F.lit("toys"),
+        "price": (F.lit(10) + mod(3) * 5).cast("double"),
+        "qty": (F.lit(1) + mod(4)).cast("double"),
+        "discount_pct": F.lit(None).cast("double"),
+        "payment_method": F.when(mod(2) == 0, "card").otherwise("cash"),
+        "order_status": F.when(mod(7) == 0, "open").otherwise("done"),
+    }
+    write_rows(spark, tmp_path / "in", schemas.SALES, columns)
+    out = str(tmp_path / "out")
+    command.run(spark, "sales-report", str(tmp_path / "in"), out)
+    months = readers.read_csv(spark, f"{out}/monthly_revenue").orderBy("month").collect()
+    assert [(r["year"], r["month"]) for r in months] == [(2024, 1), (2024, 2)]
+    assert spark.read.json(f"{out}/repeat_rate").first()["repeat_rate"] == 100.0
+    assert readers.read_csv(spark, f"{out}/price_predictions").columns == ["qty", "price", "prediction"]
+
+
+def test_recommendations(spark, tmp_path):
+    columns = {
+        "user_id": (F.col("id") / 15).cast("int"),
+        "product_id": mod(15),
+        "rating": F.lit(1) + mod(5),
+        "timestamp": F.lit(0),
+    }
+    write_rows(spark, tmp_path / "in", schemas.RATINGS, columns)
+    command.run(spark, "recommendations", str(tmp_path / "in"), str(tmp_path / "out"))
+    top = spark.read.json(str(tmp_path / "out" / "top"))
+    assert top.groupBy("user_id").count().filter("count <> 3").count() == 0
+
+
 def test_each_job_has_a_schema_spark_can_read(spark):
     for schema, _ in command.JOBS.values():
         assert spark.createDataFrame([], schema).columns
