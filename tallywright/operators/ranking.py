@@ -16,7 +16,7 @@ SINGLE_TASK_ROWS = 100_000
 def numbered(
     df: DataFrame, order: Sequence[Column], output: str, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
-    """0, 1, 2, ... in the given total order, as a materialized table.
+    """0, 1, 2, ... in the given total order, from a materialized table.
 
     A global window would pull all rows into one task. Only a small table, its
     size being checked, is numbered that way. Otherwise the rows are sorted over
@@ -26,7 +26,7 @@ def numbered(
     stored = materialize(df, "unnumbered")
     if stored.limit(single_task_rows + 1).count() <= single_task_rows:
         position = F.row_number().over(Window.orderBy(*order)) - 1
-        return materialize(stored.withColumn(output, position.cast("bigint")), "numbered")
+        return stored.withColumn(output, position.cast("bigint"))
     row_id = F.monotonically_increasing_id()
     # The upper bits of the id are the number of the sorted part, the lower 33 the place in it.
     parts = materialize(
