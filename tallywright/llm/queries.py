@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import simhash
+from tallywright.llm import lines, quality, simhash
+from tallywright.sources.scratch import materialize
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,7 +20,50 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    stats = materialize(quality.with_statistics(docs).select("doc_id", "stats"), "statistics")
+    rules = quality.fit(stats, table(spark, folder, "labels"))
+    return stats.select(
+        "doc_id", "stats.*", quality.base_failed().alias("base_failed"), quality.verdict(rules).alias("kept")
+    )
+
+
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    bitmaps = lines.line_bitmaps(docs, min_docs=5, min_chars=40)
+    text, drops = F.col("doc.text"), F.col("drops")
+    return lines.with_drops(docs, bitmaps).select(
+        "doc.doc_id",
+        F.size(lines.lines(text)).cast("long").alias("n_lines"),
+        F.size(lines.dropped_positions(drops)).cast("long").alias("n_dropped"),
+        F.sha2(F.coalesce(lines.kept_text(text, drops), F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+OP6_SQL = """
+with cut as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+    from documents),
+keyed as (
+    select *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as key
+    from cut),
+shared as (
+    select key, max(doc_id) as holder from keyed where length(key) >= 40
+    group by key having count(distinct doc_id) >= 5),
+marked as (
+    select keyed.*, holder is not null and doc_id <> holder as gone from keyed left join shared using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_quality_rules": op2_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}

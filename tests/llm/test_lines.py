@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import oracle
+from tallywright.llm import lines
+from tallywright.llm.queries import OP6_SQL, op6_line_dedup
+from tallywright.llm.text import lower_ascii
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def slow(rows, min_docs=5, min_chars=40):
+    """The kept text of each row."""
+    keys = defaultdict(set)
+
+    def key(line):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line).strip(SPACE)
+
+    for d, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                keys[key(line)].add(d)
+    holder = {k: max(d for d in v if d is not None) for k, v in keys.items() if len(v) >= min_docs}
+    return [
+        "\n".join(x for x in (t or "").split("\n") if key(x) not in holder or d == holder[key(x)]) for d, t in rows
+    ]
+
+
+def test_query_equals_sql(spark, sf_dir):
+    assert oracle.compare(op6_line_dedup(spark, sf_dir), oracle.connect(sf_dir), OP6_SQL) == []
+
+
+def odd_rows():
+    a, b, c = "A line which is Long enough to be a Key " * 2, "é" * 40, "Ünder ÉCOLE " * 6
+    many = "\n".join(f"{'x' * 50} {i % 150}" for i in range(300))
+    rows = [(i, f"{a}\n own {i}\n\t{a.lower()} ") for i in range(7)]
+    rows += [(i + 10, f"{b}\n{b}\nshort\n") for i in range(5)] + [(20, b[:39]), (21, b.upper())]
+    rows += [(i + 30, f"{c.strip()}") for i in range(4)] + [(40, c.replace("ÉCOLE", "École")), (41, c.lower())]
+    rows += [(50 + i, many) for i in range(6)]
+    rows += [(60, None), (61, ""), (62, "\n\n"), (None, a), (None, None), (63, "y" * 300_000)]
+    rows += [(5, f"{a}\nother text of five"), (5, f"{a}\nother text of five"), (6, "again 6\n" + a)]
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [1000, 2])
+def test_odd_rows(spark, monkeypatch, chunk):
+    monkeypatch.setattr(lines, "CHUNK", chunk)
+    rows = odd_rows()
+    df = spark.createDataFrame([(*r, 1, "z") for r in rows], "doc_id long, text string, row int, drops string")
+    out = lines.drop_lines(df)
+    assert out.columns == df.columns
+    wanted = sorted(((d, t, 1, "z") for (d, _), t in zip(rows, slow(rows))), key=str)
+    assert sorted(((r[0], r[1] or "", r[2], r[3]) for r in out.collect()), key=str) == wanted
+
+
+def test_number_of_characters_follows(spark):
+    key = "k" * 45
+    df = spark.createDataFrame([(i, f"{key}\nab", 48) for i in range(5)], "doc_id long, text string, n_chars long")
+    rows = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.drop_lines(df).collect()}
+    assert rows == {**{i: ("ab", 2) for i in range(4)}, 4: (f"{key}\nab", 48)}
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert lines.drop_lines(df).count() == 0
+
+
+def test_bitmaps_hold_positions(spark):
+    positions = [0, 63, 64, 130, 1000]
+    df = spark.createDataFrame([(1, 9, p) for p in positions], "doc_id long, row long, pos int")
+    row = lines.drop_bitmaps(df).select("*", lines.dropped_positions(F.col("drops")).alias("p")).first()
+    assert row["p"] == positions and len(row["drops"]) == 4
+
+
+def test_lower_case_of_every_letter(spark):
+    text = "".join(chr(i) for i in range(1, 0x1FFFF) if not 0xD800 <= i < 0xE000)
+    parts = [text[i : i + 50] + "Q" for i in range(0, len(text), 50)]
+    got = spark.createDataFrame([(p,) for p in parts], "t string").select(lower_ascii(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in p) for p in parts]
