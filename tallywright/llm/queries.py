@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import lines, quality, simhash
+from tallywright.llm import lines, packing, quality, simhash
 from tallywright.sources.scratch import materialize
 
 
@@ -41,6 +41,10 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"), capacity=1024)
+
+
 OP6_SQL = """
 with cut as (
     select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -65,5 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op8_packing": op8_packing,
 }
 ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}

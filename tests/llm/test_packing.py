@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import bisect
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tallywright.llm import packing
+from tallywright.llm.queries import op8_packing
+from tallywright.llm.tokens import encoder
+
+
+def slow_ids(texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for t in texts]
+
+
+def check(rows, ids_of, capacity):
+    """Every id is in one piece, every sequence without a gap or overlap; the number of sequences."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(by_doc) == set(ids_of)
+    for doc, pieces in by_doc.items():
+        pieces.sort(key=lambda r: r["piece"])
+        ids, at = ids_of[doc], 0
+        assert [r["piece"] for r in pieces] == list(range(len(pieces)))
+        assert all(r["length"] == capacity for r in pieces[1:])
+        for r in pieces:
+            part = ids[at : at + r["length"]]
+            assert (r["start"], len(part), zlib.crc32(part.tobytes())) == (at, r["length"], r["ids_crc32"])
+            at += r["length"]
+        assert at == len(ids)
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by_sequence)
+
+
+def test_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    ids_of = dict(zip((r["doc_id"] for r in docs), slow_ids([r["text"] for r in docs])))
+    used = check(op8_packing(spark, sf_dir).collect(), ids_of, 1024)
+    assert used <= -(-sum(map(len, ids_of.values())) // 1024) + 2
+
+
+def test_odd_texts(spark):
+    texts = [None, "", " ", "<|endoftext|>", "a <|endoftext|>b", "é😀\x00", "x" * 50_000, " " * 5000, "the " * 1023, "the " * 1024]
+    df = spark.createDataFrame([(i, t, 1, "s") for i, t in enumerate(texts)], "doc_id long, text string, length int, spread string")
+    rows = packing.packed_documents(df, with_ids=True)
+    check(rows.collect(), dict(enumerate(slow_ids(texts))), 1024)
+    joined = {r["sequence_id"]: r["ids"] for r in packing.sequences(rows).collect()}
+    for r in rows.collect():
+        assert joined[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == r["ids"]
+
+
+def test_repeated_rows_and_null_ids_and_no_rows(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
+    rows = packing.packed_documents(df).collect()
+    assert sorted((str(r["doc_id"]), r["length"]) for r in rows) == [("1", 3), ("1", 3), ("None", 2)]
+    assert {r["offset"] for r in rows} == {0, 3, 6} and len({r["sequence_id"] for r in rows}) == 1
+    assert packing.packed_documents(df.limit(0)).count() == 0
+
+
+def best_fit_decreasing(lengths, capacity):
+    gaps, used = [], 0
+    for n in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(gaps, n)
+        used += i == len(gaps)
+        rest = (gaps.pop(i) if i < len(gaps) else capacity) - n
+        bisect.insort(gaps, rest)
+    return used
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_groups_waste_little(spark, monkeypatch, seed):
+    monkeypatch.setattr(packing, "GROUP", 3000)
+    lengths = np.random.default_rng(seed).integers(1, 1024, 9000).tolist()
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "spread long, length long")
+    used = packing.pack(df).select("sequence_id").distinct().count()
+    assert used <= 1.005 * best_fit_decreasing(lengths, 1024) + 3
+
+
+def brute_place(lengths, capacity):
+    """The sum of squares computed anew for each possible gap."""
+    gaps = []
+    out = []
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        best = None
+        for g in sorted({g for g in gaps if g >= lengths[i]}):
+            after = list(gaps)
+            after.remove(g)
+            after.append(g - lengths[i])
+            total = sum(after.count(x) ** 2 for x in set(after) if x)
+            if best is None or total < best[0]:
+                best = (total, g)
+        if best:
+            gaps.remove(best[1])
+            gaps.append(best[1] - lengths[i])
+            out.append((i, best[1]))
+        else:
+            gaps.append(capacity - lengths[i])
+            out.append((i, capacity))
+    return [g for _, g in sorted(out)]
+
+
+def test_each_gap_makes_the_sum_of_squares_smallest():
+    lengths = np.random.default_rng(5).integers(1, 21, 150)
+    bins, offsets = packing.place(lengths, 20)
+    assert [20 - o for o in offsets] == brute_place(lengths.tolist(), 20)
+    assert np.bincount(bins, weights=lengths).max() <= 20
+
+
+def test_both_tokenizers_agree():
+    texts = ["don't I'LL 123 ٣ ²", "\x1f\x00a", "日本語 " * 50, "ﬁ Å é", "   x", "a\n\n \n b  ", "<|endoftext|><|endoftext|> "]
+    for text in texts:
+        assert encoder().ids(text).tolist() == encoder().slow.encode(text, add_special_tokens=False).ids
