@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import lines, packing, quality, simhash
+from tallywright.llm import lines, packing, quality, simhash, topk
 from tallywright.sources.scratch import materialize
 
 
@@ -45,6 +45,26 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), capacity=1024)
 
 
+def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", topk.whole_components(F.col("embedding"), 256).alias("components")
+    )
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+OP10_SQL = """
+with part as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+    where embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id,
+           list_inner_product(q.v::double[], c.v::double[])::bigint as score
+    from part q, part c where q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+"""
 OP6_SQL = """
 with cut as (
     select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -70,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op8_packing": op8_packing,
+    "op10_top_k": op10_top_k,
 }
-ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op10_top_k": OP10_SQL}

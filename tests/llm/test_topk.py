@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+import oracle
+from tallywright.llm import topk
+from tallywright.llm.queries import OP10_SQL, op10_top_k
+from pyspark.sql import functions as F
+
+
+@pytest.mark.parametrize("rows, run", [(4096, 16), (37, 2)])
+def test_query_equals_sql(spark, sf_dir, monkeypatch, rows, run):
+    monkeypatch.setattr(topk, "BLOCK", rows)
+    monkeypatch.setattr(topk, "RUN", run)
+    assert oracle.compare(op10_top_k(spark, sf_dir), oracle.connect(sf_dir), OP10_SQL) == []
+
+
+def brute(rows, k):
+    """Of {id: vector}: all scores in whole numbers."""
+    return {
+        q: sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v)))[:k]
+        for q, v in dict(rows).items()
+    }
+
+
+@pytest.mark.parametrize("size, low, high", [(1, -3, 3), (8, 0, 2), (16, -256, 256), (16, -(1 << 20), 1 << 20), (4, -(1 << 25), 1 << 25)])
+def test_blocks_with_ties(spark, monkeypatch, size, low, high):
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERIES", 16)
+    rng = np.random.default_rng(size)
+    rows = [(i, v) for i, v in enumerate(rng.integers(low, high + 1, (150, size)).tolist())]
+    rows += [(i, rows[0][1]) for i in range(200, 260)] + [(300, [1] * 5), (301, [2] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, components array<long>")
+    got = {}
+    for r in topk.top_k(df, df, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    assert got == brute(rows, 5)
+
+
+def test_unsound_vectors_take_no_part(spark):
+    vectors = [(1, [0.1, -0.1]), (2, None), (3, []), (4, [None, 1.0]), (5, [math.nan, 1.0]), (6, [math.inf, 0.0]), (7, [1e30, 0.0]), (8, [-0.001, 2.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, v array<double>")
+    got = {r[0]: r[1] for r in df.select("vec_id", topk.whole_components(F.col("v"))).collect()}
+    assert got == {1: [25, -26], 8: [-1, 512]} | {i: None for i in range(2, 8)}
+
+
+def test_repeated_and_nameless_rows_and_no_rows(spark):
+    rows = [(50, [1, 2]), (50, [1, 2]), (7, [3, 3]), (7, [3, 3]), (None, [9, 9]), (8, [0, 1])]
+    df = spark.createDataFrame(rows, "vec_id long, components array<long>")
+    got = [tuple(r) for r in topk.top_k(df, df.filter("vec_id % 50 = 0"), 5).orderBy("rank").collect()]
+    assert got == [(50, 1, 7, 9), (50, 2, 7, 9), (50, 3, 8, 2)]
+    assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0
+
+
+def test_bounds_hold_at_every_depth():
+    rng = np.random.default_rng(0)
+    v, q = rng.integers(-99, 99, (200, 12)), rng.integers(-99, 99, (20, 12)).astype(np.float64)
+    exact, last = q @ v.T, None
+    for share in (0.01, 0.1, 0.5, 1.0):
+        low, high = topk.Lists(v, np.float64).bounds(np.maximum(q, 0), np.minimum(q, 0), share, np.arange(200))
+        assert (low <= exact).all() and (exact <= high).all()
+        if last:
+            assert (low >= last[0]).all() and (high <= last[1]).all()
+        last = low, high
+    assert (low == exact).all()
