@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import lines, packing, quality, simhash, topk
+from tallywright.llm import lines, packing, quality, sharding, simhash, topk, urls
 from tallywright.sources.scratch import materialize
 
 
@@ -29,6 +29,69 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SHARDS = tuple(f"shard-{i:03d}" for i in range(256))
+
+
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """A shard for every document, by its id."""
+    docs = table(spark, folder, "documents").select("doc_id")
+    return sharding.with_shard(docs, ["doc_id"], SHARDS)
+
+
+RULES = urls.parse_rules(
+    """
+    allow com/
+    block example.com/en/
+    allow www.example.com/en/
+    block net/es/
+    block net/fr/
+    """
+)
+# Symbols for 100 characters of html above which a page puts its address on the list.
+SYMBOLS = 5
+
+
+def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict of the rules, else block for an address (host and path) that is listed.
+    The list has the addresses of pages full of symbols, as they are found in the table."""
+    pages = table(spark, folder, "pages")
+    host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))
+    cut = pages.select("page_id", host.alias("host"), path.alias("path"), "html").withColumn(
+        "key", F.concat("host", "path")
+    )
+    symbols = F.char_length(F.regexp_replace("html", "[^#*$%|]+", ""))
+    listed = cut.filter(100 * symbols > SYMBOLS * F.char_length("html")).select("key")
+    cascade = urls.Cascade(cut.select("key"), listed)
+    marked = cascade.mark(cut.select("page_id", "host", "path", "key"), "key", "listed")
+    rule = urls.rule_name(RULES, F.col("host"), F.col("path"))
+    verdict = F.coalesce(urls.rule_verdict(RULES, F.col("rule")), F.when(F.col("listed"), "block").otherwise("allow"))
+    return marked.withColumn("rule", rule).select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+
+
+OP4_SQL = r"""
+with cut as (
+    select page_id,
+           translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path,
+           100 * length(regexp_replace(html, '[^#*$%|]+', '', 'g')) > 5 * length(html) as full_of_symbols
+    from pages),
+rules(verdict, host, path) as (
+    values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+           ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fitting as (
+    select page_id, r.host || r.path as rule, r.verdict,
+           row_number() over (partition by page_id order by length(r.host || r.path) desc) as place
+    from cut join rules r
+      on (cut.host = r.host or ends_with(cut.host, '.' || r.host)) and starts_with(cut.path, r.path)),
+listed as (select distinct host || path as key from cut where full_of_symbols)
+select cut.page_id, cut.host, cut.path, f.rule,
+       coalesce(f.verdict, case when listed.key is not null then 'block' else 'allow' end) as verdict
+from cut left join fitting f on cut.page_id = f.page_id and f.place = 1
+     left join listed on listed.key = cut.host || cut.path
+"""
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     bitmaps = lines.line_bitmaps(docs, min_docs=5, min_chars=40)
@@ -88,8 +151,10 @@ from marked group by doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
+    "op3_sharding": op3_sharding,
+    "op4_url_filters": op4_url_filters,
     "op6_line_dedup": op6_line_dedup,
     "op8_packing": op8_packing,
     "op10_top_k": op10_top_k,
 }
-ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op10_top_k": OP10_SQL}
+ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op6_line_dedup": OP6_SQL, "op10_top_k": OP10_SQL}
