@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import lines, packing, quality, sharding, simhash, topk, urls
-from tallywright.sources.scratch import materialize
+from tallywright.llm import lines, packing, quality, sharding, simhash, topk, urls, warc
+from tallywright.sources.scratch import materialize, scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -108,6 +108,28 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), capacity=1024)
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives of all pages are written to the shared folder and read back."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    records = materialize(warc.read_records(spark, path), "records")
+    return warc.page_records(records).drop("problem")
+
+
+OP9_SQL = """
+with digested as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+    from pages),
+shared as (
+    select payload_digest, max(page_id) as original from digested where payload_bytes >= 1000
+    group by payload_digest having count(*) > 1)
+select page_id, payload_bytes, d.payload_digest,
+       case when original is not null and original <> page_id then 'revisit' else 'response' end as record_type,
+       case when original <> page_id then original end as refers_to
+from digested d left join shared s on d.payload_digest = s.payload_digest
+"""
+
+
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", topk.whole_components(F.col("embedding"), 256).alias("components")
@@ -155,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
     "op6_line_dedup": op6_line_dedup,
     "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
     "op10_top_k": op10_top_k,
 }
-ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op6_line_dedup": OP6_SQL, "op10_top_k": OP10_SQL}
+ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op6_line_dedup": OP6_SQL, "op9_warc": OP9_SQL, "op10_top_k": OP10_SQL}
