@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import lines, packing, quality, sharding, simhash, topk, urls, warc
+from tallywright.llm import counts, lines, packing, quality, sharding, simhash, topk, urls, warc
 from tallywright.sources.scratch import materialize, scratch_path
 
 
@@ -104,6 +104,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, without its separator, counted in flat token files."""
+    return counts.document_token_counts(table(spark, folder, "documents"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), capacity=1024)
 
@@ -176,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_url_filters": op4_url_filters,
     "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_top_k": op10_top_k,

@@ -23,6 +23,8 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.slow = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
         with open(path.removesuffix(".json") + ".tiktoken", "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         special = {END_OF_TEXT: self.slow.token_to_id(END_OF_TEXT)}
@@ -30,16 +32,19 @@ class Encoder:
             "public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
 
-    def ids(self, text: str | None) -> np.ndarray:
-        """Unsigned 32-bit ids, without special tokens at the ends; none of a null."""
+    def ids(self, text: str | None, special: bool = True) -> np.ndarray:
+        """Unsigned 32-bit ids, without special tokens at the ends; none of a null. The
+        string of a special token in a text is that token, or ordinary text if not ``special``."""
         if not text:
             return np.zeros(0, np.uint32)
         try:
-            return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
-        except (ValueError, OverflowError, BaseException) as error:  # noqa: BLE001 - a panic of the extension
+            allowed, refused = ("all" if special else set()), ()
+            return np.asarray(self.fast.encode_to_numpy(text, allowed_special=allowed, disallowed_special=refused), np.uint32)
+        except BaseException as error:  # a panic of the extension is no Exception
             if isinstance(error, KeyboardInterrupt | SystemExit):
                 raise
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            slow = self.slow if special else self.plain
+            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 @functools.lru_cache(maxsize=2)
