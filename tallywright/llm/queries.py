@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import counts, lines, packing, quality, sharding, simhash, topk, urls, warc
+from tallywright.llm import counts, lines, packing, pieces, quality, sharding, simhash, topk, urls, warc
 from tallywright.sources.scratch import materialize, scratch_path
 
 
@@ -92,6 +92,18 @@ from cut left join fitting f on cut.page_id = f.page_id and f.place = 1
 """
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """A sampled segmentation of every document, by its id, and whether it spells the text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    sampled = docs.withColumn("ids", pieces.encode(F.col("text"), "doc_id", seed=0, alpha=1.0))
+    return sampled.select(
+        "doc_id",
+        F.size("ids").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        pieces.decode(F.col("ids")).eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     bitmaps = lines.line_bitmaps(docs, min_docs=5, min_chars=40)
@@ -180,6 +192,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_sharding": op3_sharding,
     "op4_url_filters": op4_url_filters,
+    "op5_pieces": op5_pieces,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,

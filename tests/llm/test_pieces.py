@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallywright.llm import pieces
+from tallywright.llm.queries import op5_pieces
+
+ODD = [
+    "", " ", "  a\nb ▁ é😀", "\n\n", "a", "\x00\x01\t", "▁▁x", "日本語のテキスト", "a" * 300, " " * 100, "ﬁ Ⅷ ʼn", "é",
+    "the quick brown fox " * 50, "x\r\ny", "\U0010ffff퟿",
+]
+
+
+def test_query_is_lossless_and_repeatable(spark, sf_dir):
+    rows = op5_pieces(spark, sf_dir).collect()
+    assert len(rows) == 200 and all(r["lossless"] for r in rows)
+    again = {r["doc_id"]: r["ids_hash"] for r in op5_pieces(spark, sf_dir).collect()}
+    assert {r["doc_id"]: r["ids_hash"] for r in rows} == again
+
+
+@pytest.mark.parametrize("alpha", [0.0, 0.3, 1.0, 30.0])
+def test_odd_texts_come_back(alpha):
+    model = pieces.model()
+    ids, ends = model.sample(ODD, np.arange(len(ODD), dtype=np.uint64), alpha)
+    starts = [0, *ends[:-1]]
+    assert [model.text(ids[a:b]) for a, b in zip(starts, ends)] == ODD
+
+
+def test_rows_do_not_depend_on_their_batch(spark):
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate([*ODD, None])], "doc_id long, text string, ids string")
+    one = df.coalesce(1).select("doc_id", "text", pieces.encode(F.col("text"), "doc_id", seed=3).alias("p"))
+    many = df.repartition(9, F.rand(1)).select("doc_id", "text", pieces.encode(F.col("text"), "doc_id", seed=3).alias("p"))
+    got = {r["doc_id"]: r["p"] for r in one.collect()}
+    assert got == {r["doc_id"]: r["p"] for r in many.collect()} and got[len(ODD)] is None and got[0] == []
+    back = one.select("text", pieces.decode(F.col("p")).alias("back")).collect()
+    assert all(r["text"] == r["back"] for r in back)
+    assert df.limit(0).select(pieces.encode(F.col("text"), "doc_id")).count() == 0
+
+
+def ways(model, text):
+    """All segmentations of a text of letters that are pieces, with their weights."""
+    text = text.replace(" ", "▁")
+    known = {b.decode().replace(" ", "▁"): i for i, b in enumerate(model.bytes) if b and i not in set(model.byte_ids.tolist())}
+
+    def walk(at):
+        if at == len(text):
+            yield (), 0.0
+        for end in range(at + 1, len(text) + 1):
+            if text[at:end] in known:
+                for rest, w in walk(end):
+                    yield (known[text[at:end]], *rest), w + model.log[known[text[at:end]]]
+
+    return dict(walk(0))
+
+
+@pytest.mark.parametrize("word", ["the", "inter", "on a"])
+def test_shares_of_segmentations(word):
+    """Drawn as often as their weight among all segmentations says."""
+    model, n = pieces.model(), 20_000
+    all_ways = ways(model, " " + word)
+    total = sum(map(math.exp, all_ways.values()))
+    ids, ends = model.sample([word] * n, np.arange(n, dtype=np.uint64) * np.uint64(977), 1.0)
+    seen = Counter(tuple(ids[a:b].tolist()) for a, b in zip([0, *ends[:-1]], ends))
+    assert set(seen) <= set(all_ways)
+    for way, w in all_ways.items():
+        p = math.exp(w) / total
+        assert abs(seen[way] / n - p) < 5 * math.sqrt(p / n) + 1e-3
+
+
+def test_large_alpha_gives_the_likeliest():
+    model = pieces.model()
+    ids, _ = model.sample(["inter"], np.zeros(1, np.uint64), 1000.0)
+    best = max(ways(model, " inter").items(), key=lambda x: x[1])[0]
+    assert tuple(ids) == best
