@@ -16,6 +16,7 @@ from tallywright.plans import churn, disease, fraud, recommendations, sales, sen
 from tallywright.plans.results import stored
 from tallywright.sources import schemas
 from tallywright.sources.readers import read_csv
+from tallywright.sources.scratch import scratch_tables
 
 Figures = dict[str, DataFrame]
 
@@ -99,9 +100,10 @@ JOBS: dict[str, tuple[str, Callable[[DataFrame, str], Figures]]] = {
 
 def run(spark: SparkSession, job: str, source: str, output: str, infer: bool = False) -> None:
     schema, function = JOBS[job]
-    figures = function(read_csv(spark, source, None if infer else schema), output)
-    for name, figure in figures.items():
-        figure.write.mode("overwrite").json(f"{output}/{name}")
+    with scratch_tables(spark):
+        figures = function(read_csv(spark, source, None if infer else schema), output)
+        for name, figure in figures.items():
+            figure.write.mode("overwrite").json(f"{output}/{name}")
 
 
 def main() -> None:

@@ -32,8 +32,16 @@ def parse_date(text: Column, fmt: str) -> Column:
 
 
 def repair_date(text: Column, formats: Sequence[str] = SALES_DATE_FORMATS) -> Column:
-    """Date by the first of ``formats`` that matches, else null."""
-    return F.coalesce(*[parse_date(text, fmt) for fmt in formats])
+    """Date by the first of ``formats`` that matches, else null.
+
+    A format of two-digit parts is not tried after the same one of shorter parts, which
+    reads all that it reads.
+    """
+    tried: list[str] = []
+    for fmt in formats:
+        if fmt.replace("MM", "M").replace("dd", "d") not in tried:
+            tried.append(fmt)
+    return F.coalesce(*[parse_date(text, fmt) for fmt in tried])
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:

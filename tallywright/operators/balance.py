@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import unit_hash
 
-# More values than this make a column something else than a class label.
-MAX_CLASSES = 1000
-# Copies made of a row at a time, and how many such chunks a task should get.
+# Copies made of a row at a time, and how such chunks are shared among tasks.
 COPIES_PER_ROW = 10_000
 CHUNKS_PER_TASK = 100
+CHUNK_TASKS = 16
 
 
 def split_by_class(df: DataFrame, label: str, positive: int = 1, negative: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -37,18 +36,13 @@ def class_weights(df: DataFrame, label: str, classes: int | None = None) -> Data
 
 
 def with_class_weights(df: DataFrame, label: str, output: str, classes: int | None = None) -> DataFrame:
-    """Each row with the weight of its class.
+    """Each row with the weight of its class, null for a row without a label.
 
-    The weights of the few classes come to the driver and go back as literals,
-    so the rows are neither shuffled nor joined.
+    The label may have any number of values: their weights are joined, and the plan
+    is left to Spark, which knows the size of the weights when it runs the join.
     """
-    rows = class_weights(df, label, classes).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values and is no class label")
-    weight: Column = F.lit(None).cast("double")
-    for row in rows:
-        weight = F.when(F.col(label) == row[label], F.lit(row["weight"])).otherwise(weight)
-    return df.withColumn(output, weight)
+    weights = class_weights(df, label, classes).select(F.col(label).alias("_class"), F.col("weight").alias(output))
+    return df.join(weights, F.col(label) == F.col("_class"), "left").drop("_class")
 
 
 def with_binary_weights(df: DataFrame, label: str, output: str) -> DataFrame:
@@ -85,17 +79,18 @@ def oversample_minority(
     scan yields both classes. ``copy_column`` numbers the copies of a row.
 
     Where a row has more than ``copies_per_row`` copies, they are made in chunks
-    which are dealt out first, so that many tasks share the copies of one row.
+    which are dealt out first, so that many tasks share the copies of one row. That
+    changes the plan only; the majority is not shuffled in either.
     """
     counts = df.agg(
         F.count_if(F.col(label) == majority).alias("n0"), F.count_if(F.col(label) == minority).alias("n1")
     ).first()
     ratio = counts["n0"] / counts["n1"] if counts["n1"] else 0.0
     whole = int(ratio)
-    extra = (unit_hash(*keys, seed=seed) < F.lit(ratio - whole)).cast("bigint")
+    extra = (unit_hash(*keys, purpose="copy", seed=seed) < F.lit(ratio - whole)).cast("bigint")
     copies = F.when(F.col(label) == majority, F.lit(1)).otherwise(F.lit(whole) + extra)
     out = copy_column or "_copy"
-    if ratio <= copies_per_row:
+    if whole < copies_per_row:
         rows = df.filter(F.col(label).isin(majority, minority)).withColumn("_copies", copies)
         repeated = _repeated(rows, F.lit(1), F.col("_copies"), out).drop("_copies")
     else:
@@ -103,9 +98,8 @@ def oversample_minority(
         counted = small.withColumn("_copies", copies)
         first = F.sequence(F.lit(1), F.col("_copies"), F.lit(copies_per_row))
         chunks = counted.withColumn("_first", F.explode(first))
-        n_chunks = -(-counts["n0"] // copies_per_row)
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        dealt = chunks.repartition(max(cores, -(-n_chunks // CHUNKS_PER_TASK)))
+        tasks = max(CHUNK_TASKS, -(-counts["n0"] // (copies_per_row * CHUNKS_PER_TASK)))
+        dealt = chunks.repartition(tasks, *keys, "_first")
         last = F.least(F.col("_copies"), F.col("_first") + (copies_per_row - 1))
         many = _repeated(dealt, F.col("_first"), last, out).drop("_copies", "_first")
         repeated = large.withColumn(out, F.lit(1)).unionByName(many)

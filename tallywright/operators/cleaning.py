@@ -71,8 +71,11 @@ def repair_dates(
     """
     text = F.col(column)
     parsed = text.cast("date") if _is_temporal(df, column) else dates.repair_date(text, formats)
-    repaired = df.withColumn(column, parsed)
-    return repaired.filter(F.col(column).isNotNull()) if require_parsed else repaired
+    if not require_parsed:
+        return df.withColumn(column, parsed)
+    # As an array of one date or none: a filter on the date would have it parsed twice.
+    found = df.withColumn("_parsed", F.explode(F.array_compact(F.array(parsed))))
+    return found.select(*[F.col("_parsed").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def parse_timestamps(

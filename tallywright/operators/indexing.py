@@ -8,8 +8,8 @@ from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.operators.lookup import BROADCAST_ROWS, attach_lookup
-from tallywright.operators.ranking import SINGLE_TASK_ROWS, numbered
+from tallywright.operators.lookup import attach_lookup
+from tallywright.operators.ranking import numbered
 
 UNKNOWN_LABEL = "__unknown"
 
@@ -41,16 +41,14 @@ def one_hot(
     return model, model.transform(df)
 
 
-def category_index(
-    df: DataFrame, column: str, output: str, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def category_index(df: DataFrame, column: str, output: str) -> DataFrame:
     """The mapping (value, n_rows, index) of a column with any number of values.
 
     Same order as the string indexer, but as a table: nothing of it is held on
     the driver. Null is no value.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    return numbered(counts, [F.desc("n_rows"), F.asc(column)], output, single_task_rows)
+    return numbered(counts, [F.desc("n_rows"), F.asc(column)], output)
 
 
 def apply_category_index(
@@ -60,7 +58,6 @@ def apply_category_index(
     output: str,
     spread: str,
     handle_invalid: str = "error",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Attach the index of each row's value as a double.
 
@@ -68,7 +65,7 @@ def apply_category_index(
     ``error`` raises where such a row is read.
     """
     slim = mapping.select(column, "n_rows", F.col(output).cast("double").alias(output))
-    joined = attach_lookup(df, slim, column, "n_rows", spread, broadcast_rows, how="left").drop("n_rows")
+    joined = attach_lookup(df, slim, column, "n_rows", spread, how="left").drop("n_rows")
     if handle_invalid == "keep":
         missing = mapping.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     else:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of at most this many rows of key and numbers stays within some MB.
-BROADCAST_ROWS = 100_000
-# Values which hold at least 1/HOT_SHARE of all rows: there are at most HOT_SHARE of them.
-HOT_SHARE = 1000
-SALTS = 64
+from tallywright.sources.scratch import materialize
+
+# Rows of one key that one task should get; a key with more is divided.
+ROWS_PER_PART = 1_000_000
 
 
 def attach_lookup(
@@ -18,8 +17,7 @@ def attach_lookup(
     on: str,
     weight: str,
     spread: str,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    rows_per_part: int = ROWS_PER_PART,
     how: str = "inner",
 ) -> DataFrame:
     """Inner or left join on one key. The lookup has one row per key and should
@@ -28,21 +26,16 @@ def attach_lookup(
     ``weight`` is the lookup's column with the number of rows a key has in
     ``df``, ``spread`` a column of ``df`` that differs among the rows of a key.
 
-    A lookup is broadcast only after its rows were counted. A larger one is
-    joined by a shuffle in which each hot key is divided into salted parts. The
-    hot keys are those with at least 1/1000 of the total weight, hence a list of
-    at most 1000, which is safe to broadcast. Rows with a null key match nothing
-    and are spread like a hot key.
+    A key with more than ``rows_per_part`` rows is divided into as many parts as keep
+    to that number, and its row of the lookup is repeated for each. Such keys are
+    joined first, to give each row its part; how, and whether any side is small
+    enough to be broadcast, is left to Spark, which knows the bytes. Rows with a null
+    key match nothing and are spread as well.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return df.join(F.broadcast(lookup), on, how)
-    total = lookup.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * HOT_SHARE >= total
-    hot = lookup.filter(is_hot).select(on, F.lit(True).alias("_hot"))
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    salted = df.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), salt).otherwise(F.lit(0))
-    )
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = lookup.withColumn("_salt", F.explode(parts))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt", "_hot")
+    parts = F.ceil(F.col(weight) / rows_per_part).cast("int")
+    hot = materialize(lookup.filter(F.col(weight) > rows_per_part).select(on, parts.alias("_parts")), "hot_keys")
+    number = F.pmod(F.xxhash64(spread), F.when(F.col(on).isNull(), F.lit(1 << 20)).otherwise(F.coalesce("_parts", F.lit(1))))
+    salted = df.join(hot, on, "left").withColumn("_salt", number.cast("int"))
+    every = F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)
+    copies = lookup.withColumn("_salt", F.explode(every))
+    return salted.join(copies, [on, "_salt"], how).drop("_salt", "_parts")

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tallywright.functions.numbers import class_probability
 from tallywright.sources.scratch import ensure_checkpoint_dir
 
-# Fewer rows than this per core cost more to schedule than to compute.
-ROWS_PER_CORE = 1000
+# Partitions that fits run over. The rows of one should fit into a task's memory, so
+# pass more for large data; draws of a forest follow from the number.
+PARTITIONS = 16
 
 
 @contextmanager
@@ -33,24 +34,15 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 
 
 @contextmanager
-def training_rows(df: DataFrame) -> Iterator[DataFrame]:
-    """A kept frame which gives every core of the cluster some of its rows.
+def training_rows(df: DataFrame, keys: Sequence[str], partitions: int = PARTITIONS) -> Iterator[DataFrame]:
+    """The rows kept in partitions that follow from their keys alone.
 
-    The solvers work by partition. Rows that lie in fewer partitions than there
-    are cores are dealt out once, ahead of the many passes; any other frame, and
-    one too small to gain by it, stays as it is, without a shuffle. Counting the
-    partitions fills the cache.
+    Forests draw their samples by partition and by the order of rows in it. With a
+    given number of partitions, rows placed by the hash of the key and sorted within,
+    a fit gives the same model on any number of cores and files.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    with kept(df) as rows:
-        sizes = rows.groupBy(F.spark_partition_id().alias("part")).count()
-        found = sizes.agg(F.count("part").alias("parts"), F.sum("count").alias("rows")).first()
-        wanted = min(cores, (found["rows"] or 0) // ROWS_PER_CORE)
-        if found["parts"] >= wanted:
-            yield rows
-            return
-        with kept(rows.repartition(wanted)) as dealt:
-            yield dealt
+    with kept(df.repartition(partitions, *keys).sortWithinPartitions(*keys)) as rows:
+        yield rows
 
 
 def logistic(label: str, max_iter: int = 10, threshold: float | None = None, **params: object) -> LogisticRegression:
@@ -95,10 +87,12 @@ def forest_regressor(
     )
 
 
-def fit(estimator: Estimator, train: DataFrame, columns: Sequence[str]) -> Model:
-    """Fit on the named columns only, kept for the passes of the solver."""
+def fit(
+    estimator: Estimator, train: DataFrame, columns: Sequence[str], keys: Sequence[str], partitions: int = PARTITIONS
+) -> Model:
+    """Fit on the named columns only, kept for the passes of the solver and placed by the keys."""
     ensure_checkpoint_dir(train.sparkSession)
-    with training_rows(train.select(*columns)) as rows:
+    with training_rows(train.select(*dict.fromkeys([*keys, *columns])), keys, partitions) as rows:
         return estimator.fit(rows)
 
 

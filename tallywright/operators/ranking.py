@@ -9,28 +9,18 @@ from pyspark.sql import functions as F
 
 from tallywright.sources.scratch import materialize
 
-# Below this size one task numbers the rows faster than three jobs do.
-SINGLE_TASK_ROWS = 100_000
 
-
-def numbered(
-    df: DataFrame, order: Sequence[Column], output: str, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[Column], output: str) -> DataFrame:
     """0, 1, 2, ... in the given total order, from a materialized table.
 
-    A global window would pull all rows into one task. Only a small table, its
-    size being checked, is numbered that way. Otherwise the rows are sorted over
+    A global window would pull all rows into one task. Here the rows are sorted over
     all tasks, numbered within each sorted part, and moved up by the size of the
     parts before.
     """
-    stored = materialize(df, "unnumbered")
-    if stored.limit(single_task_rows + 1).count() <= single_task_rows:
-        position = F.row_number().over(Window.orderBy(*order)) - 1
-        return stored.withColumn(output, position.cast("bigint"))
     row_id = F.monotonically_increasing_id()
     # The upper bits of the id are the number of the sorted part, the lower 33 the place in it.
     parts = materialize(
-        stored.orderBy(*order).withColumn("_id", row_id).withColumns(
+        df.orderBy(*order).withColumn("_id", row_id).withColumns(
             {"_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
         ),
         "sorted",

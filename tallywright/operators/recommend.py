@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.operators.models import kept
-from tallywright.sources.scratch import ensure_checkpoint_dir
+from tallywright.operators.indexing import category_index
+from tallywright.operators.lookup import attach_lookup
+from tallywright.operators.models import training_rows
+from tallywright.sources.scratch import ensure_checkpoint_dir, materialize
 
-LEAST_BLOCKS = 10
-RATINGS_PER_BLOCK = 20_000_000
+# Blocks of users and of items. Starting factors follow from the number; one block should
+# fit into a task's memory, so pass more for very many ratings.
+BLOCKS = 10
 
 
 def als(
@@ -38,24 +43,61 @@ def als(
     )
 
 
-def fit_als(estimator: ALS, train: DataFrame, blocks: int | None = None) -> ALSModel:
+@dataclass(frozen=True)
+class Recommender:
+    """Factors, and the numbers by which users and items of any type are known to them."""
+
+    model: ALSModel
+    user: str
+    item: str
+    users: DataFrame
+    items: DataFrame
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with a prediction; rows of users or items that are not known are dropped."""
+        for mapping, on, spread in ((self.users, self.user, self.item), (self.items, self.item, self.user)):
+            df = attach_lookup(df, mapping, on, "n_rows", spread).drop("n_rows")
+        return self.model.transform(df).drop("_user", "_item")
+
+
+def fit_als(estimator: ALS, train: DataFrame, blocks: int = BLOCKS) -> Recommender:
     """Fit on the three columns needed.
 
-    Users and items are divided into ten blocks, and into more as the ratings
-    grow, so that a block stays within one task's memory. Every fifth iteration
-    goes to the shared folder, which keeps the lineage of the factors short.
+    Users and items may be of any type and value: they are numbered by how often they
+    occur. Ratings are placed by user and item, so the factors depend on the number of
+    blocks but not on cores or files. Every fifth iteration goes to the shared
+    folder, which keeps the lineage of the factors short.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    columns = [estimator.getUserCol(), estimator.getItemCol(), estimator.getRatingCol()]
-    with kept(train.select(*columns)) as rows:
-        if blocks is None:
-            blocks = max(LEAST_BLOCKS, -(-rows.count() // RATINGS_PER_BLOCK))
-        return estimator.copy().setNumBlocks(blocks).fit(rows)
+    user, item, rating = estimator.getUserCol(), estimator.getItemCol(), estimator.getRatingCol()
+    ratings = materialize(train.select(user, item, rating), "train-ratings")
+
+    def numbers(column: str, output: str) -> DataFrame:
+        return category_index(ratings, column, output).withColumn(output, F.col(output).cast("int"))
+
+    users, items = numbers(user, "_user"), numbers(item, "_item")
+    rows = attach_lookup(attach_lookup(ratings, users, user, "n_rows", item).drop("n_rows"), items, item, "n_rows", user)
+    with training_rows(rows.select("_user", "_item", rating), ["_user", "_item", rating], blocks) as placed:
+        model = estimator.copy().setUserCol("_user").setItemCol("_item").setNumBlocks(blocks).fit(placed)
+    return Recommender(model, user, item, users, items)
 
 
-def top_items(model: ALSModel, k: int = 3) -> DataFrame:
-    """The ``k`` best items of every user, as an array ordered by score."""
-    return model.recommendForAllUsers(k)
+def top_items(recommender: Recommender, k: int = 3, users: DataFrame | None = None) -> DataFrame:
+    """The ``k`` best items as an array ordered by score: of every user, or of those in the
+    user column of ``users`` who are known. Each of them is scored against every item,
+    block by block, so the cost is users times items."""
+    user, item, model = recommender.user, recommender.item, recommender.model
+    if users is None:
+        found = model.recommendForAllUsers(k)
+    else:
+        known = users.select(user).distinct().join(recommender.users, user).select("_user")
+        found = model.recommendForUserSubset(known, k)
+    each = found.select("_user", F.posexplode("recommendations").alias("_place", "_best")).select("_user", "_place", "_best.*")
+    named = each.join(recommender.items.select("_item", item), "_item")
+    ordered = F.sort_array(F.collect_list(F.struct("_place", item, "rating")))
+    best = F.transform(ordered, lambda x: F.struct(x[item].alias(item), x["rating"].alias("rating")))
+    listed = named.groupBy("_user").agg(best.alias("recommendations"))
+    return listed.join(recommender.users.select("_user", user), "_user").select(user, "recommendations")
 
 
 def flat_recommendations(recommendations: DataFrame, user: str = "user_id") -> DataFrame:

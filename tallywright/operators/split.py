@@ -12,11 +12,14 @@ from tallywright.functions.hashing import unit_hash
 
 
 def with_part(
-    df: DataFrame, keys: Sequence[str], output: str, weights: Sequence[float] = (0.8, 0.2), seed: int = 42
+    df: DataFrame, keys: Sequence[str], output: str, weights: Sequence[float] = (0.8, 0.2), seed: int = 42, purpose: str = "split"
 ) -> DataFrame:
-    """Number of the part (0, 1, ...) a row belongs to by the hash of its key."""
+    """Number of the part (0, 1, ...) a row belongs to by the hash of its key.
+
+    Parts of parts need another purpose, else the second choice follows from the first.
+    """
     total = sum(weights)
-    u = unit_hash(*keys, seed=seed)
+    u = unit_hash(*keys, purpose=purpose, seed=seed)
     part = F.lit(len(weights) - 1)
     bounds = list(accumulate(w / total for w in weights))[:-1]
     for number, bound in reversed(list(enumerate(bounds))):
@@ -34,7 +37,7 @@ def hash_split(
     """
     total = sum(weights)
     bounds = [0.0, *accumulate(w / total for w in weights)]
-    u = unit_hash(*keys, seed=seed)
+    u = unit_hash(*keys, purpose="split", seed=seed)
     last = len(weights) - 1
     parts = []
     for i in range(len(weights)):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import tokens
-from tallywright.operators.lookup import BROADCAST_ROWS, attach_lookup
+from tallywright.operators.lookup import attach_lookup
 from tallywright.sources.scratch import materialize
 
 
@@ -74,9 +75,22 @@ def idf_weights(df: DataFrame, words: str) -> DataFrame:
     return document_frequency(df, words).withColumn("idf", weight)
 
 
-def tf_idf(df: DataFrame, key: str, words: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Term count times idf for each term of each document."""
-    weights = materialize(idf_weights(df, words), "idf")
-    counts = term_frequency(df, key, words)
-    joined = attach_lookup(counts, weights, "term", "doc_freq", key, broadcast_rows)
+def tf_idf(df: DataFrame, key: str, words: str) -> DataFrame:
+    """Term count times idf for each term of each document.
+
+    Terms are counted once and stored; the number of documents of a term is the
+    number of its counts.
+    """
+    counts = materialize(term_frequency(df, key, words), "term_counts")
+    n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    weights = materialize(found.withColumn("idf", F.log((n_docs + 1) / (F.col("doc_freq") + 1))), "idf")
+    joined = attach_lookup(counts, weights, "term", "doc_freq", key)
     return joined.select(key, "term", "tf", "doc_freq", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
+
+
+def filled_buckets(df: DataFrame, key: str, counts: str) -> DataFrame:
+    """(key, bucket, tf) of the buckets of a count vector that are not empty; the others
+    never leave their row."""
+    every = F.transform(vector_to_array(F.col(counts)), lambda x, i: F.struct(i.alias("bucket"), x.alias("tf")))
+    return df.select(key, F.inline(F.filter(every, lambda s: s["tf"] > 0)))

@@ -79,8 +79,8 @@ def _weighted_f1() -> Column:
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
-    """The first threshold of the highest F1; 0.5 with F1 0 where none is above 0."""
-    best = sweep.agg(F.max(F.struct(F.col("f1"), (-F.col("step")).alias("neg_step"), "threshold")).alias("b"))
+    """The first threshold of the highest F1, compared to 12 digits; 0.5 with F1 0 where none is above 0."""
+    best = sweep.agg(F.max(F.struct(F.round("f1", 12).alias("r"), (-F.col("step")).alias("neg_step"), "threshold", "f1")).alias("b"))
     found = F.coalesce(F.col("b.f1") > 0, F.lit(False))
     return best.select(
         F.when(found, F.col("b.threshold")).otherwise(F.lit(DEFAULT_THRESHOLD)).alias("threshold"),

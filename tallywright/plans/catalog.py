@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions import dates, numbers
@@ -15,14 +16,16 @@ from tallywright.operators import (
     features,
     indexing,
     metrics,
+    models,
     recommend,
     split,
     text,
     thresholds,
+    tuning,
 )
-from tallywright.plans import churn, disease, fraud, recommendations, sales, sentiment, tables
+from tallywright.plans import churn, disease, fraud, recommendations, results, sales, sentiment, tables
 from tallywright.sources.readers import read_csv, read_parquet
-from tallywright.sources.scratch import scratch_path
+from tallywright.sources.scratch import materialize, scratch_path
 from tallywright.sources.writers import write_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +54,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     orders = tables.table(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     path = scratch_path(spark, "csv-scan")
     write_csv(orders, path)
-    return read_csv(spark, path, orders.schema)
+    return read_csv(spark, path, orders.schema, multi_line=False)
 
 
 @_query
@@ -65,6 +68,35 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, rows.schema)
 
 
+@_query
+def csv_roundtrip_text(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, most of them of several lines, through CSV files."""
+    rows = tables.table(spark, sf, "documents")
+    path = scratch_path(spark, "csv-roundtrip-text")
+    write_csv(rows, path, max_records=10_000)
+    return read_csv(spark, path, rows.schema)
+
+
+@_query
+def single_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and rows of a small report that is written as one file."""
+    report = balance.class_counts(tables.table(spark, sf, "orders"), "o_orderpriority")
+    path = scratch_path(spark, "single-file")
+    write_csv(report, path, single_file=True)
+    back = read_csv(spark, path, report.schema).withColumn("file", F.input_file_name())
+    return back.agg(F.countDistinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@_query
+def kept_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts by status and in all, from rows that are kept while both read them."""
+    orders = tables.table(spark, sf, "orders").select("o_orderstatus")
+    with models.kept(orders) as rows:
+        total = rows.count()
+        counts = balance.class_counts(rows, "o_orderstatus").withColumn("n_all", F.lit(total).cast("bigint"))
+        return materialize(counts, "kept-rows")
+
+
 @_query
 def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.table(spark, sf, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
@@ -139,6 +171,14 @@ def optional_column(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.with_column_or(present, "merchant_category", "merchant_index", 0.0)
 
 
+@_query
+def probability_of_class(spark: SparkSession, sf: str) -> DataFrame:
+    """The second entry of each row's probability vector."""
+    p = F.col("probability_1")
+    rows = tables.scored(spark, sf).withColumn("probability", array_to_vector(F.array(1 - p, p)))
+    return rows.select("transaction_id", numbers.class_probability("probability").alias("p"))
+
+
 @_query
 def rounded_prediction(spark: SparkSession, sf: str) -> DataFrame:
     rows = metrics.with_rounded(tables.rated(spark, sf), "prediction", "rounded")
@@ -196,6 +236,18 @@ def class_split(spark: SparkSession, sf: str) -> DataFrame:
     ).select("transaction_id", "side")
 
 
+@_query
+def fraud_rows_needed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the fraud jobs where only the label and the numbers must be there."""
+    return fraud.prepared(tables.transactions(spark, sf)).select("transaction_id", "merchant")
+
+
+@_query
+def fraud_rows_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the fraud jobs where no column may be null."""
+    return fraud.prepared(tables.transactions(spark, sf), complete="all").select("transaction_id", "merchant")
+
+
 # Dates
 
 
@@ -302,6 +354,21 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@_query
+def train_oversample(spark: SparkSession, sf: str) -> DataFrame:
+    """The training part of a split, balanced."""
+    rows = tables.transactions(spark, sf).select("transaction_id", "is_fraud")
+    train, _ = split.hash_split(rows, ["transaction_id"], (0.8, 0.2))
+    return balance.oversample_minority(train, "is_fraud", ["transaction_id"], copy_column="copy")
+
+
+@_query
+def fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in each of three folds of the training part of a split."""
+    train, _ = split.hash_split(tables.patients(spark, sf).select("patient_id"), ["patient_id"], (0.8, 0.2))
+    return balance.class_counts(tuning.with_folds(train, ["patient_id"], output="fold"), "fold")
+
+
 @_query
 def split_parts(spark: SparkSession, sf: str) -> DataFrame:
     """The part number of each order in a three-way split."""
@@ -364,6 +431,16 @@ def assemble_features(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("patient_id", *[values[i].alias(f"f{i}") for i in range(len(disease.FEATURES))])
 
 
+@_query
+def assemble_keep(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors of columns with nulls: a null is NaN there, and the row stays."""
+    discount = F.when(F.col("l_orderkey") % 7 != 0, F.col("l_discount"))
+    lines = tables.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", discount.alias("d"))
+    values = numbers.vector_to_array("features")
+    rows = features.assemble(lines, ["l_quantity", "d"], handle_invalid="keep")
+    return rows.select("l_orderkey", "l_linenumber", values[0].alias("f0"), F.isnan(values[1]).alias("missing"))
+
+
 @_query
 def tokenize(spark: SparkSession, sf: str) -> DataFrame:
     rows = text.with_words(tables.texts(spark, sf), "post_text", "words")
@@ -381,8 +458,7 @@ def hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
     """The filled buckets of each document's hashed term counts."""
     words = text.ml_words(tables.texts(spark, sf), "post_text", "words")
     counted = text.hashing_tf("words", "counts").transform(words)
-    slots = F.posexplode(numbers.vector_to_array("counts")).alias("bucket", "tf")
-    return counted.select("post_id", slots).filter("tf > 0")
+    return text.filled_buckets(counted, "post_id", "counts")
 
 
 @_query
@@ -554,3 +630,118 @@ def sentiment_lr_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Average F1 of every grid point."""
     grid = sentiment.sentiment_model(tables.posts(spark, sf)).grid
     return grid.select("numFeatures", "regParam", "avg_metric")
+
+
+# What SQL can know of the models' rows
+
+
+def _between(column: str, low: float = 0.0, high: float = 1.0) -> Column:
+    return F.col(column).between(low, high)
+
+
+def _logistic_rows(result: results.Scored, key: str, label: str, limit: float) -> DataFrame:
+    """Whether each probability is that of the fitted coefficients, and each prediction
+    that of the probability."""
+    fitted = result.model.stages[-1]
+    values = numbers.vector_to_array("features")
+    inputs = [values[i] for i in range(fitted.numFeatures)]
+    p = numbers.logistic_probability(inputs, fitted.coefficients.toArray().tolist(), fitted.intercept)
+    return result.predictions.select(
+        key,
+        label,
+        (F.abs(p - F.col("probability_1")) < 1e-9).alias("from_coefficients"),
+        (numbers.as_flag(F.col("probability_1") > limit) == F.col("prediction")).alias("by_threshold"),
+    )
+
+
+@_query
+def fraud_lr_rows(spark: SparkSession, sf: str) -> DataFrame:
+    result = fraud.fraud_logistic(tables.transactions(spark, sf), ["transaction_id"])
+    return _logistic_rows(result, "transaction_id", "is_fraud", 0.5)
+
+
+@_query
+def fraud_lr_threshold_rows(spark: SparkSession, sf: str) -> DataFrame:
+    result = fraud.fraud_logistic(tables.transactions(spark, sf), ["transaction_id"], threshold=0.4)
+    return _logistic_rows(result, "transaction_id", "is_fraud", 0.4)
+
+
+@_query
+def churn_lr_rows(spark: SparkSession, sf: str) -> DataFrame:
+    result = churn.churn_model(
+        tables.customers(spark, sf), categorical=tables.CHURN_CATEGORICAL, numeric=tables.CHURN_NUMERIC
+    )
+    return _logistic_rows(result, "customer_id", "churn_label", 0.5)
+
+
+@_query
+def fraud_rf_rows(spark: SparkSession, sf: str) -> DataFrame:
+    result = fraud.fraud_forest(tables.transactions(spark, sf), ["transaction_id"], depth=5)
+    best = result.best.select("threshold").scalar()
+    return result.predictions.select(
+        "transaction_id",
+        "is_fraud",
+        _between("probability_1").alias("in_range"),
+        (numbers.as_flag(F.col("probability_1") >= best) == F.col("prediction_best")).alias("by_threshold"),
+    )
+
+
+@_query
+def fraud_rf_deep_rows(spark: SparkSession, sf: str) -> DataFrame:
+    sweep = fraud.fraud_forest(tables.transactions(spark, sf), ["transaction_id"], depth=8).sweep
+    return sweep.select(
+        "step", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"), _between("f1").alias("in_range")
+    )
+
+
+@_query
+def price_rf_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A forest predicts means, so no prediction lies beyond the prices trained on."""
+    clean = _clean(spark, sf, *tables.SALES_COLUMNS)
+    rows = sales.price_model(clean, ["order_id"]).predictions
+    part = tables.table(spark, sf, "part").agg(F.struct(F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high"))).scalar()
+    return rows.select("order_id", "qty", "price", F.col("prediction").between(part["low"], part["high"]).alias("in_range"))
+
+
+@_query
+def als_predict_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = recommendations.recommendations(tables.ratings(spark, sf)).predictions
+    close = F.abs(F.col("prediction") - F.col("rounded")) < 0.00501
+    return rows.select("user_id", "product_id", F.round("rating", 9).alias("rating"), close.alias("rounded_well"), (F.col("prediction") >= 0).alias("not_negative"))
+
+
+@_query
+def top3_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and places; whether a score is below none that follows."""
+    model = recommend.fit_als(recommend.als(), tables.ratings(spark, sf))
+    listed = recommend.top_items(model, 3)
+    flat = recommend.flat_recommendations(listed)
+    after = F.lead("rating").over(Window.partitionBy("user_id").orderBy("place"))
+    return flat.withColumn("falls", F.coalesce(F.col("rating") >= after, F.lit(True))).select("user_id", "place", "falls")
+
+
+@_query
+def disease_grid_rows(spark: SparkSession, sf: str) -> DataFrame:
+    grid = disease.disease_model(tables.patients(spark, sf)).grid
+    return grid.select("numTrees", "maxDepth", _between("avg_metric").alias("in_range"))
+
+
+@_query
+def sentiment_lr_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = sentiment.sentiment_model(tables.posts(spark, sf), tune=False).scored.predictions
+    known = F.col("predicted_label").isin("positive", "negative", "neutral")
+    return rows.select("post_id", "sentiment", known.alias("known_label"))
+
+
+@_query
+def sentiment_grid_rows(spark: SparkSession, sf: str) -> DataFrame:
+    grid = sentiment.sentiment_model(tables.posts(spark, sf)).grid
+    return grid.select("numFeatures", "regParam", _between("avg_metric").alias("in_range"))
+
+
+@_query
+def hashing_tf_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed counts of each document in all, beside its words."""
+    words = text.ml_words(tables.texts(spark, sf), "post_text", "words")
+    buckets = text.filled_buckets(text.hashing_tf("words", "counts").transform(words), "post_id", "counts")
+    return buckets.groupBy("post_id").agg(F.sum("tf").cast("bigint").alias("n_words"))

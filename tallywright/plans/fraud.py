@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model, Pipeline
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallywright.operators import balance, cleaning, features, indexing, metrics, models, split, thresholds
 from tallywright.plans.results import Scored, classified, stored
@@ -23,6 +24,18 @@ def clean_transactions(df: DataFrame, subset: Sequence[str] | None = None) -> Da
     return cleaning.keep_positive(timed, "transaction_amount")
 
 
+def prepared(df: DataFrame, categorical: Sequence[str] = CATEGORICAL, complete: str = "needed") -> DataFrame:
+    """Clean rows with "unknown" for a missing category.
+
+    ``complete="needed"`` drops rows without a label or a number; ``"all"`` drops
+    those with a null in any column, before anything is filled.
+    """
+    if complete not in ("needed", "all"):
+        raise ValueError("complete is needed or all")
+    subset = [LABEL, *NUMERIC] if complete == "needed" else None
+    return cleaning.fill_present(clean_transactions(df, subset), categorical)
+
+
 def _encoder(df: DataFrame, categorical: Sequence[str]) -> tuple[DataFrame, list, list[str]]:
     """Stages that turn the columns into a vector. A category the source lacks
     becomes the constant 0."""
@@ -43,16 +56,16 @@ def fraud_logistic(
     categorical: Sequence[str] = CATEGORICAL,
     threshold: float | None = None,
     balance_first: bool = False,
+    complete: str = "needed",
     seed: int = 42,
     output: str | None = None,
 ) -> Scored:
     """Logistic regression on oversampled training rows.
 
-    By default the rows are split before they are balanced, so that no copy of
+    ``complete`` is that of ``prepared``. By default the rows are split before they are balanced, so that no copy of
     a training row is tested on. ``balance_first`` swaps the two steps.
     """
-    filled = cleaning.fill_present(clean_transactions(df, [LABEL, *NUMERIC]), categorical)
-    rows, stages, used = _encoder(filled, categorical)
+    rows, stages, used = _encoder(prepared(df, categorical, complete), categorical)
     if balance_first:
         balanced = balance.oversample_minority(rows, LABEL, keys, seed, copy_column="_copy")
         train, test = split.hash_split(balanced, [*keys, "_copy"], (0.8, 0.2), seed)
@@ -60,7 +73,7 @@ def fraud_logistic(
         train, test = split.hash_split(rows, keys, (0.8, 0.2), seed)
         train = balance.oversample_minority(train, LABEL, keys, seed)
     pipeline = Pipeline(stages=[*stages, models.logistic(LABEL, 10, threshold)])
-    model = models.fit(pipeline, train, [*used, LABEL])
+    model = models.fit(pipeline, train, [*used, LABEL], keys)
     predictions = stored(models.with_class_probability(model.transform(test)), "fraud-logistic", output)
     return classified(model, predictions, LABEL)
 
@@ -84,6 +97,7 @@ def fraud_forest(
     depth: int = 5,
     balancing: str = "weights",
     threshold_on: str = "validation",
+    complete: str = "needed",
     seed: int = 42,
     output: str | None = None,
 ) -> ForestResult:
@@ -95,11 +109,12 @@ def fraud_forest(
     """
     if balancing not in ("weights", "oversample", "both") or threshold_on not in ("validation", "test"):
         raise ValueError("balancing is weights, oversample or both; threshold_on is validation or test")
-    filled = cleaning.fill_present(clean_transactions(df, [LABEL, *NUMERIC]), categorical)
-    rows, stages, used = _encoder(filled, categorical)
+    rows, stages, used = _encoder(prepared(df, categorical, complete), categorical)
     with_validation = threshold_on == "validation"
     weights = (0.64, 0.16, 0.2) if with_validation else (0.8, 0.2)
-    train, *held_out = split.hash_split(rows, keys, weights, seed)
+    # Stored once with the part of each row: weights, fit, threshold and test all read it.
+    rows = stored(split.with_part(rows, keys, "_part", weights, seed), "fraud-rows")
+    train, *held_out = [rows.filter(F.col("_part") == i).drop("_part") for i in range(len(weights))]
     if balancing != "weights":
         train = balance.oversample_minority(train, LABEL, keys, seed)
     weight = None
@@ -108,7 +123,7 @@ def fraud_forest(
         train = balance.with_binary_weights(train, LABEL, weight)
     forest = models.forest_classifier(LABEL, trees, depth, weight, seed)
     columns = [*used, LABEL, *([weight] if weight else [])]
-    model = models.fit(Pipeline(stages=[*stages, forest]), train, columns)
+    model = models.fit(Pipeline(stages=[*stages, forest]), train, columns, keys)
 
     def score(part: DataFrame) -> DataFrame:
         return models.with_class_probability(model.transform(part))

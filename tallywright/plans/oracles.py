@@ -10,9 +10,9 @@ def _list(values: tuple[str, ...]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
-def _u(key: str) -> str:
-    """The keyed hash in [0, 1)."""
-    return f"(('0x' || substr(md5({key}::varchar || ':42'), 1, 8))::bigint / 4294967296.0::double)"
+def _u(key: str, purpose: str = "split") -> str:
+    """The keyed hash in [0, 1) for a purpose."""
+    return f"(('0x' || substr(md5({key}::varchar || ':42:{purpose}'), 1, 8))::bigint / 4294967296.0::double)"
 
 
 ORDER_DATES = """
@@ -78,7 +78,7 @@ SCORED = (
     + f""",
 scores as (
   select transaction_id, is_fraud,
-         0.7::double * {_u('transaction_id')} + 0.3::double * is_fraud as probability_1
+         0.7::double * {_u('transaction_id', 'score')} + 0.3::double * is_fraud as probability_1
   from transactions),
 scored as (select *, case when probability_1 >= 0.5::double then 1.0::double else 0.0::double end as prediction from scores)
 """
@@ -289,7 +289,7 @@ ORACLES: dict[str, str] = {
             from transactions),
       k as (select transaction_id, is_fraud,
                    case when is_fraud = 0 then 1
-                        else floor(m)::int + ({_u('transaction_id')} < m - floor(m))::int end as k
+                        else floor(m)::int + ({_u('transaction_id', 'copy')} < m - floor(m))::int end as k
             from transactions, m)
       select transaction_id, is_fraud, cast(unnest(generate_series(1, k)) as int) as copy from k""",
     "hash_split": f"""
@@ -383,4 +383,78 @@ ORACLES: dict[str, str] = {
         select transaction_id, 1.0::double / (1.0::double + exp(-(-0.5::double
           + transaction_amount * 0.02::double + customer_age * (-0.01::double)))) as p from transactions)
       select transaction_id, round(p, 9) as probability_1, cast(p > 0.4::double as int)::double as prediction from s""",
+    "csv_roundtrip_text": "select * from documents",
+    "single_file": "select 1::bigint as n_files, count(distinct o_orderpriority) as n_rows from orders",
+    "kept_rows": """
+      select o_orderstatus, count(*) as n_rows, (select count(*) from orders) as n_all from orders group by 1""",
+    "probability_of_class": f"with {SCORED} select transaction_id, probability_1 as p from scored",
+    "fraud_rows_needed": f"""
+      with {TRANSACTIONS} select transaction_id, coalesce(merchant, 'unknown') as merchant
+      from transactions where transaction_amount > 0""",
+    "fraud_rows_all": f"""
+      with {TRANSACTIONS} select transaction_id, merchant
+      from transactions where transaction_amount > 0 and merchant is not null""",
+    "train_oversample": f"""
+      with {TRANSACTIONS},
+      train as (select * from transactions where {_u('transaction_id')} < 0.8::double),
+      m as (select count(*) filter (where is_fraud = 0) / (count(*) filter (where is_fraud = 1))::double as m from train),
+      k as (select transaction_id, is_fraud,
+                   case when is_fraud = 0 then 1
+                        else floor(m)::int + ({_u('transaction_id', 'copy')} < m - floor(m))::int end as k
+            from train, m)
+      select transaction_id, is_fraud, cast(unnest(generate_series(1, k)) as int) as copy from k""",
+    "fold_sizes": f"""
+      with {PATIENTS},
+      train as (select {_u('patient_id', 'fold')} as u from patients where {_u('patient_id')} < 0.8::double)
+      select case when u < 1::double / 3 then 0 when u < 2::double / 3 then 1 else 2 end as fold, count(*) as n_rows
+      from train group by 1""",
+    "assemble_keep": """
+      select l_orderkey, l_linenumber, l_quantity as f0, l_orderkey % 7 = 0 as missing from lineitem""",
+    **{
+        name: f"""
+      with {TRANSACTIONS} select transaction_id, is_fraud, true as {check}, true as by_threshold
+      from transactions where transaction_amount > 0 and {_u('transaction_id')} >= 0.8::double"""
+        for name, check in (
+            ("fraud_lr_rows", "from_coefficients"),
+            ("fraud_lr_threshold_rows", "from_coefficients"),
+            ("fraud_rf_rows", "in_range"),
+        )
+    },
+    "fraud_rf_deep_rows": f"""
+      with {TRANSACTIONS},
+      held as (select is_fraud from transactions where transaction_amount > 0
+               and {_u('transaction_id')} >= 0.64::double and {_u('transaction_id')} < 0.8::double)
+      select cast(i as int) as step, count(*) filter (where is_fraud = 1) as positives,
+             count(*) filter (where is_fraud = 0) as negatives, true as in_range
+      from generate_series(0, 100) as g(i), held group by i""",
+    "churn_lr_rows": f"""
+      with {CUSTOMERS} select customer_id, case when churn = 'Y' then 1 else 0 end as churn_label,
+        true as from_coefficients, true as by_threshold
+      from customers where balance <> 'n/a' and order_count > 0""",
+    "price_rf_rows": f"""
+      with {CLEAN} select order_id, qty, price, true as in_range from clean where {_u('order_id')} >= 0.8::double""",
+    "als_predict_rows": f"""
+      with {RATED},
+      parted as (select *, {_u("user_id || ':' || product_id")} as u from ratings),
+      train as (select * from parted where u < 0.8::double)
+      select user_id, product_id, round(rating, 9) as rating, true as rounded_well, true as not_negative
+      from parted where u >= 0.8::double and user_id in (select user_id from train)
+        and product_id in (select product_id from train)""",
+    "top3_rows": """
+      select user_id, unnest([1, 2, 3]) as place, true as falls
+      from (select distinct o_custkey as user_id from orders join lineitem on l_orderkey = o_orderkey)""",
+    "disease_grid_rows": """
+      select trees::bigint as "numTrees", depth::bigint as "maxDepth", true as in_range
+      from (values (50), (100)) as t(trees), (values (5), (10)) as d(depth)""",
+    "sentiment_lr_rows": f"""
+      select post_id, sentiment, true as known_label from (
+        select doc_id as post_id, case when toxic = 1 then 'negative' when quality = 1 then 'positive'
+                                       else 'neutral' end as sentiment
+        from documents join labels using (doc_id))
+      where {_u('post_id')} >= 0.8::double""",
+    "sentiment_grid_rows": """
+      select n::bigint as "numFeatures", r::double as "regParam", true as in_range
+      from (values (1000), (2000)) as t(n), (values (0.01), (0.1)) as d(r)""",
+    "hashing_tf_totals": f"""
+      with {WORDS} select post_id, len(words) as n_words from filtered where len(words) > 0""",
 }

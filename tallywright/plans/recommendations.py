@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 
 from tallywright.operators import cleaning, metrics, recommend, split
@@ -14,7 +13,7 @@ from tallywright.sources.writers import write_csv
 
 @dataclass(frozen=True)
 class Recommendations:
-    model: ALSModel
+    model: recommend.Recommender
     predictions: DataFrame
     comparison: DataFrame
     metrics: DataFrame
@@ -27,7 +26,8 @@ def recommendations(
     rank: int = 10,
     max_iter: int = 10,
     rounded: bool = False,
-    blocks: int | None = None,
+    blocks: int = recommend.BLOCKS,
+    users: DataFrame | None = None,
     seed: int = 42,
     output: str | None = None,
 ) -> Recommendations:
@@ -35,7 +35,8 @@ def recommendations(
     stored once, since training and evaluation both read them.
 
     The comparison table counts predictions rounded to cents; ``rounded`` makes
-    the error figures use these too.
+    the error figures use these too. ``users`` (user_id) are those to recommend to, by
+    default all.
     """
     complete = stored(cleaning.drop_nulls(df.select("user_id", "product_id", "rating")), "ratings")
     train, test = split.hash_split(complete, ["user_id", "product_id"], (0.8, 0.2), seed)
@@ -51,5 +52,5 @@ def recommendations(
             predictions, "rating", "rounded", ("Actual_Rating", "Predicted_Rating"), "Count"
         ).orderBy("Actual_Rating", "Predicted_Rating"),
         metrics.regression_metrics(predictions, "rating", "rounded" if rounded else "prediction"),
-        recommend.top_items(model, k),
+        recommend.top_items(model, k, users),
     )

@@ -16,6 +16,7 @@ from tallywright.operators import aggregates, cleaning, features, indexing, metr
 from tallywright.plans.results import stored
 from tallywright.sources.writers import write_csv, write_parquet
 
+# The columns of the sales file.
 CATEGORICAL = ("city", "payment_method", "order_status")
 NUMERIC = ("qty", "discount_pct", "month", "day", "day_of_week")
 # What stands in for a null.
@@ -107,7 +108,7 @@ def price_model(
             models.forest_regressor("price", trees, depth, seed),
         ]
     )
-    model = models.fit(pipeline, train, columns)
+    model = models.fit(pipeline, train, columns, keys)
     scored = model.transform(test).drop("features", *indices, *vectors)
     predictions = stored(scored, "price-predictions")
     if output is not None:

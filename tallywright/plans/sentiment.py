@@ -60,7 +60,7 @@ def sentiment_model(
         grid = tuning.grid_scores(train, search)
         model: Model = search.bestModel
     else:
-        model = models.fit(pipeline, train, ["filtered_words", "label"])
+        model = models.fit(pipeline, train, ["filtered_words", "label"], keys)
     labels.setHandleInvalid("keep")
     scored = indexing.index_to_label(
         model.transform(labels.transform(test)), "prediction", labels.labels, "predicted_label"

@@ -73,6 +73,9 @@ def sales(
     What belongs to an order is joined to the orders, and the parts to the lines
     while these are narrow, so that no wide line is shuffled but once, by order.
     ``per_order`` is a step on columns of the order alone; it runs once per order.
+    The joins to parts and customers add columns to a row and no rows, so a best seller
+    or a giant customer makes one side of a shuffled join skewed, which Spark divides
+    at run time.
     """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
@@ -126,7 +129,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions with a probability that needs no model."""
     label = F.col("is_fraud")
-    p = F.lit(0.7) * unit_hash("transaction_id") + F.lit(0.3) * label
+    p = F.lit(0.7) * unit_hash("transaction_id", purpose="score") + F.lit(0.3) * label
     return (
         transactions(spark, sf_dir)
         .select("transaction_id", "is_fraud", p.alias("probability_1"))

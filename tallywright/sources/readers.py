@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header line.
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """CSV with a header line; quotes inside quoted text are doubled.
+
+    A quoted text may hold line breaks. Such a file cannot be divided among tasks, so
+    write many (``write_csv`` has ``max_records``), or read files whose fields are known
+    to have no line breaks with ``multi_line=False``, by which a large file is divided.
 
     A schema saves the extra pass over the file which inference needs, and its
     names are checked against the header. Without one the types are inferred.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    # Only an empty field without quotes is a null; a quoted one is an empty text.
+    reader = reader.option("nullValue", "\0null\0")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("enforceSchema", False).csv(path)

@@ -4,10 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths made since the innermost ``scratch_tables`` began.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes, when it ends, the scratch tables made inside. For a job that has written
+    its results by then; a frame that is still to be read needs its tables."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in made:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
@@ -35,7 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call uses."""
-    return f"{scratch_root(spark)}/tallywright/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/tallywright/{name}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -19,8 +19,10 @@ def flat_columns(df: DataFrame) -> DataFrame:
     return df.select(*[f.name for f in df.schema.fields if not isinstance(f.dataType, nested)])
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` is for small reports only.
+def write_csv(df: DataFrame, path: str, single_file: bool = False, max_records: int = 1_000_000) -> None:
+    """CSV with a header, in files of at most ``max_records`` rows. Any text comes back as it
+    was: line breaks and commas are quoted, quotes doubled, outer spaces kept.
+    ``single_file`` is for small reports only.
 
     The one-file form shuffles the finished rows to the writing task, so the
     work before it keeps its parallelism.
@@ -28,7 +30,10 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     flat = flat_columns(df)
     if single_file:
         flat = flat.repartition(1)
-    flat.write.mode("overwrite").option("header", True).csv(path)
+    writer = flat.write.mode("overwrite").option("header", True).option("escape", '"')
+    if not single_file:
+        writer = writer.option("maxRecordsPerFile", max_records)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def vectors_as_arrays(df: DataFrame) -> DataFrame:

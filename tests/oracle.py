@@ -7,6 +7,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -90,6 +91,7 @@ if __name__ == "__main__":
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="oracle-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

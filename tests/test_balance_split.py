@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywright.functions.hashing import unit_hash
-from tallywright.operators import balance, split
+from tallywright.operators import balance, split, tuning
 
 
 @pytest.fixture(scope="module")
@@ -28,14 +28,18 @@ def same_in_each_layout(df, operator):
 
 
 def test_hash_is_uniform_and_depends_on_the_seed(spark):
-    u = spark.range(20_000).select(unit_hash("id").alias("a"), unit_hash("id", seed=7).alias("b"))
-    row = u.agg(F.min("a"), F.max("a"), F.avg("a"), F.corr("a", "b")).first()
+    u = spark.range(20_000).select(
+        unit_hash("id", purpose="a").alias("a"),
+        unit_hash("id", purpose="a", seed=7).alias("b"),
+        unit_hash("id", purpose="b").alias("c"),
+    )
+    row = u.agg(F.min("a"), F.max("a"), F.avg("a"), F.corr("a", "b"), F.corr("a", "c")).first()
     assert row[0] >= 0 and row[1] < 1
-    assert abs(row[2] - 0.5) < 0.01 and abs(row[3]) < 0.05
+    assert abs(row[2] - 0.5) < 0.01 and abs(row[3]) < 0.05 and abs(row[4]) < 0.05
 
 
 def test_hash_of_null_is_a_value(spark):
-    assert spark.sql("select cast(null as int) as k").select(unit_hash("k").alias("u")).first()["u"] is not None
+    assert spark.sql("select cast(null as int) as k").select(unit_hash("k", purpose="a").alias("u")).first()["u"] is not None
 
 
 def test_split_is_whole_disjoint_and_stable(labelled):
@@ -132,9 +136,27 @@ def test_class_weights_of_three_classes(spark):
     assert balance.class_weights(df, "y", classes=2).filter("y = 'c'").first()["weight"] == 12 / 8
 
 
-def test_a_key_is_no_class_label(spark):
-    with pytest.raises(ValueError, match="no class label"):
-        balance.with_class_weights(spark.range(2000), "id", "w")
+def test_weights_of_five_thousand_classes(spark):
+    df = spark.range(12_000).select("id", (F.col("id") % 5000).alias("y"))
+    rows_of = {r["y"]: r["w"] for r in balance.with_class_weights(df, "y", "w").collect()}
+    assert rows_of == {y: 12_000 / (5000 * (3 if y < 2000 else 2)) for y in range(5000)}
+
+
+@pytest.mark.parametrize("ratio", [1.5, 1.8, 4.0])
+def test_copies_after_a_split_balance_the_classes(spark, ratio):
+    bound = int(1000 / (1 + ratio))
+    df = spark.range(100_000).select("id", (F.xxhash64("id") % 1000 + 1000).alias("h")).select(
+        "id", (F.col("h") % 1000 < bound).cast("int").alias("y")
+    )
+    train, _ = split.hash_split(df, ["id"])
+    counts = {r["y"]: r["count"] for r in balance.oversample_minority(train, "y", ["id"]).groupBy("y").count().collect()}
+    assert abs(counts[1] / counts[0] - 1) < 0.01
+
+
+def test_folds_of_a_training_part_are_equal(spark):
+    train, _ = split.hash_split(spark.range(60_000), ["id"])
+    sizes = [r["count"] for r in tuning.with_folds(train, ["id"]).groupBy("_fold").count().collect()]
+    assert len(sizes) == 3 and all(abs(n / sum(sizes) - 1 / 3) < 0.02 for n in sizes)
 
 
 def test_binary_weights_guard_an_absent_class(labelled):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallywright import __main__ as command
 from tallywright.sources import readers, schemas
+from tallywright.sources.scratch import scratch_root
 from tallywright.sources.writers import write_csv
 
 
@@ -17,6 +20,11 @@ def write_rows(spark, path, schema, columns, n=300):
     write_csv(spark.range(n).select(*[columns[name].alias(name) for name in names]), str(path))
 
 
+def scratch_files(spark):
+    folder = f"{scratch_root(spark)}/tallywright"
+    return os.listdir(folder) if os.path.exists(folder) else []
+
+
 def mod(n):
     return F.col("id") % n
 
@@ -103,8 +111,10 @@ def test_recommendations(spark, tmp_path):
         "timestamp": F.lit(0),
     }
     write_rows(spark, tmp_path / "in", schemas.RATINGS, columns)
+    before = set(scratch_files(spark))
     command.run(spark, "recommendations", str(tmp_path / "in"), str(tmp_path / "out"))
     top = spark.read.json(str(tmp_path / "out" / "top"))
+    assert set(scratch_files(spark)) == before
     assert top.groupBy("user_id").count().filter("count <> 3").count() == 0
 
 

@@ -189,10 +189,44 @@ def test_recommendations(spark, tmp_path):
 
 def test_cold_rows_are_dropped(spark):
     model = recommend.fit_als(recommend.als(rank=2, max_iter=2), rating_rows(spark))
-    new = spark.createDataFrame([(999, 1, 5), (1, 1, 5)], "user_id int, product_id int, rating int")
+    new = spark.createDataFrame([(999, 1, 5), (1, 1, 5), (1, 999, 5)], "user_id int, product_id int, rating int")
     assert [r["user_id"] for r in model.transform(new).collect()] == [1]
 
 
+def test_ids_of_any_size_and_chosen_users(spark):
+    """Ids beyond 2**31, and text, give what small numbers give."""
+    small = rating_rows(spark)
+    large = small.select((F.col("user_id") + 2**40).alias("user_id"), F.concat(F.lit("p"), "product_id").alias("product_id"), "rating")
+    model = recommend.fit_als(recommend.als(), large)
+    chosen = spark.createDataFrame([(2**40 + 3,), (2**40 + 4,), (5,)], "user_id long")
+    top = recommend.flat_recommendations(recommend.top_items(model, 3, chosen)).collect()
+    assert {r["user_id"] for r in top} == {2**40 + 3, 2**40 + 4} and len(top) == 6
+    assert all((int(r["product_id"][1:]) + r["user_id"]) % 2 == 0 for r in top)
+    assert recommend.top_items(model, 1).count() == 40
+    assert model.transform(large).count() == 800
+
+
+def test_fits_do_not_depend_on_the_layout(spark):
+    """Forests and factors from one, four and seven partitions are the same."""
+    cards, ratings = card_rows(spark), rating_rows(spark)
+
+    def scores(n):
+        forest = fraud.fraud_forest(cards.repartition(n), ["transaction_id"], trees=5, depth=4).predictions
+        factors = recommend.fit_als(recommend.als(rank=2, max_iter=3), ratings.repartition(n))
+        rows = [(r[0], r[1]) for r in forest.select("transaction_id", "probability_1").orderBy("transaction_id").collect()]
+        return rows, [round(r[0], 4) for r in factors.transform(ratings).orderBy("user_id", "product_id").select("prediction").collect()]
+
+    assert scores(1) == scores(4) == scores(7)
+
+
+def test_complete_rows(spark):
+    needed, every = (fraud.prepared(card_rows(spark), complete=c) for c in ("needed", "all"))
+    assert needed.count() > every.count() > 0
+    assert every.filter("merchant = 'unknown'").count() == 0 and needed.filter("merchant = 'unknown'").count() > 0
+    with pytest.raises(ValueError):
+        fraud.prepared(card_rows(spark), complete="some")
+
+
 def test_rounded_errors(spark):
     raw = recommendations.recommendations(rating_rows(spark), rank=2, max_iter=2).metrics.first()
     rounded = recommendations.recommendations(rating_rows(spark), rank=2, max_iter=2, rounded=True).metrics.first()
@@ -222,7 +256,7 @@ def test_disease(spark, tmp_path):
     assert readers.read_parquet(spark, str(tmp_path / "o")).count() == result.scored.predictions.count()
 
 
-POSTS = {"positive": "love this great phone", "negative": "never buy this awful phone again", "neutral": "it arrived today"}
+POSTS = {"positive": "love this\n\"great\" phone", "negative": "never buy this awful phone again", "neutral": "it arrived today"}
 
 
 def post_rows(spark):
@@ -244,5 +278,6 @@ def test_sentiment(spark, tmp_path, tune):
     if tune:
         assert result.grid.count() == 4
     out = readers.read_csv(spark, str(tmp_path / "o"))
+    assert {(r["post_id"], r["post_text"]) for r in out.collect()} == {(r["post_id"], r["post_text"]) for r in result.scored.predictions.collect()}
     assert out.columns == ["post_id", "post_text", "sentiment", "predicted_label"]
     assert out.filter("sentiment = predicted_label").count() > 0.9 * out.count()

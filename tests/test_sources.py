@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -67,16 +68,33 @@ def test_kept_rows_are_released(spark):
     assert not df.is_cached
 
 
-def test_training_rows_reach_every_core(spark):
-    one = spark.range(20_000).coalesce(1)
-    with models.training_rows(one) as rows:
-        assert rows.rdd.getNumPartitions() == 8
-        assert rows.count() == 20_000
-    with models.training_rows(spark.range(20).coalesce(1)) as rows:
-        assert rows.rdd.getNumPartitions() == 1
-    wide = spark.range(20_000).repartition(11)
-    with models.training_rows(wide) as rows:
-        assert rows.rdd.getNumPartitions() == 11
+def test_training_rows_lie_the_same_in_any_layout(spark):
+    def layout(df):
+        with models.training_rows(df, ["id"], 6) as rows:
+            assert rows.rdd.getNumPartitions() == 6
+            return rows.rdd.glom().collect()
+
+    df = spark.range(3000)
+    assert layout(df.coalesce(1)) == layout(df.repartition(4)) == layout(df.repartition(7))
+
+
+def test_texts_survive_csv(spark, tmp_path):
+    texts = ["plain", "two\nlines", 'a "quoted" one', "crlf\r\nend\r", "", None, "  spaces  ", "a,b;c\\", '"', "\\", "\\\"", "é😀", "x" * 100_000, "tab\t", ",", "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    writers.write_csv(df, str(tmp_path / "c"), max_records=3)
+    back = {r["id"]: r["text"] for r in readers.read_csv(spark, str(tmp_path / "c"), df.schema).collect()}
+    assert back == dict(enumerate(texts))
+
+
+def test_scratch_tables_go_when_the_job_ends(spark):
+    with scratch.scratch_tables(spark):
+        path = scratch.scratch_path(spark, "kept")
+        spark.range(3).write.parquet(path)
+        inner = scratch.materialize(spark.range(4), "inner")
+        assert inner.count() == 4 and os.path.exists(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
+    outside = scratch.materialize(spark.range(4), "outside")
+    assert outside.count() == 4
 
 
 def test_small_scans_are_dealt_out(spark, tmp_path):
