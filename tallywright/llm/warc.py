@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -206,16 +206,41 @@ def parse(path: str, data: bytes) -> Iterator[tuple]:
         at = stop + 4
 
 
+def _read(spark: SparkSession, path: str, each: Callable[[tuple], tuple], schema: str) -> DataFrame:
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = ((b.column(0)[i].as_py(), b.column(1)[i].as_py()) for b in batches for i in range(b.num_rows))
+        return _batches((each(row) for file in files for row in parse(*file)), schema)
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(records, schema)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives below ``path``, one row each with its block. Files are
     read whole, so they should be of some ten or hundred MB."""
+    return _read(spark, path, lambda row: row, READ)
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files = ((b.column(0)[i].as_py(), b.column(1)[i].as_py()) for b in batches for i in range(b.num_rows))
-        return _batches((row for file in files for row in parse(*file)), READ)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(records, READ)
+def _summary(row: tuple) -> tuple:
+    """A record with the length and digest of its payload in place of its block, where it is
+    a response of one part; a segment keeps its block."""
+    kind, segment, block = row[2], row[8], row[12]
+    if kind != "response" or segment is not None:
+        return *row[:12], block if kind in ("response", "continuation") else None, None, None
+    try:
+        payload = payload_of(block)
+    except ValueError as error:
+        return *row[:11], str(error), None, None, None
+    digest = hashlib.sha1(payload).hexdigest()
+    if row[7] not in (None, digest):
+        return *row[:11], "digest", None, None, None
+    return *row[:12], None, len(payload), digest
+
+
+def read_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all archives below ``path`` without what is not needed to judge them:
+    only segments, which must meet others first, have a block."""
+    return _read(spark, path, _summary, f"{READ}, payload_bytes long, digest string")
 
 
 def joined(segments: list[tuple[int, int | None, bytes]]) -> bytes:
@@ -280,20 +305,23 @@ def responses(records: DataFrame) -> DataFrame:
     return whole.mapInArrow(decode, RESPONSE).unionByName(sorted_cut.mapInArrow(decode, RESPONSE))
 
 
-def page_records(records: DataFrame) -> DataFrame:
+def page_records(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, problem) of each
-    response and revisit. The digest and length of a response are those of the payload
-    read; a revisit has those of the response that it refers to, and a problem where there
-    is none of its digest."""
-    read = materialize(
-        responses(records).select(
-            "page_id",
-            F.octet_length("payload").cast("long").alias("payload_bytes"),
-            F.sha1("payload").alias("payload_digest"),
-            "problem",
-        ),
-        "responses",
+    response and revisit in the archives below ``path``. The digest and length of a
+    response are those of the payload read; a revisit has those of the response that it
+    refers to, and a problem where there is none of its digest. The archives are read once.
+    """
+    records = materialize(read_summaries(spark, path), "records")
+    whole = records.filter("type = 'response' and segment is null").select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "problem"
+    )
+    cut = responses(records.filter("type = 'continuation' or segment is not null")).select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        "problem",
     )
+    read = whole.unionByName(materialize(cut, "reassembled"))
     seen = read.filter("problem is null").groupBy("page_id", "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
     there = seen.select(F.col("page_id").alias("original"), F.col("payload_digest").alias("digest"), "payload_bytes")
     asked = records.filter("type = 'revisit'").select("page_id", "payload_digest", "refers_to")

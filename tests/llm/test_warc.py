@@ -52,14 +52,14 @@ def test_odd_pages_make_the_round_trip(spark, tmp_path, segment, chunk, monkeypa
         assert sorted(bytes(r["payload"]) for r in got) == sorted((h or "").encode()[:90_000] for _, _, h in rows)
         return
     warc.write_archives(df, path)
-    got = warc.page_records(warc.read_records(spark, path)).collect()
+    got = warc.page_records(spark, path).collect()
     assert sorted((tuple(r) for r in got), key=str) == slow(rows)
 
 
 def test_no_pages(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(df, str(tmp_path / "a"))
-    assert warc.page_records(warc.read_records(spark, str(tmp_path / "a"))).count() == 0
+    assert warc.page_records(spark, str(tmp_path / "a")).count() == 0
 
 
 def record(**fields):
@@ -98,5 +98,7 @@ def test_what_is_not_whole_is_named(spark, tmp_path):
     records = warc.read_records(spark, str(folder)).cache()
     assert records.filter("problem like 'unreadable%'").count() == 1
     got = {r["record_id"]: (r["payload"] and bytes(r["payload"]), r["problem"] is None) for r in warc.responses(records).collect()}
+    pages = warc.page_records(spark, str(folder)).collect()
+    assert sum(r["problem"] is None for r in pages) == 4 and sum(r["problem"] is not None for r in pages) == 7
     right = {"whole": b"abc" * 100, "plain": b"hi", "extended": b"hi", "before": b"abc" * 100}
     assert got == {k: (v, True) for k, v in right.items()} | {k: (None, False) for k in ("gap", "headless", "short", "endless", "less", "cut", "forged")}
