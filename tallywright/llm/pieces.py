@@ -11,6 +11,7 @@ from itertools import count
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581  # how the vocabulary writes a space
 NO_PIECE = 0x110000  # stands for that letter itself where a text holds it
-# Code points of the texts that one lattice covers; a longer text has one of its own.
-CHARS = 1 << 21
+# Bytes of the texts that one lattice covers; a longer text has one of its own.
+CHARS = 1 << 20
 SLOT_BITS = 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # No piece holds a line feed, or a space behind another letter.
@@ -66,6 +67,9 @@ class Model:
             ranks = np.clip(-scores, 0, len(normal))
             self.log = -np.log(ranks + 2.7) - np.log(np.log(len(normal)))
         self.byte_log = float(self.log[list(normal.values())].min())
+        self.letters = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.sizes = np.fromiter(map(len, self.bytes), np.int64, size)
+        self.begins = np.cumsum(self.sizes) - self.sizes
         prefixes: dict[int, int] = {}
         for piece, i in normal.items():
             value = 0
@@ -75,17 +79,17 @@ class Model:
         if len(prefixes) != len({p[:k] for p in normal for k in range(1, len(p) + 1)}):
             raise ValueError("two beginnings of pieces have one hash")
         self.keys = np.array(sorted(prefixes), np.uint64)
-        self.ids = np.array([prefixes[int(k)] for k in self.keys], np.int64)
+        self.ids = np.array([prefixes[int(k)] for k in self.keys], np.int32)
         self.longest = max(map(len, normal))
         # Most beginnings are found by one look at a table; those whose slot another holds, by search.
         slots = (self.keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        self.slot = np.full(1 << SLOT_BITS, 0, np.int64)
+        self.slot = np.zeros(1 << SLOT_BITS, np.int32)
         self.slot[slots] = np.arange(len(slots))
         self.shared = np.bincount(slots, minlength=1 << SLOT_BITS) > 1
 
     def _find(self, value: np.ndarray) -> np.ndarray:
         """The place of each hash among the keys, or any place if it is not among them."""
-        slot = (value >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        slot = (value >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
         at = self.slot[slot]
         again = np.flatnonzero(self.shared[slot] & (self.keys[at] != value))
         at[again] = np.minimum(np.searchsorted(self.keys, value[again]), len(self.keys) - 1)
@@ -95,30 +99,32 @@ class Model:
         """(from, length, id) of each piece in the parts of a text; ``part`` and ``end`` are
         the part of each letter and the end of it. The id of a letter that goes by its
         bytes is -1 minus its code."""
-        start, value = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
-        alone = np.ones(len(codes), bool)
+        start = np.arange(len(codes), dtype=np.int32)
+        room = end - start
+        value = np.zeros(len(codes), np.uint64)
         found = []
         for length in range(1, self.longest + 1):
-            fits = start + length <= end[start]
-            start, value = start[fits], value[fits]
-            value = value * _FACTOR + codes[start + length - 1].astype(np.uint64) + np.uint64(1)
+            value = value * _FACTOR + (codes if length == 1 else codes[start + (length - 1)]).astype(np.uint64) + np.uint64(1)
             at = self._find(value)
             known = self.keys[at] == value
-            start, value, at = start[known], value[known], at[known]
-            ids = self.ids[at]
-            whole = ids >= 0
+            ids = np.where(known, self.ids[at], -1)
+            whole = np.flatnonzero(ids >= 0)
+            found.append((start[whole], np.full(len(whole), length, np.int32), ids[whole]))
             if length == 1:
-                alone[start[whole]] = False
-            found.append((start[whole], np.full(int(whole.sum()), length), ids[whole]))
-        letters = np.flatnonzero(alone)
-        found.append((letters, np.ones(len(letters), np.int64), -1 - codes[letters].astype(np.int64)))
+                letters = np.flatnonzero(ids < 0).astype(np.int32)
+                found.append((letters, np.ones(len(letters), np.int32), -1 - codes[letters]))
+            on = np.flatnonzero(known & (room > length))
+            start, value, room = start[on], value[on], room[on]
         starts, lengths, ids = (np.concatenate(x) for x in zip(*found))
         return starts + part[starts], lengths, ids  # each part has one node more than letters
 
     def _weights(self, ids: np.ndarray) -> np.ndarray:
-        codes = np.where(ids < 0, -1 - ids, 0)
+        weights = self.log.take(ids, mode="clip")
+        letters = np.flatnonzero(ids < 0)
+        codes = -1 - ids[letters]
         widths = 1 + (codes >= 0x80) + (codes >= 0x800) + ((codes >= 0x10000) & (codes != NO_PIECE))
-        return np.where(ids < 0, widths * self.byte_log, self.log[np.maximum(ids, 0)])
+        weights[letters] = widths * self.byte_log
+        return weights
 
     def sample(self, texts: Sequence[str], seeds: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the pieces of all texts in order, and where those of each text end.
@@ -134,17 +140,18 @@ class Model:
         if not len(occurrence):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         width = np.fromiter(map(len, number), np.int64, len(number))
-        codes = np.frombuffer("".join(number).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        codes = np.where(codes == SPACE, NO_PIECE, np.where(codes == 0x20, SPACE, codes))
+        codes = np.frombuffer("".join(number).encode("utf-32-le", "surrogatepass"), "<i4")
+        codes = np.where(codes == SPACE, np.int32(NO_PIECE), np.where(codes == 0x20, np.int32(SPACE), codes))
         stop = np.cumsum(width)
-        part = np.repeat(np.arange(len(width)), width)
+        part = np.repeat(np.arange(len(width), dtype=np.int32), width)
         base = stop - width + np.arange(len(width))  # the first node of each part
-        source, length, ids = self.arcs(codes, part, np.repeat(stop, width))
+        source, length, ids = self.arcs(codes, part, np.repeat(stop.astype(np.int32), width))
         target = source + length
         nodes = len(codes) + len(width)
-        place = np.arange(nodes) - np.repeat(base, width + 1)
+        place = (np.arange(nodes) - np.repeat(base, width + 1)).astype(np.int32)
         # By place in the part, then by node, then by length: all keys differ.
-        order = np.argsort((place[target] * nodes + target) * (self.longest + 1) + length)
+        order = np.argsort((place[target].astype(np.int64) * nodes + target) * (self.longest + 1) + length)
+        del length
         source, target, ids = source[order], target[order], ids[order]
         weight = alpha * self._weights(ids)
         heads = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1])))
@@ -213,10 +220,24 @@ class Model:
             out[at[has] + k] = self.byte_ids[value]
         return out, widths
 
+    def spell(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, ends) of the texts whose pieces end at ``ends``, without the space that was
+        put before each."""
+        sizes = self.sizes[ids]
+        last = np.cumsum(sizes)
+        from_ = np.repeat(self.begins[ids] - last + sizes, sizes)
+        data = self.letters[from_ + np.arange(len(from_))]
+        stops = np.concatenate(([0], last))[ends]
+        starts = np.concatenate(([0], stops[:-1]))
+        led = starts[stops > starts]
+        led = led[data[led] == 0x20]
+        kept = np.delete(data, led)
+        return kept, stops - np.searchsorted(led, stops)
+
     def text(self, ids: Sequence[int]) -> str:
-        """What the pieces spell, without the space put before the text."""
-        data = b"".join(map(self.bytes.__getitem__, ids))
-        return data[data[:1] == b" " :].decode("utf-8", "surrogatepass")
+        """What the pieces of one text spell."""
+        data, _ = self.spell(np.asarray(ids, np.int64), np.array([len(ids)]))
+        return data.tobytes().decode("utf-8", "surrogatepass")
 
 
 @functools.lru_cache(maxsize=2)
@@ -236,21 +257,19 @@ def encode(text: Column, *keys: str | Column, seed: int = 0, alpha: float = 1.0,
 
     @F.arrow_udf("array<int>")
     def sampled(texts: pa.Array, seeds: pa.Array) -> pa.Array:
-        words = texts.to_pylist()
         numbers = seeds.to_numpy().view(np.uint64)
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
         values, ends, at = [], [np.zeros(1, np.int64)], 0
-        while at < len(words):
-            stop, held = at, 0
-            while stop < len(words) and (held == 0 or held + len(words[stop] or "") <= CHARS):
-                held += len(words[stop] or "")
-                stop += 1
-            ids, last = model(path).sample([w or "" for w in words[at:stop]], numbers[at:stop], alpha)
+        while at < len(texts):
+            stop = max(int(np.searchsorted(np.cumsum(lengths[at:]), CHARS)), 1) + at
+            words = [w or "" for w in texts.slice(at, stop - at).to_pylist()]
+            ids, last = model(path).sample(words, numbers[at:stop], alpha)
             values.append(ids)
             ends.append(ends[-1][-1] + last)
             at = stop
         flat = pa.array(np.concatenate(values) if values else np.zeros(0, np.int32))
         offsets = np.concatenate(ends).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array([w is None for w in words], pa.bool_()))
+        return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=texts.is_null())
 
     # Declared so that a plan which uses the ids in several places draws them once.
     return sampled.asNondeterministic()(text, F.xxhash64(*keys, F.lit(seed)))
@@ -261,7 +280,17 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("string")
     def joined(rows: pa.Array) -> pa.Array:
-        spell = model(path).text
-        return pa.array([None if r is None else spell(r) for r in rows.to_pylist()], pa.string())
+        lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+        out, at = [], 0
+        while at < len(rows):
+            stop = max(int(np.searchsorted(np.cumsum(lengths[at:]), CHARS)), 1) + at
+            ids = rows.slice(at, stop - at).flatten().to_numpy()
+            data, ends = model(path).spell(ids, np.cumsum(lengths[at:stop]))
+            offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+            valid = rows.slice(at, stop - at).is_valid().to_numpy(zero_copy_only=False)
+            mask = pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
+            out.append(pa.Array.from_buffers(pa.string(), stop - at, [mask, offsets.buffers()[1], pa.py_buffer(data)]))
+            at = stop
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     return joined(ids)
