@@ -11,7 +11,7 @@ from tallywright.sources.scratch import materialize
 MIN_DOCS = 5
 MIN_CHARS = 40
 # Rows of one key that one task streams; a key with more is dealt into chunks.
-CHUNK = 1000
+CHUNK = 500
 WORD_BITS = 64
 
 
@@ -56,10 +56,12 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
     tasks = int(some.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = some.select(*keys, "doc_id", "pos").repartitionByRange(tasks, *keys)
     stream = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("doc_id"), "pos")
+    before = F.lag("doc_id").over(stream)
     firsts = (
-        ranged.withColumns({"place": F.row_number().over(stream), "nth_doc": F.dense_rank().over(stream)})
+        ranged.withColumn("place", F.row_number().over(stream))
+        .withColumn("opens", (F.col("place") == 1) | ~F.col("doc_id").eqNullSafe(before))
         .groupBy(*keys)
-        .agg(F.max(F.when(F.col("place") == 1, F.col("doc_id"))).alias("first"), F.max("nth_doc").alias("docs"))
+        .agg(F.max(F.when(F.col("place") == 1, F.col("doc_id"))).alias("first"), F.count_if("opens").alias("docs"))
     )
     shared = (
         firsts.groupBy("h1", "h2")

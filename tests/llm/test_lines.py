@@ -40,6 +40,8 @@ def odd_rows():
     rows = [(i, f"{a}\n own {i}\n\t{a.lower()} ") for i in range(7)]
     rows += [(i + 10, f"{b}\n{b}\nshort\n") for i in range(5)] + [(20, b[:39]), (21, b.upper())]
     rows += [(i + 30, f"{c.strip()}") for i in range(4)] + [(40, c.replace("ÉCOLE", "École")), (41, c.lower())]
+    four = "a line found five times in four documents only"
+    rows += [(70 + i, four if i else f"{four}\nx\n{four.upper()}") for i in range(4)]
     rows += [(50 + i, many) for i in range(6)]
     rows += [(60, None), (61, ""), (62, "\n\n"), (None, a), (None, None), (63, "y" * 300_000)]
     rows += [(5, f"{a}\nother text of five"), (5, f"{a}\nother text of five"), (6, "again 6\n" + a)]
