@@ -92,5 +92,6 @@ def tf_idf(df: DataFrame, key: str, words: str) -> DataFrame:
 def filled_buckets(df: DataFrame, key: str, counts: str) -> DataFrame:
     """(key, bucket, tf) of the buckets of a count vector that are not empty; the others
     never leave their row."""
-    every = F.transform(vector_to_array(F.col(counts)), lambda x, i: F.struct(i.alias("bucket"), x.alias("tf")))
-    return df.select(key, F.inline(F.filter(every, lambda s: s["tf"] > 0)))
+    tf = vector_to_array(F.col(counts))
+    at = F.array_remove(F.transform(tf, lambda x, i: F.when(x != 0, i).otherwise(F.lit(-1))), -1)
+    return df.select(key, F.inline(F.arrays_zip(at.alias("bucket"), F.array_remove(tf, 0.0).alias("tf"))))
