@@ -74,7 +74,7 @@ def test_no_rule_without_both_kinds_or_from_noise():
 
 def test_held_out_labels(spark):
     """Learned from the labelled half, tested on the other."""
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     stats = materialize(quality.with_statistics(docs).select("doc_id", "stats"), "statistics")
