@@ -147,10 +147,11 @@ from digested d left join shared s on d.payload_digest = s.payload_digest
 
 
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores are long, as in the SQL; one beyond that is an error there and here."""
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", topk.whole_components(F.col("embedding"), 256).alias("components")
     )
-    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5).withColumn("score", F.col("score").cast("long"))
 
 
 OP10_SQL = """

@@ -18,16 +18,26 @@ QUERIES = 256
 RUN = 16
 # Part of each list read before the bounds are looked at.
 DEPTHS = (1 / 16, 1 / 4, 1 / 2, 1.0)
-LARGEST = 1 << 26
+# Bound of the scores that are formed in longs; larger ones are formed in Python integers.
+LARGEST = 2.0**62
+SCORE = pa.decimal128(38, 0)
 
 
 def whole_components(vector: Column, factor: int = 256) -> Column:
     """floor(factor * x) of each component, as array<long>; null where the vector takes no
     part: it is null, empty, or holds a null, a non-finite component or one of which the
-    result would not fit 2**26, beyond which scores no longer fit a long."""
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * factor))
-    sound = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) * factor < LARGEST))
-    return F.when((F.size(vector) > 0) & sound, scaled)
+    result is not a long."""
+
+    def fits(x: Column) -> Column:  # a NaN is larger than any number
+        scaled = x.cast("double") * factor
+        return x.isNotNull() & (scaled >= -(2.0**63)) & (scaled < 2.0**63)
+
+    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * factor))
+    return F.when((F.size(vector) > 0) & F.forall(vector, fits), whole)
+
+
+def _fits(values: np.ndarray, kind: np.dtype) -> bool:
+    return np.iinfo(kind).min <= values.min() and values.max() <= np.iinfo(kind).max
 
 
 def _blocks(rows: int):
@@ -38,7 +48,7 @@ def _blocks(rows: int):
         def out(size: int) -> pa.RecordBatch:
             ids, vectors = waiting.pop(size)
             flat = np.concatenate(vectors)
-            width = 2 if np.abs(flat).max() < 1 << 15 else 4
+            width = next(w for w in (2, 4, 8) if _fits(flat, np.dtype(f"<i{w}")))
             columns = [
                 pa.array([size], pa.int32()),
                 pa.array([width], pa.int32()),
@@ -77,6 +87,48 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
+def _reach(vectors: np.ndarray) -> np.ndarray:
+    """The largest absolute component of each vector, as a double."""
+    return np.maximum(vectors.max(axis=1).astype(np.float64), -vectors.min(axis=1).astype(np.float64))
+
+
+def _wide(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray) -> list:
+    """As ``search``, for vectors of any whole components; the scores are Python integers.
+
+    Doubles with a bound of their error say which candidates can be among the k best.
+    """
+    v, q = vectors.astype(np.float64), queries.astype(np.float64)
+    about = q @ v.T
+    # Both conversions, the products and the sum err by (size + 2) / 2**53 of this; the rest is for the bound itself.
+    error = (np.abs(q) @ np.abs(v).T) * ((2 * vectors.shape[1] + 16) * 2.0**-53)
+    own = ids == query_ids[:, None]
+    if len(ids) >= k:
+        lower = np.where(own, -np.inf, about - error)
+        floor[:] = np.maximum(floor, np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k])
+    able = (about + error >= floor[:, None]) & ~own
+    found = []
+    for i in range(len(q)):
+        hits = np.flatnonzero(able[i])
+        scores = vectors[hits].astype(object) @ queries[i].astype(object)
+        found.append(_first(ids[hits].tolist(), scores.tolist(), k))
+    return found
+
+
+def _first(ids: list[int], scores: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_best``, of Python integers."""
+    order = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
+    return np.array([ids[i] for i in order], np.int64), np.array([scores[i] for i in order], object)
+
+
+def _decimals(scores: list[np.ndarray]) -> pa.Array:
+    if all(s.dtype == np.int64 for s in scores):
+        return pa.array(np.concatenate(scores)).cast(SCORE)
+    flat = [int(x) for s in scores for x in s]
+    if any(abs(x) >= 10**38 for x in flat):
+        raise OverflowError("a score has more than 38 digits")
+    return pa.array(flat, SCORE)
+
+
 class Lists:
     """The components of a block of candidates as one sorted list per dimension.
 
@@ -109,11 +161,18 @@ def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors:
 
     All lists are read in parallel to growing depths. A candidate whose upper bound is
     below k lower bounds is out, seen or not; the rest is read further until it is read
-    whole, which resolves the scores. Candidates that may tie stay in.
+    whole, which resolves the scores. Candidates that may tie stay in. Those of which a
+    score may not fit a long are taken apart.
     """
     if not len(vectors) or not len(queries):
         return [(ids[:0], np.zeros(0, np.int64)) for _ in queries]
-    largest = float(np.abs(vectors).max()) * float(np.abs(queries).max()) * vectors.shape[1]
+    bound = _reach(vectors) * _reach(queries).max() * vectors.shape[1]
+    wide = bound >= LARGEST
+    if wide.any():
+        apart = _wide(query_ids, queries, ids[wide], vectors[wide], k, floor)
+        rest = search(query_ids, queries, ids[~wide], vectors[~wide], k, floor)
+        return [_first([*a.tolist(), *b.tolist()], [*x.tolist(), *y.tolist()], k) for (a, x), (b, y) in zip(apart, rest)]
+    largest = bound.max()
     kind = np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
     lists, q = Lists(vectors, kind), queries.astype(kind)
     positive, negative = np.maximum(q, 0), np.minimum(q, 0)
@@ -158,6 +217,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     and components take no part, and vectors of another length than the query's do
     not meet it. A query never meets rows of its own vec_id. A candidate row that is
     repeated counts each time; of queries that share a vec_id the smallest vector asks.
+    Components may be any longs. A score is decimal(38, 0) and exact; one that is among the
+    k best of a block and has more digits is an error.
 
     Blocks of candidates meet blocks of queries, in as many tasks as there are pairs of
     a query block and ``RUN`` candidate blocks. A task gives k rows for each query and
@@ -194,9 +255,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 floor = floors.setdefault(r["query_block"], np.full(len(wanted), -np.inf))
                 found = search(query_ids, wanted, ids, there, k, floor)
                 lengths = [len(x) for x, _ in found]
-                columns = [np.repeat(query_ids, lengths), *(np.concatenate(c).astype(np.int64) for c in zip(*found))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+                near_ids = np.concatenate([x for x, _ in found]).astype(np.int64)
+                columns = [pa.array(np.repeat(query_ids, lengths)), pa.array(near_ids), _decimals([x for _, x in found])]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
-    near = left.join(right, ["size", "slot", "run"]).mapInArrow(scores, "query_id long, vec_id long, score long")
+    near = left.join(right, ["size", "slot", "run"]).mapInArrow(scores, "query_id long, vec_id long, score decimal(38, 0)")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

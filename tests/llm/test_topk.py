@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -66,3 +67,39 @@ def test_bounds_hold_at_every_depth():
             assert (low >= last[0]).all() and (high <= last[1]).all()
         last = low, high
     assert (low == exact).all()
+
+
+def test_outliers_stay_in_the_query(spark, sf_dir, tmp_path):
+    for name in os.listdir(sf_dir):
+        if name != "embeddings.parquet":
+            os.symlink(f"{sf_dir}/{name}", tmp_path / name)
+    given = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    at, kind = F.col("vec_id"), given.schema["embedding"].dataType.elementType
+    far = F.when(at % 50 == 0, 300_000.0).when(at % 50 == 7, -270_000.0).cast(kind)
+    out = F.when(far.isNotNull() & (at < 200), F.concat(F.array(far), F.slice("embedding", 2, 10_000))).otherwise(F.col("embedding"))
+    given.withColumn("embedding", out).coalesce(1).write.parquet(str(tmp_path / "made"))
+    os.symlink(next((tmp_path / "made").glob("*.parquet")), tmp_path / "embeddings.parquet")
+    assert oracle.compare(op10_top_k(spark, str(tmp_path)), oracle.connect(str(tmp_path)), OP10_SQL) == []
+
+
+def test_components_that_convert_to_a_long_stay(spark):
+    rows = [(1, [262144.0, 0.5]), (2, [-262144.0, 0.5]), (3, [-(2.0**55), 0.0]), (4, [2.0**55, 0.0]), (5, [2.0**54, -1e6])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = {r[0]: r[1] for r in df.select("vec_id", topk.whole_components(F.col("v"))).collect()}
+    assert got == {1: [1 << 26, 128], 2: [-(1 << 26), 128], 3: [-(1 << 63), 0], 4: None, 5: [1 << 62, -256_000_000]}
+
+
+@pytest.mark.parametrize("bits, share", [(31, 1.0), (40, 0.05), (58, 0.3), (62, 0.01), (62, 1.0)])
+def test_scores_beyond_a_long(spark, monkeypatch, bits, share):
+    """Some or all vectors are wide, many differ by one in a component, some are copies."""
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERIES", 16)
+    rng = np.random.default_rng(bits)
+    wide, small = rng.integers(-(1 << bits), 1 << bits, (150, 6)), rng.integers(-9, 10, (150, 6))
+    made = np.where(rng.random((150, 1)) < share, wide, small).tolist()
+    rows = list(enumerate(made)) + [(200 + i, [*made[0][:-1], made[0][-1] - i // 4]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, components array<long>")
+    got = {}
+    for r in topk.top_k(df, df, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((-int(r["score"]), r["vec_id"]))
+    assert got == brute(rows, 5)
