@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -147,61 +148,100 @@ def labelled_cells(stats: DataFrame, labels: DataFrame) -> list[Cell]:
     return [Cell({n: r[n] for n in bins}, r["grows"], r["bad"], r["good"]) for r in rows]
 
 
-def _totals(cells: Sequence[Cell]) -> tuple[int, int]:
-    return sum(c.bad for c in cells), sum(c.good for c in cells)
+class _Rows:
+    """Cells as arrays: a bin of each by measure, and their numbers of bad and good rows."""
 
+    def __init__(self, cells: Sequence[Cell]) -> None:
+        self.bins = {m: np.array([c.bins[m] for c in cells], np.int64) for m in MEASURES}
+        self.bad = np.array([c.bad for c in cells], np.int64)
+        self.good = np.array([c.good for c in cells], np.int64)
 
-def _grow(cells: list[Cell]) -> list[Test]:
+    def meet(self, rule: Sequence[Test]) -> np.ndarray:
+        met = np.ones(len(self.bad), bool)
+        for test in rule:
+            met &= (self.bins[test.measure] > THRESHOLDS[test.measure].index(test.threshold)) == test.above
+        return met
+
+    def totals(self, where: np.ndarray) -> tuple[int, int]:
+        return int(self.bad[where].sum()), int(self.good[where].sum())
+
+
+def _grow(rows: _Rows, here: np.ndarray) -> list[Test]:
     """Adds the test with the largest information gain until no good row is left or
     no test gains. Of equal tests the one that covers less is taken."""
     rule: list[Test] = []
     while True:
-        bad, good = _totals(cells)
+        bad, good = rows.totals(here)
         if not bad or not good:
             return rule
         before = math.log2(bad / (bad + good))
         found = []
         for name in MEASURES:
+            size = len(THRESHOLDS[name]) + 1
+            bins = rows.bins[name][here]
+            below_bad, below_good = (np.bincount(bins, x[here], size).cumsum().tolist() for x in (rows.bad, rows.good))
             for place, threshold in enumerate(THRESHOLDS[name]):
                 for above in (True, False):
-                    test = Test(name, threshold, above)
-                    p, n = _totals([c for c in cells if c.meets(test)])
+                    p, n = below_bad[place], below_good[place]
+                    if above:
+                        p, n = bad - p, good - n
                     gain = p * (math.log2(p / (p + n)) - before) if p else 0.0
-                    found.append((round(gain, 9), place if above else -place, test))
+                    found.append((round(gain, 9), place if above else -place, Test(name, threshold, above)))
         gain, _, test = max(found, key=lambda x: x[:2])
         if gain <= 0:
             return rule
         rule.append(test)
-        cells = [c for c in cells if c.meets(test)]
+        here = here & rows.meet([test])
 
 
-def _prune(rule: list[Test], cells: list[Cell]) -> list[Test]:
+def _prune(rule: list[Test], rows: _Rows, here: np.ndarray) -> list[Test]:
     """The shortest beginning of the rule whose share of bad rows, on rows that did not
     grow it, is the largest."""
 
     def worth(size: int) -> float:
-        p, n = _totals([c for c in cells if all(c.meets(t) for t in rule[:size])])
+        p, n = rows.totals(here & rows.meet(rule[:size]))
         return (p - n) / (p + n) if p + n else -1.0
 
     return rule[: max(range(1, len(rule) + 1), key=lambda size: (worth(size), -size))] if rule else rule
 
 
-def learn(cells: list[Cell], precision: float = 0.9, support: int = 5, most: int = 20) -> list[list[Test]]:
+def _by_chance(bad: int, good: int, share: float) -> float:
+    """A bound of the probability that of ``bad + good`` rows ``bad`` or more are bad, where
+    ``share`` of all rows are: exact if none is good, else that of Chernoff."""
+    n = bad + good
+    if not n or share <= 0 or bad <= share * n:
+        return 1.0
+    distance = bad * math.log(bad / n / share) + (good * math.log(good / n / (1 - share)) if good else 0.0)
+    return math.exp(-distance)
+
+
+def learn(cells: list[Cell], precision: float = 0.9, chance: float = 0.05) -> list[list[Test]]:
     """Sequential covering: an ordered list of rules that reject.
 
-    Each rule is grown on two thirds of the labelled rows and pruned on the rest; it
-    is taken if at least ``support`` rows of the rest are bad under it and their share is
-    ``precision`` or more. Rows under it leave, and the next is grown. Without labelled
-    rows of both kinds there is no rule.
+    Each rule is grown on two thirds of the labelled rows and pruned on the rest. It is
+    taken if at least ``precision`` of the rows of the rest under it are bad, and so many that
+    by chance, at the share of bad rows left there, any rule would be taken with a
+    probability of ``chance`` at most: the t-th one tried has ``chance / t(t+1)`` of it. Rows
+    under it leave, and the next is grown. What a rule covers that is not taken grows no
+    other, and the search goes on with the remaining rows until no rule grows. Without
+    labelled rows of both kinds there is no rule.
     """
     rules: list[list[Test]] = []
-    while len(rules) < most:
-        rule = _prune(_grow([c for c in cells if c.grows]), [c for c in cells if not c.grows])
-        bad, good = _totals([c for c in cells if not c.grows and all(c.meets(t) for t in rule)])
-        if not rule or bad < support or bad < precision * (bad + good):
-            return rules
-        rules.append(rule)
-        cells = [c for c in cells if not all(c.meets(t) for t in rule)]
+    rows, tried = _Rows(cells), 0
+    growing = np.array([c.grows for c in cells], bool)
+    held = ~growing
+    while grown := _grow(rows, growing):
+        tried += 1
+        rule = _prune(grown, rows, held)
+        met = rows.meet(rule)
+        bad, good = rows.totals(held & met)
+        left = rows.totals(held)
+        likely = _by_chance(bad, good, left[0] / max(1, sum(left)))
+        if bad >= precision * (bad + good) and likely <= chance / (tried * (tried + 1)):
+            rules.append(rule)
+            growing, held = growing & ~met, held & ~met
+        else:
+            growing = growing & ~rows.meet(grown)
     return rules
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 
@@ -94,3 +95,36 @@ def test_stage_keeps_columns_and_good_rows(spark):
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[3], rows[4]], key=str)
     assert quality.keep_good(df.limit(0), labels.limit(0)).count() == 0
+
+
+def test_few_held_out_labels(spark):
+    """As on sf0.1, where few bad labels are left."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    stats = materialize(quality.with_statistics(docs).select("doc_id", "stats"), "statistics")
+    rules = quality.fit(stats, labels.filter("doc_id % 2 = 0"))
+    assert rules
+    rest = stats.join(labels.filter("doc_id % 2 = 1"), "doc_id").filter(~quality.base_failed())
+    r = rest.select((F.col("quality") == 0).alias("bad"), quality.verdict(rules).alias("kept")).toPandas()
+    assert ((~r["kept"]) == r["bad"]).mean() > 0.97
+
+
+def test_rare_kinds_are_learned_behind_a_rule_that_fails():
+    """Short words are bad only where rules grow, so this rule fails; many symbols are always bad, but rare."""
+    data = [({"chars_per_word": 0}, True, 60, 0), ({"chars_per_word": 0}, False, 0, 30), ({"chars_per_word": 4}, True, 0, 900)]
+    data += [({"chars_per_word": 4}, False, 0, 450), ({"chars_per_word": 4, "symbols_per_100_words": 6}, True, 6, 0)]
+    data += [({"chars_per_word": 4, "symbols_per_100_words": 6}, False, 3, 0)]
+    rules = quality.learn(cells(data))
+    assert [[str(t) for t in rule] for rule in rules] == [["symbols_per_100_words >= 50"]]
+
+
+def test_more_than_twenty_kinds_are_learned():
+    """Bad and good by turns along three measures, so that each kind needs a rule of its own."""
+    sizes = {"words": 7, "chars_per_word": 10, "symbols_per_100_words": 9}
+    kinds = [dict(zip(sizes, at)) for at in itertools.product(*map(range, sizes.values()))]
+    data = [(k, g, *((0, 900) if any(i % 2 for i in k.values()) else (300, 0))) for k in kinds for g in (True, False)]
+    rules = quality.learn(cells(data))
+    assert len(rules) > 20
+    for c in cells(data):
+        assert any(all(c.meets(t) for t in rule) for rule in rules) == (c.bad > 0)
