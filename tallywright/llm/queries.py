@@ -129,7 +129,7 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Archives of all pages are written to the shared folder and read back."""
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path)
-    return warc.page_records(spark, path).drop("problem")
+    return warc.page_records(spark, path, unreadable=True).drop("problem")
 
 
 OP9_SQL = """

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -172,9 +175,26 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT)
     records.write.option("lineSep", LINE * 2).option("maxRecordsPerFile", FILE_RECORDS).mode("overwrite").text(path)
 
 
+# A record begins at a line of its version.
+BEGIN = re.compile(rb"\nWARC/\d")
+
+
+def sha1_hex(declared: str | None) -> str | None:
+    """A declared SHA-1 digest, in hex or base32, as lower-case hex; other texts as they are."""
+    value = re.sub("^sha-?1:", "", (declared or "").strip(), flags=re.IGNORECASE)
+    if re.fullmatch("[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    if len(value) == 32:
+        try:
+            return base64.b32decode(value.upper()).hex()
+        except binascii.Error:
+            return value
+    return value or None
+
+
 def parse(path: str, data: bytes) -> Iterator[tuple]:
-    """The records of one archive, by their Content-Length. What cannot be parsed ends the
-    file with one row that names the problem."""
+    """The records of one archive, by their Content-Length. For what cannot be parsed there is
+    a row that names the problem; reading goes on at the next line that begins a record."""
     at = 0
     while at < len(data):
         try:
@@ -188,7 +208,11 @@ def parse(path: str, data: bytes) -> Iterator[tuple]:
                 raise ValueError("record end")
         except (ValueError, KeyError) as error:
             yield (path, at, None, None, None, None, None, None, None, None, None, f"unreadable: {error}", None)
-            return
+            following = BEGIN.search(data, at)
+            if following is None:
+                return
+            at = following.start() + 1
+            continue
 
         def number(name: str) -> int | None:
             return int(head[name]) if head.get(name, "").lstrip("-").isdigit() else None
@@ -200,7 +224,7 @@ def parse(path: str, data: bytes) -> Iterator[tuple]:
         yield (
             path, at, head.get("warc-type"), bare("warc-record-id"), head.get("warc-target-uri"), number("page-id"),
             int(refers[2]) if refers[:2] == ["urn", "page"] and refers[2].lstrip("-").isdigit() else None,
-            head.get("warc-payload-digest", "").removeprefix("sha1:") or None, number("warc-segment-number"),
+            sha1_hex(head.get("warc-payload-digest")), number("warc-segment-number"),
             bare("warc-segment-origin-id"), number("warc-segment-total-length"), None, block,
         )
         at = stop + 4
@@ -305,11 +329,13 @@ def responses(records: DataFrame) -> DataFrame:
     return whole.mapInArrow(decode, RESPONSE).unionByName(sorted_cut.mapInArrow(decode, RESPONSE))
 
 
-def page_records(spark: SparkSession, path: str) -> DataFrame:
+def page_records(spark: SparkSession, path: str, unreadable: bool = False) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, problem) of each
     response and revisit in the archives below ``path``. The digest and length of a
     response are those of the payload read; a revisit has those of the response that it
-    refers to, and a problem where there is none of its digest. The archives are read once.
+    refers to, and a problem where there is none of its digest. With ``unreadable`` a
+    stretch of a file that cannot be parsed is a row of that record type with its problem,
+    all else null. The archives are read once.
     """
     records = materialize(read_summaries(spark, path), "records")
     whole = records.filter("type = 'response' and segment is null").select(
@@ -337,4 +363,8 @@ def page_records(spark: SparkSession, path: str) -> DataFrame:
     own = read.select(
         "page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "problem"
     )
-    return own.unionByName(revisits)
+    lost = records.filter("problem like 'unreadable:%'").select(
+        "page_id", "payload_bytes", "payload_digest", F.lit("unreadable").alias("record_type"), "refers_to", "problem"
+    )
+    every = own.unionByName(revisits)
+    return every.unionByName(lost) if unreadable else every

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections import defaultdict
 
@@ -102,3 +103,29 @@ def test_what_is_not_whole_is_named(spark, tmp_path):
     assert sum(r["problem"] is None for r in pages) == 4 and sum(r["problem"] is not None for r in pages) == 7
     right = {"whole": b"abc" * 100, "plain": b"hi", "extended": b"hi", "before": b"abc" * 100}
     assert got == {k: (v, True) for k, v in right.items()} | {k: (None, False) for k in ("gap", "headless", "short", "endless", "less", "cut", "forged")}
+
+
+def test_archives_of_others_lose_no_records(spark, tmp_path):
+    """Unreadable stretches are named, reading goes on behind them, and digests may be base32."""
+    body = b"abc" * 100
+    block = warc.HTTP + warc.framed(body)
+    sha1 = hashlib.sha1(body)
+    digests = ["sha1:" + base64.b32encode(sha1.digest()).decode(), "SHA1:" + sha1.hexdigest().upper(), "sha1:" + sha1.hexdigest()]
+    wrong = "sha1:" + base64.b32encode(bytes(20)).decode()
+
+    def response(number, digest):
+        return record(WARC_Type="response", WARC_Record_ID=f"<r{number}>", Page_ID=number, WARC_Payload_Digest=digest, block=block)
+
+    whole = [response(n, d) for n, d in enumerate([*digests, wrong])]
+    revisit = record(WARC_Type="revisit", WARC_Record_ID="<v>", Page_ID=9, WARC_Refers_To="<urn:page:2>", WARC_Payload_Digest=digests[0], block=b"")
+    (tmp_path / "w").mkdir()
+    broken = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n"
+    data = whole[0] + broken + whole[1] + b"noise without a head\r\n" + whole[2] + whole[3] + revisit + whole[0][:-30]
+    (tmp_path / "w" / "a").write_bytes(data)
+    (tmp_path / "w" / "b").write_bytes(b"nothing")
+    got = [tuple(r) for r in warc.page_records(spark, str(tmp_path / "w"), unreadable=True).collect()]
+    right = [(n, 300, sha1.hexdigest(), "response", None, None) for n in range(3)]
+    right += [(3, None, None, "response", None, "digest"), (9, 300, sha1.hexdigest(), "revisit", 2, None)]
+    assert sorted((r for r in got if r[3] != "unreadable"), key=str) == sorted(right, key=str)
+    lost = [r for r in got if r[3] == "unreadable"]
+    assert len(lost) == 4 and all(r[:3] == (None, None, None) and r[5].startswith("unreadable: ") for r in lost)
