@@ -16,8 +16,8 @@ from tallywright.sources.scratch import materialize
 
 VERSION = "WARC/1.1"
 LINE = "\r\n"
-# A block is cut into segments of this many bytes.
-SEGMENT = 1 << 16
+# A block is cut into segments of this many bytes: fewer than many pages have.
+SEGMENT = 1 << 14
 # Records of one file. With the length of a segment it bounds what a reader holds.
 FILE_RECORDS = 4000
 # Bytes of one chunk of the transfer framing.

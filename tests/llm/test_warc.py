@@ -28,6 +28,13 @@ def slow(rows):
     return sorted(out, key=str)
 
 
+def test_given_pages_are_cut_into_segments(spark, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    warc.write_archives(pages, str(tmp_path / "a"))
+    kinds = {r["type"]: r["count"] for r in warc.read_records(spark, str(tmp_path / "a")).groupBy("type").count().collect()}
+    assert kinds.get("continuation", 0) > 0
+
+
 def odd_pages():
     long = "é😀\r\n\r\nWARC/1.1\r\n" * 30_000
     big, small = "x" * 1000, "y" * 999
