@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import counts, lines, packing, pieces, quality, sharding, simhash, topk, urls, warc
+from tallywright.llm import (
+    contamination,
+    counts,
+    lines,
+    middle,
+    packing,
+    pieces,
+    quality,
+    resample,
+    sharding,
+    simhash,
+    topk,
+    urls,
+    warc,
+)
 from tallywright.sources.scratch import materialize, scratch_path
 
 
@@ -187,6 +201,97 @@ from marked group by doc_id
 """
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = contamination.contamination(docs, table(spark, folder, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP11_SQL = r"""
+with doc_words as (
+    select doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents),
+item_words as (
+    select item_id::varchar as item, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from benchmark),
+item_places as (
+    select item, w, least(len(w), 10) as size, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) as i
+    from item_words where len(w) > 0),
+grams as (select distinct item, size, array_to_string(w[i:i + size - 1], ' ') as gram from item_places),
+doc_places as (
+    select doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) as i
+    from doc_words, (select distinct size from grams) where len(w) >= size),
+doc_grams as (select doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') as gram from doc_places),
+hits as (
+    select doc_id, i, d.size from doc_grams d
+    where exists (select 1 from grams g where g.gram = d.gram and g.size = d.size)),
+covered as (
+    select doc_id, count(distinct place) as n_hit
+    from (select doc_id, unnest(generate_series(i, i + size - 1)) as place from hits) group by doc_id),
+found as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, item from doc_grams d join grams g on g.gram = d.gram and g.size = d.size) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words d left join covered c on d.doc_id = c.doc_id left join found f on d.doc_id = f.doc_id
+"""
+
+
+def op12_middle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return middle.with_middle(docs).select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = """
+with drawn as (
+    select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+           sha256('1:' || coalesce(doc_id::varchar, '')) as h
+    from documents),
+numbers as (
+    select *, ('0x' || h[1:8])::bigint % (n + 1) as a, ('0x' || h[9:16])::bigint % (n + 1) as b,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                     or ('0x' || h[17:24])::bigint % 100 >= 90 then 'plain'
+                when ('0x' || h[25:32])::bigint % 100 < 20 then 'spm' else 'psm' end as form
+    from drawn),
+cut as (
+    select *, substr(text, 1, least(a, b)) as prefix, substr(text, least(a, b) + 1, greatest(a, b) - least(a, b)) as middle,
+           substr(text, greatest(a, b) + 1) as suffix
+    from numbers)
+select doc_id, n::bigint as n, form,
+       case when form <> 'plain' then least(a, b)::bigint end as prefix_chars,
+       case when form <> 'plain' then (greatest(a, b) - least(a, b))::bigint end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from cut
+"""
+
+
+def op13_resample(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = resample.scored(docs, table(spark, folder, "benchmark").select("text"))
+    return resample.ranked(rows).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -198,5 +303,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_top_k": op10_top_k,
+    "op11_decontamination": op11_decontamination,
+    "op12_middle": op12_middle,
+    "op13_resample": op13_resample,
+}
+ORACLES: dict[str, str] = {
+    "op4_url_filters": OP4_SQL,
+    "op6_line_dedup": OP6_SQL,
+    "op9_warc": OP9_SQL,
+    "op10_top_k": OP10_SQL,
+    "op11_decontamination": OP11_SQL,
+    "op12_middle": OP12_SQL,
 }
-ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op6_line_dedup": OP6_SQL, "op9_warc": OP9_SQL, "op10_top_k": OP10_SQL}

@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywright.llm import contamination
+from tallywright.llm.queries import op11_decontamination
+
+SEPARATORS = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return [w for w in SEPARATORS.split((text or "").translate(UPPER)) if w]
+
+
+def slow(docs, items, window):
+    """(n_words, hit places, items) of each text, by looking for every window at every place."""
+    owners = {}
+    for item, text in items:
+        w = words(text)
+        size = min(len(w), window)
+        for i in range(len(w) - size + 1 if size else 0):
+            owners.setdefault(tuple(w[i : i + size]), set()).add("" if item is None else str(item))
+    found = []
+    for text in docs:
+        w, hit, own = words(text), set(), set()
+        for size in {len(k) for k in owners}:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in owners:
+                    hit.update(range(i, i + size))
+                    own |= owners[tuple(w[i : i + size])]
+        found.append((len(w), hit, sorted(own)))
+    return found
+
+
+def frame(spark, rows, kind="doc_id long, text string"):
+    return spark.createDataFrame(rows, kind)
+
+
+DOCS = [
+    None, "", " .,;", "x", "Alpha beta GAMMA delta", "zero alpha-beta, gamma! delta one", "alpha beta gamma", "one two",
+    "One  two? alpha beta gamma delta epsilon", "É é ÀB", "à b é é", "q " * 3000 + "alpha beta gamma delta", "one two " * 200, "İ two",
+    "alpha beta gamma delta", "alpha beta gamma delta",
+]
+ITEMS = [(1, "alpha beta gamma delta epsilon"), (2, "ONE two"), (10, "beta gamma delta epsilon"), (3, None), (4, " . "), (None, "é é"), (2, "one two"), (7, "x")]
+
+
+@pytest.mark.parametrize("limits", [{}, {"scan_windows": 2, "broadcast_bytes": 200}])
+def test_brute_force(spark, limits):
+    docs = frame(spark, [(i, t) for i, t in enumerate(DOCS)])
+    items = frame(spark, ITEMS, "item_id long, text string")
+    counted, hits, _ = contamination.benchmark_hits(docs, items, 4, **limits)
+    places = {r["doc_id"]: set(contamination_places(r["drops"])) for r in contamination.hit_bitmaps(hits).collect()}
+    want = slow(DOCS, ITEMS, 4)
+    assert sorted((r["doc_id"], r["n_words"]) for r in counted.collect()) == [(i, n) for i, (n, _, _) in enumerate(want)]
+    assert places == {i: hit for i, (_, hit, _) in enumerate(want) if hit}
+
+
+def contamination_places(drops):
+    return [64 * w["word"] + b for w in drops for b in range(64) if w["bits"] >> b & 1]
+
+
+def test_rows(spark):
+    """Rows that repeat a doc_id or have none keep results of their own."""
+    rows = [*((i, t) for i, t in enumerate(DOCS)), (None, "one two three"), (None, "none of it"), (5, "one two"), (5, "one two")]
+    found = contamination.contamination(frame(spark, rows), frame(spark, ITEMS, "item_id long, text string"), 4).collect()
+    want = [(i, n, len(hit), own) for (i, _), (n, hit, own) in zip(rows, slow([t for _, t in rows], ITEMS, 4))]
+    key = lambda r: (r[0] is None, r)
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found), key=key) == sorted(want, key=key)
+
+
+def test_removal(spark):
+    rows = [(i, t, "kept", -1, "mine") for i, t in enumerate(DOCS)]
+    docs = frame(spark, rows, "doc_id long, text string, row string, n_chars int, found string")
+    items = frame(spark, ITEMS, "item_id long, text string")
+    spans = {r["doc_id"]: r for r in contamination.decontaminate(docs, items, 4).collect()}
+    assert contamination.decontaminate(docs, items, 4).columns == docs.columns
+    assert spans[5]["text"] == "zero one" and spans[5]["n_chars"] == 8 and spans[5]["row"] == "kept"
+    assert spans[8]["text"] == "" and spans[9]["text"] == DOCS[9] and spans[9]["n_chars"] == -1 and spans[0]["text"] is None
+    assert spans[11]["text"] == ("q " * 3000).rstrip() and spans[14]["text"] == ""
+    want = slow(DOCS, ITEMS, 4)
+    again = slow([spans[i]["text"] for i in range(len(DOCS))], ITEMS, 4)
+    assert all(n == m - len(hit) for (n, _, _), (m, hit, _) in zip(again, want))
+    whole = contamination.decontaminate(docs, items, 4, remove="documents")
+    assert sorted(r["doc_id"] for r in whole.collect()) == [i for i, (_, hit, _) in enumerate(want) if not hit]
+    with pytest.raises(ValueError):
+        contamination.decontaminate(docs, items, 4, remove="some")
+
+
+def test_empty(spark):
+    docs, items = frame(spark, [(1, "a b c")]), frame(spark, ITEMS, "item_id long, text string")
+    none = contamination.contamination(docs, items.limit(0)).collect()
+    assert [(r["n_words"], r["n_hit"], r["items"]) for r in none] == [(3, 0, [])]
+    assert contamination.contamination(docs.limit(0), items).count() == 0
+    assert contamination.decontaminate(docs, items.limit(0)).collect()[0]["text"] == "a b c"
+
+
+def test_passage_in_many(spark):
+    """A passage that a third of all rows and many items share is joined without a shuffle of the rows."""
+    passage = " ".join(f"w{i}" for i in range(12))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit(passage), F.lit(" end"))).otherwise(F.concat(F.lit("d "), F.col("id").cast("string"))).alias("text"))
+    items = spark.range(500).select(F.col("id").alias("item_id"), F.concat(F.lit(passage + " "), F.col("id").cast("string")).alias("text"))
+    found = contamination.contamination(docs, items).filter("n_hit > 0")
+    rows = found.collect()
+    assert len(rows) == 1000 and {r["n_hit"] for r in rows} == {12} and {len(r["items"]) for r in rows} == {500}
+
+
+def test_bits_are_read_in_place(spark, sf_dir, monkeypatch):
+    """The bits of the first test are no column of any row that is written or moved."""
+    plans = []
+    real = contamination.materialize
+    monkeypatch.setattr(contamination, "materialize", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or real(df, name))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    contamination.benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    plan = dict(plans)["window_candidates"]
+    assert "AS bits" not in plan and "Exchange" not in plan.split("Subquery")[0]
+
+
+def test_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    want = {
+        d["doc_id"]: (n, len(hit), len(own), hashlib.sha256(",".join(own).encode()).hexdigest(), bool(hit))
+        for d, (n, hit, own) in zip(docs, slow([d["text"] for d in docs], items, 10))
+    }
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in op11_decontamination(spark, sf_dir).collect()}
+    assert got == want and any(v[-1] for v in got.values())

@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallywright.llm import middle
+from tallywright.llm.queries import op12_middle
+
+TEXTS = [
+    None, "", "a", "ab", "é😀漢\x00", "<P>", "x<S>y", "<M", "a<", "<<S", "P>", "<P", "line\nline\n", " ", "é" * 20_000, "ab😀" * 30_000, "<" * 999,
+]
+
+
+def slow(doc_id, text, unit=r"(?s).", rate=90, spm=20, seed=1):
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    at = [m.start() for m in re.finditer(unit, text)]
+    if at:
+        at[0] = 0
+    n, at = len(at), [*at, len(text)]
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= rate:
+        return n, "plain", None, None, text
+    a, b = sorted((at[h[0] % (n + 1)], at[h[1] % (n + 1)]))
+    prefix, mid, suffix = text[:a], text[a:b], text[b:]
+    if h[3] % 100 < spm:
+        return n, "spm", a, b - a, f"<S>{suffix}<P>{prefix}<M>{mid}"
+    return n, "psm", a, b - a, f"<P>{prefix}<S>{suffix}<M>{mid}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab \né😀漢", max_size=80), st.sampled_from([None, r"\w+", r"\n", "x"]), st.sampled_from([1, 2, 3, 7, 64]))
+def test_blocks(text, unit, block):
+    """Every unit is found where it begins, whatever the size of blocks."""
+    blocks = middle.Blocks(text.encode(), unit, block)
+    starts = list(range(len(text))) if unit is None else [m.start() for m in re.finditer(unit, text)]
+    if starts:
+        starts[0] = 0
+    assert (blocks.units, blocks.chars) == (len(starts), len(text))
+    for k, at in enumerate([*starts, len(text)]):
+        assert blocks.place(k) == (len(text[:at].encode()), at)
+
+
+@pytest.mark.parametrize("unit", [None, r"\S+"])
+def test_brute_force(spark, unit):
+    rows = [(i, t, "mine") for i, t in enumerate(TEXTS * 12)] + [(None, "no id at all", "mine"), (3, "again", "mine"), (3, "again", "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fim string")
+    found = middle.with_middle(docs, output="fim", unit=unit).withColumn("back", middle.restored(F.col("fim.output"), F.col("fim.form"))).collect()
+    got = sorted((r["doc_id"] is None, r["doc_id"], r["fim"]["n"], *r["fim"][:1], *r["fim"][2:], r["back"]) for r in found if r["doc_id"] is not None)
+    want = []
+    for i, text, _ in rows:
+        if i is not None:
+            n, form, a, b, output = slow(i, text, unit or r"(?s).")
+            want.append((False, i, n, form, a, b, output, text or ""))
+    assert [r[:4] for r in got] == [r[:4] for r in sorted(want, key=lambda r: (r[1], r[2]))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {r[3] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_null_key_and_rates(spark):
+    docs = spark.createDataFrame([(None, "some text")], "doc_id long, text string")
+    row = middle.with_middle(docs, rate=100, spm_rate=100, seed=7).collect()[0]["fim"]
+    n, form, a, b, output = slow(None, "some text", rate=100, spm=100, seed=7)
+    assert (row["n"], row["form"], row["prefix_chars"], row["middle_chars"], row["output"]) == (n, form, a, b, output) and form == "spm"
+    assert middle.with_middle(docs.limit(0)).collect() == []
+
+
+def test_own_sentinels(spark):
+    docs = spark.createDataFrame([(i, f"({i}) a|b. [x]") for i in range(50)], "doc_id long, text string")
+    marks = ("|p|", "(s)", ".m.")
+    with pytest.raises(ValueError):
+        middle.middle(F.col("text"), F.col("doc_id"), marks)
+    marks = ("{p}", "(s)", "[.m]")
+    found = middle.with_middle(docs, sentinels=marks).withColumn("back", middle.restored(F.col("fim.output"), F.col("fim.form"), marks))
+    assert found.filter("back <> text").count() == 0 and found.filter("fim.form <> 'plain'").count() > 30
+    for bad in (("a", "b"), ("a", "a", "b"), ("<P>", "<P>>", "x"), ("", "b", "c")):
+        with pytest.raises(ValueError):
+            middle.check_sentinels(bad)
+
+
+def test_query(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for r in op12_middle(spark, sf_dir).collect():
+        n, form, a, b, output = slow(r["doc_id"], texts[r["doc_id"]])
+        assert tuple(r) == (r["doc_id"], n, form, a, b, sha(output), sha(texts[r["doc_id"]] or ""))
