@@ -39,11 +39,21 @@ def more_than(df: DataFrame, column: str, least: int) -> DataFrame:
     return df.filter(F.col(column) > least)
 
 
+def with_several(df: DataFrame, key: str, value: str, output: str) -> DataFrame:
+    """Whether each key has more than one different value: its smallest is not its largest.
+
+    Both are combined in each task, so one row for each key and task is shuffled, and no
+    pair of a key and a value. A null is no value, as in a count of distinct ones.
+    """
+    several = F.coalesce(F.min(value) != F.max(value), F.lit(False))
+    return df.groupBy(key).agg(several.alias(output))
+
+
 def repeat_rate(df: DataFrame, key: str, value: str) -> DataFrame:
     """Share in percent of the keys with more than one different value."""
-    per_key = distinct_per_group(df, key, value, "n_values")
+    per_key = with_several(df, key, value, "_several")
     counts = per_key.agg(
-        F.count_if(F.col("n_values") > 1).alias("repeat_customers"),
+        F.count_if("_several").alias("repeat_customers"),
         F.count(F.lit(1)).alias("total_customers"),
     )
     rate = F.col("repeat_customers") / F.col("total_customers") * 100

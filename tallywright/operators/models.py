@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import RandomForestRegressor
@@ -15,9 +15,16 @@ from pyspark.sql import functions as F
 from tallywright.functions.numbers import class_probability
 from tallywright.sources.scratch import ensure_checkpoint_dir
 
-# Partitions that fits run over. The rows of one should fit into a task's memory, so
-# pass more for large data; draws of a forest follow from the number.
+# Partitions that fits run over at least, and rows of one at most. The number follows from
+# the rows alone, so that a model, whose draws follow from it, does not depend on the cluster.
 PARTITIONS = 16
+ROWS_PER_PARTITION = 1 << 20
+
+
+def partitions_for(rows: int, least: int = PARTITIONS, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """``least``, or the power of two by which no partition has many more than ``rows_per_partition``."""
+    needed = -(-rows // rows_per_partition)
+    return least if needed <= least else 1 << (needed - 1).bit_length()
 
 
 @contextmanager
@@ -34,13 +41,15 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 
 
 @contextmanager
-def training_rows(df: DataFrame, keys: Sequence[str], partitions: int = PARTITIONS) -> Iterator[DataFrame]:
+def training_rows(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> Iterator[DataFrame]:
     """The rows kept in partitions that follow from their keys alone.
 
     Forests draw their samples by partition and by the order of rows in it. With a
     given number of partitions, rows placed by the hash of the key and sorted within,
-    a fit gives the same model on any number of cores and files.
+    a fit gives the same model on any number of cores and files. Unless given, the number
+    follows from a count of the rows.
     """
+    partitions = partitions or partitions_for(df.count())
     with kept(df.repartition(partitions, *keys).sortWithinPartitions(*keys)) as rows:
         yield rows
 
@@ -87,13 +96,26 @@ def forest_regressor(
     )
 
 
+def without_summary(model: Model) -> Model:
+    """The model itself, its training summary dropped.
+
+    The summary of a binary classifier holds the session. Where that has counted rows on
+    their way to a write (``counting.StageCounts``) it cannot be sent to a task, and with it
+    the model could score nothing.
+    """
+    for stage in getattr(model, "stages", [model]):
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def fit(
-    estimator: Estimator, train: DataFrame, columns: Sequence[str], keys: Sequence[str], partitions: int = PARTITIONS
+    estimator: Estimator, train: DataFrame, columns: Sequence[str], keys: Sequence[str], partitions: int | None = None
 ) -> Model:
     """Fit on the named columns only, kept for the passes of the solver and placed by the keys."""
     ensure_checkpoint_dir(train.sparkSession)
     with training_rows(train.select(*dict.fromkeys([*keys, *columns])), keys, partitions) as rows:
-        return estimator.fit(rows)
+        return without_summary(estimator.fit(rows))
 
 
 def with_class_probability(df: DataFrame, output: str = "probability_1", position: int = 1) -> DataFrame:

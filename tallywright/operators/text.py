@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions import tokens
+from tallywright.operators.linear import filled_entries
 from tallywright.operators.lookup import attach_lookup
 from tallywright.sources.scratch import materialize
 
@@ -90,8 +90,7 @@ def tf_idf(df: DataFrame, key: str, words: str) -> DataFrame:
 
 
 def filled_buckets(df: DataFrame, key: str, counts: str) -> DataFrame:
-    """(key, bucket, tf) of the buckets of a count vector that are not empty; the others
-    never leave their row."""
-    tf = vector_to_array(F.col(counts))
-    at = F.array_remove(F.transform(tf, lambda x, i: F.when(x != 0, i).otherwise(F.lit(-1))), -1)
-    return df.select(key, F.inline(F.arrays_zip(at.alias("bucket"), F.array_remove(tf, 0.0).alias("tf"))))
+    """(key, bucket, tf) of the buckets of a count vector that are not empty, as the vector
+    stores them: no row grows to its number of buckets."""
+    entries = F.filter(filled_entries(F.col(counts)), lambda e: e["value"] != 0)
+    return df.select(key, F.inline(F.transform(entries, lambda e: F.struct(e["index"].alias("bucket"), e["value"].alias("tf")))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,14 +16,17 @@ from tallywright.operators import (
     cleaning,
     features,
     indexing,
+    linear,
     metrics,
     models,
     recommend,
     split,
     text,
     thresholds,
+    trees,
     tuning,
 )
+from tallywright.operators.counting import StageCounts
 from tallywright.plans import churn, disease, fraud, recommendations, results, sales, sentiment, tables
 from tallywright.sources.readers import read_csv, read_parquet
 from tallywright.sources.scratch import materialize, scratch_path
@@ -54,7 +58,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     orders = tables.table(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     path = scratch_path(spark, "csv-scan")
     write_csv(orders, path)
-    return read_csv(spark, path, orders.schema, multi_line=False)
+    return read_csv(spark, path, orders.schema)
 
 
 @_query
@@ -74,7 +78,34 @@ def csv_roundtrip_text(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.table(spark, sf, "documents")
     path = scratch_path(spark, "csv-roundtrip-text")
     write_csv(rows, path, max_records=10_000)
-    return read_csv(spark, path, rows.schema)
+    return read_csv(spark, path, rows.schema, multi_line=True)
+
+
+@_query
+def path_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Two folders of one file system by a full address and a pattern, as of an object store."""
+    root = scratch_path(spark, "path-scan")
+    address = root if "://" in root else f"file://{root}"
+    orders = tables.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_csv(orders.filter("o_orderkey % 2 = 0"), f"{address}/part-even")
+    write_csv(orders.filter("o_orderkey % 2 <> 0"), f"{address}/part-odd")
+    return read_csv(spark, f"{address}/part-*", orders.schema)
+
+
+@_query
+def replaced_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder that is replaced by what is read from it, and outlives a write that fails."""
+    path = scratch_path(spark, "replaced-rows")
+    orders = tables.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    write_parquet(orders, path)
+    write_parquet(read_parquet(spark, path).filter("o_orderkey % 3 = 0"), path)
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    broken = F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("this row cannot be written"))).otherwise(F.col("o_orderkey"))
+    try:
+        write_parquet(orders.withColumn("o_orderkey", broken.cast("bigint")), path)
+    except Exception as error:  # noqa: BLE001 - any failure of the write will do, but none may be missing
+        return read_parquet(spark, path).withColumn("kept", F.lit(bool(str(error))))
+    raise AssertionError("the write should have failed")
 
 
 @_query
@@ -128,6 +159,28 @@ def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def observed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of the stages, from the write of the clean rows alone."""
+    counts = StageCounts()
+    clean = fraud.clean_transactions(tables.transactions(spark, sf), ["merchant"], counts)
+    write_parquet(clean, scratch_path(spark, "observed"))
+    return counts.frame(spark)
+
+
+@_query
+def empty_input(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the price job stops: on all sales, on none, and on those of one city."""
+    clean = materialize(_clean(spark, sf, *tables.SALES_COLUMNS), "clean")
+    first = clean.agg(F.min("city")).scalar()
+    cases = {"all": clean, "none": clean.filter("price < 0"), "one city": clean.filter(F.col("city") == first)}
+    rows = []
+    for name, df in cases.items():
+        result = sales.price_model(df, ["order_id"], trees=1, depth=1)
+        rows.append((name, result.model is None, result.predictions.isEmpty(), result.metrics.first()["n_rows"] == 0))
+    return spark.createDataFrame(rows, "case string, no_model boolean, no_rows boolean, no_errors boolean")
+
+
 # Columns
 
 
@@ -625,6 +678,11 @@ def sentiment_lr(spark: SparkSession, sf: str) -> DataFrame:
     return result.scored.predictions.select("post_id", "sentiment", "prediction", "predicted_label")
 
 
+def _without_last(model: Model) -> PipelineModel:
+    """What a fitted pipeline does ahead of its model."""
+    return PipelineModel(model.stages[:-1])
+
+
 @_query
 def sentiment_lr_cv(spark: SparkSession, sf: str) -> DataFrame:
     """Average F1 of every grid point."""
@@ -635,8 +693,10 @@ def sentiment_lr_cv(spark: SparkSession, sf: str) -> DataFrame:
 # What SQL can know of the models' rows
 
 
-def _between(column: str, low: float = 0.0, high: float = 1.0) -> Column:
-    return F.col(column).between(low, high)
+def _same(left: Column, right: Column, within: float = 1e-9) -> Column:
+    """Whether two figures agree, relative to their size where that is above one; a null agrees with none."""
+    size = F.greatest(F.abs(left), F.abs(right), F.lit(1.0))
+    return F.coalesce(F.abs(left - right) <= within * size, F.lit(False))
 
 
 def _logistic_rows(result: results.Scored, key: str, label: str, limit: float) -> DataFrame:
@@ -649,7 +709,7 @@ def _logistic_rows(result: results.Scored, key: str, label: str, limit: float) -
     return result.predictions.select(
         key,
         label,
-        (F.abs(p - F.col("probability_1")) < 1e-9).alias("from_coefficients"),
+        _same(p, F.col("probability_1")).alias("from_coefficients"),
         (numbers.as_flag(F.col("probability_1") > limit) == F.col("prediction")).alias("by_threshold"),
     )
 
@@ -676,67 +736,159 @@ def churn_lr_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def fraud_rf_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each probability is that of the fitted trees, and each prediction that of the
+    probability at the best threshold."""
     result = fraud.fraud_forest(tables.transactions(spark, sf), ["transaction_id"], depth=5)
     best = result.best.select("threshold").scalar()
-    return result.predictions.select(
+    again = trees.with_tree_probability(result.predictions, result.model.stages[-1], "again")
+    return again.select(
         "transaction_id",
         "is_fraud",
-        _between("probability_1").alias("in_range"),
+        _same(F.col("again"), F.col("probability_1")).alias("from_trees"),
         (numbers.as_flag(F.col("probability_1") >= best) == F.col("prediction_best")).alias("by_threshold"),
     )
 
 
 @_query
 def fraud_rf_deep_rows(spark: SparkSession, sf: str) -> DataFrame:
-    sweep = fraud.fraud_forest(tables.transactions(spark, sf), ["transaction_id"], depth=8).sweep
-    return sweep.select(
-        "step", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"), _between("f1").alias("in_range")
+    """Cells of each threshold, whether they are those of the probabilities, and whether
+    these are all those of the fitted trees."""
+    result = fraud.fraud_forest(tables.transactions(spark, sf), ["transaction_id"], depth=8)
+    again = trees.with_tree_probability(result.chosen_on, result.model.stages[-1], "again")
+    p, fraudulent = F.col("probability_1"), F.col("is_fraud") == 1
+    steps = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda i: i.cast("double") * F.lit(0.01))
+    above = F.array(*[F.count_if(fraudulent & (p >= F.get(steps, F.lit(i)))) for i in range(101)])
+    false = F.array(*[F.count_if(~fraudulent & (p >= F.get(steps, F.lit(i)))) for i in range(101)])
+    found = again.agg(F.struct(above.alias("tp"), false.alias("fp"), F.bool_and(_same(F.col("again"), p)).alias("from_trees")))
+    one = materialize(found.toDF("of"), "sweep-check").select("of").scalar()
+    return result.sweep.select(
+        "step",
+        (F.col("tp") + F.col("fn")).alias("positives"),
+        (F.col("fp") + F.col("tn")).alias("negatives"),
+        one["from_trees"].alias("from_trees"),
+        ((F.get(one["tp"], F.col("step")) == F.col("tp")) & (F.get(one["fp"], F.col("step")) == F.col("fp"))).alias("by_threshold"),
     )
 
 
 @_query
 def price_rf_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """A forest predicts means, so no prediction lies beyond the prices trained on."""
+    """Whether each predicted price is the mean of the fitted trees."""
     clean = _clean(spark, sf, *tables.SALES_COLUMNS)
-    rows = sales.price_model(clean, ["order_id"]).predictions
-    part = tables.table(spark, sf, "part").agg(F.struct(F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high"))).scalar()
-    return rows.select("order_id", "qty", "price", F.col("prediction").between(part["low"], part["high"]).alias("in_range"))
+    result = sales.price_model(clean, ["order_id"])
+    encoded = _without_last(result.model).transform(result.predictions)
+    again = trees.with_tree_prediction(encoded, result.model.stages[-1], "again")
+    return again.select("order_id", "qty", "price", _same(F.col("again"), F.col("prediction")).alias("from_trees"))
 
 
 @_query
 def als_predict_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = recommendations.recommendations(tables.ratings(spark, sf)).predictions
-    close = F.abs(F.col("prediction") - F.col("rounded")) < 0.00501
-    return rows.select("user_id", "product_id", F.round("rating", 9).alias("rating"), close.alias("rounded_well"), (F.col("prediction") >= 0).alias("not_negative"))
+    """Whether each prediction is the product of the factors of its user and item, as a float."""
+    result = recommendations.recommendations(tables.ratings(spark, sf))
+    rows = recommend.with_factors(result.predictions, result.model)
+    again = linear.dot(F.col("_user_factors"), F.col("_item_factors"))
+    return rows.select(
+        "user_id",
+        "product_id",
+        F.round("rating", 9).alias("rating"),
+        _same(again, F.col("prediction").cast("double"), 1e-5).alias("from_factors"),
+        (F.round("prediction", 2) == F.col("rounded")).alias("rounded_well"),
+    )
 
 
 @_query
 def top3_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Users and places; whether a score is below none that follows."""
+    """Users and places; whether a score is that of the factors and below none that follows,
+    and whether the items differ."""
     model = recommend.fit_als(recommend.als(), tables.ratings(spark, sf))
-    listed = recommend.top_items(model, 3)
-    flat = recommend.flat_recommendations(listed)
+    flat = recommend.flat_recommendations(recommend.top_items(model, 3))
+    rows = materialize(recommend.with_factors(flat, model), "top-rows")
+    again = linear.dot(F.col("_user_factors"), F.col("_item_factors"))
     after = F.lead("rating").over(Window.partitionBy("user_id").orderBy("place"))
-    return flat.withColumn("falls", F.coalesce(F.col("rating") >= after, F.lit(True))).select("user_id", "place", "falls")
+    different = F.count("*").over(Window.partitionBy("user_id", "product_id")) == 1
+    return rows.select(
+        "user_id",
+        "place",
+        _same(again, F.col("rating").cast("double"), 1e-5).alias("from_factors"),
+        F.coalesce(F.col("rating") >= after, F.lit(True)).alias("falls"),
+        different.alias("different"),
+    )
+
+
+def _fold_figures(predictions: DataFrame, figure: Column) -> DataFrame:
+    """(point, again): the mean over folds of a figure of each fold's rows by class. ``figure``
+    is an aggregate over the classes (hit, support, predicted) of a fold."""
+    sides = F.explode(F.array(
+        F.struct(F.col("label").alias("class"), F.lit(1).alias("own"), F.lit(0).alias("said"), (F.col("label") == F.col("prediction")).cast("int").alias("hit")),
+        F.struct(F.col("prediction").alias("class"), F.lit(0).alias("own"), F.lit(1).alias("said"), F.lit(0).alias("hit")),
+    ))
+    by_class = predictions.select("point", "fold", sides.alias("of")).groupBy("point", "fold", "of.class").agg(
+        F.sum("of.hit").alias("hit"), F.sum("of.own").alias("support"), F.sum("of.said").alias("predicted")
+    )
+    return by_class.groupBy("point", "fold").agg(figure.alias("figure")).groupBy("point").agg(F.avg("figure").alias("again"))
+
+
+def _grid_rows(search: tuning.GridSearch, figure: Column, columns: dict[str, str]) -> DataFrame:
+    """Grid points with whether their average is that of their stored fold predictions."""
+    again = _fold_figures(search.predictions, figure)
+    points = [
+        (i, float(average), *[{p.name: v for p, v in point.items()}[c] for c in columns])
+        for i, (point, average) in enumerate(zip(search.points, search.averages, strict=True))
+    ]
+    kinds = ", ".join(f"{c} {kind}" for c, kind in columns.items())
+    listed = again.sparkSession.createDataFrame(points, f"point int, avg_metric double, {kinds}")
+    joined = listed.join(again, "point", "left")
+    return joined.select(*columns, _same(F.col("again"), F.col("avg_metric")).alias("from_folds"))
+
+
+@_query
+def disease_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each probability is that of the trees of the best forest, here of a small grid."""
+    result = disease.disease_model(tables.patients(spark, sf), trees=(5, 10), depths=(3, 4))
+    again = trees.with_tree_probability(result.scored.predictions, result.scored.model.stages[-1], "again")
+    return again.select(
+        "patient_id",
+        "disease",
+        _same(F.col("again"), F.col("probability_1")).alias("from_trees"),
+        (numbers.as_flag(F.col("probability_1") > 0.5) == F.col("prediction")).alias("by_threshold"),
+    )
 
 
 @_query
 def disease_grid_rows(spark: SparkSession, sf: str) -> DataFrame:
-    grid = disease.disease_model(tables.patients(spark, sf)).grid
-    return grid.select("numTrees", "maxDepth", _between("avg_metric").alias("in_range"))
+    """Whether each average is the recall of class 1 in the fold predictions."""
+    search = disease.disease_model(tables.patients(spark, sf)).search
+    recall = F.max(F.when(F.col("class") == 1, F.col("hit") / F.greatest(F.col("support"), F.lit(1))))
+    return _grid_rows(search, F.coalesce(recall, F.lit(0.0)), {"numTrees": "bigint", "maxDepth": "bigint"})
 
 
 @_query
 def sentiment_lr_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = sentiment.sentiment_model(tables.posts(spark, sf), tune=False).scored.predictions
-    known = F.col("predicted_label").isin("positive", "negative", "neutral")
-    return rows.select("post_id", "sentiment", known.alias("known_label"))
+    """Whether the probabilities are those of the fitted coefficients, the prediction is the
+    likeliest class, and the label is its name."""
+    result = sentiment.sentiment_model(tables.posts(spark, sf), tune=False).scored
+    words = text.ml_words(result.predictions, "post_text", "filtered_words")
+    encoded = _without_last(result.model).transform(words)
+    weights = linear.class_weights_table(encoded, result.model.stages[-1])
+    rows = linear.with_softmax(encoded, weights, "again")
+    given = numbers.vector_to_array("probability")
+    pairs = F.zip_with("again", given, lambda a, b: _same(a, b))
+    return rows.select(
+        "post_id",
+        "sentiment",
+        (F.forall(pairs, lambda same: same) & (F.size("again") == F.size(given))).alias("from_coefficients"),
+        (linear.likeliest(F.col("again")) == F.col("prediction")).alias("likeliest"),
+        F.col("predicted_label").isin("positive", "negative", "neutral").alias("known_label"),
+    )
 
 
 @_query
 def sentiment_grid_rows(spark: SparkSession, sf: str) -> DataFrame:
-    grid = sentiment.sentiment_model(tables.posts(spark, sf)).grid
-    return grid.select("numFeatures", "regParam", _between("avg_metric").alias("in_range"))
+    """Whether each average is the weighted F1 of the fold predictions."""
+    search = sentiment.sentiment_model(tables.posts(spark, sf)).search
+    hit, support, said = F.col("hit"), F.col("support"), F.col("predicted")
+    # 2pr / (p + r) of p = hit / said and r = hit / support.
+    f1 = F.when(support + said > 0, 2 * hit / (support + said)).otherwise(F.lit(0.0))
+    return _grid_rows(search, F.sum(f1 * support) / F.sum(support), {"numFeatures": "bigint", "regParam": "double"})
 
 
 @_query

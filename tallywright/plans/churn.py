@@ -58,7 +58,7 @@ def churn_model(
     )
     with models.kept(rows) as clean:
         train = split.hash_split(clean, keys, (0.7, 0.3), seed)[0] if evaluate_on == "test" else clean
-        model = pipeline.fit(train)
+        model = models.without_summary(pipeline.fit(train))
         scored = split.with_part(model.transform(clean), keys, "part", (0.7, 0.3), seed)
         predictions = stored(models.with_class_probability(scored), "churn", output)
     evaluated = predictions.filter("part = 1") if evaluate_on == "test" else predictions

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.operators import balance, cleaning, features, indexing, metrics, models, split, thresholds
+from tallywright.operators.counting import StageCounts, marked
 from tallywright.plans.results import Scored, classified, stored
 
 LABEL = "is_fraud"
@@ -17,14 +18,23 @@ NUMERIC = ("transaction_amount", "customer_age")
 CATEGORICAL = ("merchant", "customer_region")
 
 
-def clean_transactions(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Complete rows with the time parsed and an amount above zero."""
-    complete = cleaning.drop_nulls(df, subset)
+def clean_transactions(
+    df: DataFrame, subset: Sequence[str] | None = None, counts: StageCounts | None = None
+) -> DataFrame:
+    """Complete rows with the time parsed and an amount above zero. ``counts`` get the rows
+    loaded, complete, positive, and of these fraud and genuine, as they pass."""
+    complete = marked(cleaning.drop_nulls(marked(df, counts, "loaded"), subset), counts, "complete")
     timed = cleaning.parse_timestamps(complete, "transaction_time")
-    return cleaning.keep_positive(timed, "transaction_amount")
+    positive = cleaning.keep_positive(timed, "transaction_amount")
+    return marked(positive, counts, "positive", fraud=F.col(LABEL) == 1, genuine=F.col(LABEL) == 0)
 
 
-def prepared(df: DataFrame, categorical: Sequence[str] = CATEGORICAL, complete: str = "needed") -> DataFrame:
+def prepared(
+    df: DataFrame,
+    categorical: Sequence[str] = CATEGORICAL,
+    complete: str = "needed",
+    counts: StageCounts | None = None,
+) -> DataFrame:
     """Clean rows with "unknown" for a missing category.
 
     ``complete="needed"`` drops rows without a label or a number; ``"all"`` drops
@@ -33,7 +43,7 @@ def prepared(df: DataFrame, categorical: Sequence[str] = CATEGORICAL, complete:
     if complete not in ("needed", "all"):
         raise ValueError("complete is needed or all")
     subset = [LABEL, *NUMERIC] if complete == "needed" else None
-    return cleaning.fill_present(clean_transactions(df, subset), categorical)
+    return cleaning.fill_present(clean_transactions(df, subset, counts), categorical)
 
 
 def _encoder(df: DataFrame, categorical: Sequence[str]) -> tuple[DataFrame, list, list[str]]:
@@ -58,6 +68,7 @@ def fraud_logistic(
     balance_first: bool = False,
     complete: str = "needed",
     seed: int = 42,
+    partitions: int | None = None,
     output: str | None = None,
 ) -> Scored:
     """Logistic regression on oversampled training rows.
@@ -73,7 +84,7 @@ def fraud_logistic(
         train, test = split.hash_split(rows, keys, (0.8, 0.2), seed)
         train = balance.oversample_minority(train, LABEL, keys, seed)
     pipeline = Pipeline(stages=[*stages, models.logistic(LABEL, 10, threshold)])
-    model = models.fit(pipeline, train, [*used, LABEL], keys)
+    model = models.fit(pipeline, train, [*used, LABEL], keys, partitions)
     predictions = stored(models.with_class_probability(model.transform(test)), "fraud-logistic", output)
     return classified(model, predictions, LABEL)
 
@@ -87,6 +98,8 @@ class ForestResult:
     confusion: DataFrame
     report: DataFrame
     recall: DataFrame
+    # The scored rows on which the threshold was chosen.
+    chosen_on: DataFrame
 
 
 def fraud_forest(
@@ -99,17 +112,20 @@ def fraud_forest(
     threshold_on: str = "validation",
     complete: str = "needed",
     seed: int = 42,
+    partitions: int | None = None,
     output: str | None = None,
+    counts: StageCounts | None = None,
 ) -> ForestResult:
     """Random forest, and the threshold with the best weighted F1.
 
     ``balancing`` is ``weights``, ``oversample`` or ``both``; it touches the
     training rows only. The threshold is chosen on rows of its own
-    (``validation``) or on those it is reported for (``test``).
+    (``validation``) or on those it is reported for (``test``). ``counts`` get the rows of
+    each stage of cleaning while the clean rows are stored.
     """
     if balancing not in ("weights", "oversample", "both") or threshold_on not in ("validation", "test"):
         raise ValueError("balancing is weights, oversample or both; threshold_on is validation or test")
-    rows, stages, used = _encoder(prepared(df, categorical, complete), categorical)
+    rows, stages, used = _encoder(prepared(df, categorical, complete, counts), categorical)
     with_validation = threshold_on == "validation"
     weights = (0.64, 0.16, 0.2) if with_validation else (0.8, 0.2)
     # Stored once with the part of each row: weights, fit, threshold and test all read it.
@@ -123,14 +139,14 @@ def fraud_forest(
         train = balance.with_binary_weights(train, LABEL, weight)
     forest = models.forest_classifier(LABEL, trees, depth, weight, seed)
     columns = [*used, LABEL, *([weight] if weight else [])]
-    model = models.fit(Pipeline(stages=[*stages, forest]), train, columns, keys)
+    model = models.fit(Pipeline(stages=[*stages, forest]), train, columns, keys, partitions)
 
     def score(part: DataFrame) -> DataFrame:
         return models.with_class_probability(model.transform(part))
 
     test = score(held_out[-1])
     if with_validation:
-        chosen_on = stored(score(held_out[0]).select(LABEL, "probability_1"), "fraud-validation")
+        chosen_on = stored(score(held_out[0]).select(*keys, LABEL, "features", "probability_1"), "fraud-validation")
     else:
         chosen_on = test = stored(test, "fraud-scores")
     sweep = thresholds.threshold_sweep(chosen_on, LABEL, "probability_1")
@@ -144,4 +160,5 @@ def fraud_forest(
         metrics.confusion_matrix(final, LABEL, "prediction_best"),
         metrics.classification_report(final, LABEL, "prediction_best"),
         metrics.positive_recall(final, LABEL, "prediction_best"),
+        chosen_on,
     )

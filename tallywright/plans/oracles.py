@@ -202,6 +202,15 @@ ORACLES: dict[str, str] = {
         where merchant is not null and transaction_amount > 0 and is_fraud = 1
       union all select 'genuine', count(*) from transactions
         where merchant is not null and transaction_amount > 0 and is_fraud = 0""",
+    "observed_counts": f"""
+      with {TRANSACTIONS}
+      select 'loaded' as stage, count(*) as n_rows from transactions
+      union all select 'complete', count(*) from transactions where merchant is not null
+      union all select 'positive', count(*) from transactions where merchant is not null and transaction_amount > 0
+      union all select 'fraud', count(*) from transactions
+        where merchant is not null and transaction_amount > 0 and is_fraud = 1
+      union all select 'genuine', count(*) from transactions
+        where merchant is not null and transaction_amount > 0 and is_fraud = 0""",
     "project_columns": "select l_orderkey, l_linenumber, l_quantity from lineitem",
     "drop_rename": f"""
       with {SCORED}
@@ -417,7 +426,7 @@ ORACLES: dict[str, str] = {
         for name, check in (
             ("fraud_lr_rows", "from_coefficients"),
             ("fraud_lr_threshold_rows", "from_coefficients"),
-            ("fraud_rf_rows", "in_range"),
+            ("fraud_rf_rows", "from_trees"),
         )
     },
     "fraud_rf_deep_rows": f"""
@@ -425,35 +434,43 @@ ORACLES: dict[str, str] = {
       held as (select is_fraud from transactions where transaction_amount > 0
                and {_u('transaction_id')} >= 0.64::double and {_u('transaction_id')} < 0.8::double)
       select cast(i as int) as step, count(*) filter (where is_fraud = 1) as positives,
-             count(*) filter (where is_fraud = 0) as negatives, true as in_range
+             count(*) filter (where is_fraud = 0) as negatives, true as from_trees, true as by_threshold
       from generate_series(0, 100) as g(i), held group by i""",
     "churn_lr_rows": f"""
       with {CUSTOMERS} select customer_id, case when churn = 'Y' then 1 else 0 end as churn_label,
         true as from_coefficients, true as by_threshold
       from customers where balance <> 'n/a' and order_count > 0""",
     "price_rf_rows": f"""
-      with {CLEAN} select order_id, qty, price, true as in_range from clean where {_u('order_id')} >= 0.8::double""",
+      with {CLEAN} select order_id, qty, price, true as from_trees from clean where {_u('order_id')} >= 0.8::double""",
     "als_predict_rows": f"""
       with {RATED},
       parted as (select *, {_u("user_id || ':' || product_id")} as u from ratings),
       train as (select * from parted where u < 0.8::double)
-      select user_id, product_id, round(rating, 9) as rating, true as rounded_well, true as not_negative
+      select user_id, product_id, round(rating, 9) as rating, true as from_factors, true as rounded_well
       from parted where u >= 0.8::double and user_id in (select user_id from train)
         and product_id in (select product_id from train)""",
     "top3_rows": """
-      select user_id, unnest([1, 2, 3]) as place, true as falls
+      select user_id, unnest([1, 2, 3]) as place, true as from_factors, true as falls, true as different
       from (select distinct o_custkey as user_id from orders join lineitem on l_orderkey = o_orderkey)""",
+    "disease_rows": f"""
+      with {PATIENTS} select patient_id, disease, true as from_trees, true as by_threshold
+      from patients where {_u('patient_id')} >= 0.8::double""",
+    "path_scan": "select o_orderkey, o_custkey, o_orderstatus from orders",
+    "replaced_rows": "select o_orderkey, o_totalprice, true as kept from orders where o_orderkey % 3 = 0",
+    "empty_input": """
+      select * from (values ('all', false, false, false), ('none', true, true, true), ('one city', true, true, true))
+        as t("case", no_model, no_rows, no_errors)""",
     "disease_grid_rows": """
-      select trees::bigint as "numTrees", depth::bigint as "maxDepth", true as in_range
+      select trees::bigint as "numTrees", depth::bigint as "maxDepth", true as from_folds
       from (values (50), (100)) as t(trees), (values (5), (10)) as d(depth)""",
     "sentiment_lr_rows": f"""
-      select post_id, sentiment, true as known_label from (
+      select post_id, sentiment, true as from_coefficients, true as likeliest, true as known_label from (
         select doc_id as post_id, case when toxic = 1 then 'negative' when quality = 1 then 'positive'
                                        else 'neutral' end as sentiment
         from documents join labels using (doc_id))
       where {_u('post_id')} >= 0.8::double""",
     "sentiment_grid_rows": """
-      select n::bigint as "numFeatures", r::double as "regParam", true as in_range
+      select n::bigint as "numFeatures", r::double as "regParam", true as from_folds
       from (values (1000), (2000)) as t(n), (values (0.01), (0.1)) as d(r)""",
     "hashing_tf_totals": f"""
       with {WORDS} select post_id, len(words) as n_words from filtered where len(words) > 0""",

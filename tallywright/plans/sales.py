@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallywright.functions.dates import ISO_DATE_FORMAT, SALES_DATE_FORMATS
 from tallywright.functions.numbers import money
 from tallywright.operators import aggregates, cleaning, features, indexing, metrics, models, split
+from tallywright.operators.counting import StageCounts, marked
 from tallywright.plans.results import stored
 from tallywright.sources.writers import write_csv, write_parquet
 
@@ -29,21 +30,26 @@ def clean_raw_sales(
     formats: Sequence[str] = (*SALES_DATE_FORMATS, ISO_DATE_FORMAT),
     require_parsed: bool = False,
     output: str | None = None,
+    counts: StageCounts | None = None,
 ) -> DataFrame:
-    """Complete rows with a parsed date and a price above zero."""
-    complete = cleaning.drop_nulls(df, subset)
+    """Complete rows with a parsed date and a price above zero. ``counts`` get the rows
+    loaded, complete and clean, as they pass."""
+    complete = marked(cleaning.drop_nulls(marked(df, counts, "loaded"), subset), counts, "complete")
     parsed = cleaning.repair_dates(complete, "order_date", formats, require_parsed)
-    clean = cleaning.keep_positive(parsed, "price")
+    clean = marked(cleaning.keep_positive(parsed, "price"), counts, "clean")
     if output is not None:
         write_parquet(clean, output)
     return clean
 
 
-def clean_sales(df: DataFrame, formats: Sequence[str] = SALES_DATE_FORMATS) -> DataFrame:
+def clean_sales(
+    df: DataFrame, formats: Sequence[str] = SALES_DATE_FORMATS, counts: StageCounts | None = None
+) -> DataFrame:
     """Rows with a readable date and positive price and quantity, with date
-    parts and revenue to the cent, and defaults for what is missing."""
-    dated = cleaning.repair_dates(df, "order_date", formats)
-    positive = cleaning.keep_positive(dated, "price", "qty")
+    parts and revenue to the cent, and defaults for what is missing. ``counts`` get the
+    rows loaded, dated and clean, as they pass."""
+    dated = marked(cleaning.repair_dates(marked(df, counts, "loaded"), "order_date", formats), counts, "dated")
+    positive = marked(cleaning.keep_positive(dated, "price", "qty"), counts, "clean")
     parts = cleaning.add_date_parts(positive, "order_date")
     priced = parts.withColumn("revenue", money(F.col("price") * F.col("qty")))
     return cleaning.fill_nulls(priced, {c: v for c, v in DEFAULTS.items() if c in df.columns})
@@ -85,6 +91,7 @@ def price_model(
     trees: int = 50,
     depth: int = 6,
     seed: int = 42,
+    partitions: int | None = None,
     output: str | None = None,
 ) -> PriceModel:
     """Random forest of the price by place, payment, status, quantity and date.
@@ -108,7 +115,7 @@ def price_model(
             models.forest_regressor("price", trees, depth, seed),
         ]
     )
-    model = models.fit(pipeline, train, columns, keys)
+    model = models.fit(pipeline, train, columns, keys, partitions)
     scored = model.transform(test).drop("features", *indices, *vectors)
     predictions = stored(scored, "price-predictions")
     if output is not None:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model, Pipeline
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 
@@ -19,6 +18,7 @@ from tallywright.sources.writers import write_csv
 class Sentiment:
     scored: Scored
     grid: DataFrame | None
+    search: tuning.GridSearch | None
 
 
 def sentiment_model(
@@ -31,6 +31,7 @@ def sentiment_model(
     folds: int = 3,
     parallelism: int = 4,
     seed: int = 42,
+    partitions: int | None = None,
     output: str | None = None,
 ) -> Sentiment:
     """Sentiment of posts. Untuned, the last of ``buckets`` and no penalty apply.
@@ -46,8 +47,8 @@ def sentiment_model(
     train = labels.transform(train).select(*keys, "filtered_words", "label")
     counts = text.hashing_tf("filtered_words", "raw_features", buckets[-1])
     regression = models.logistic("label", max_iter)
-    pipeline = Pipeline(stages=[counts, text.idf("raw_features", "features"), regression])
-    grid = None
+    stages = [counts, text.idf("raw_features", "features"), regression]
+    search = None
     if tune:
         points = (
             ParamGridBuilder()
@@ -55,12 +56,12 @@ def sentiment_model(
             .addGrid(regression.regParam, list(regs))
             .build()
         )
-        f1 = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
-        search = tuning.cross_validate(train, keys, pipeline, points, f1, folds, parallelism, seed)
-        grid = tuning.grid_scores(train, search)
-        model: Model = search.bestModel
+        search = tuning.grid_search(
+            train, keys, stages, points, "label", tuning.weighted_f1, folds, parallelism, seed, partitions
+        )
+        model: Model = search.best
     else:
-        model = models.fit(pipeline, train, ["filtered_words", "label"], keys)
+        model = models.fit(Pipeline(stages=stages), train, ["filtered_words", "label"], keys, partitions)
     labels.setHandleInvalid("keep")
     scored = indexing.index_to_label(
         model.transform(labels.transform(test)), "prediction", labels.labels, "predicted_label"
@@ -76,4 +77,4 @@ def sentiment_model(
         ).orderBy("Actual", "Predicted"),
         metrics.classification_report(predictions, "label", "prediction"),
     )
-    return Sentiment(result, grid)
+    return Sentiment(result, search.scores() if search else None, search)

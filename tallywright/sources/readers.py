@@ -7,13 +7,13 @@ from pyspark.sql.types import StructType
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header line; quotes inside quoted text are doubled.
 
-    A quoted text may hold line breaks. Such a file cannot be divided among tasks, so
-    write many (``write_csv`` has ``max_records``), or read files whose fields are known
-    to have no line breaks with ``multi_line=False``, by which a large file is divided.
+    A large file is divided among tasks at its line ends. Fields with line breaks need
+    ``multi_line=True``: such a file is read by one task, so write many (``write_csv`` has
+    ``max_records``).
 
     A schema saves the extra pass over the file which inference needs, and its
     names are checked against the header. Without one the types are inferred.

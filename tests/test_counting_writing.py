@@ -1,0 +1,74 @@
+"""Counts on the way, folders that are replaced, numbers of values, and repeat customers."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywright.operators import aggregates, cleaning, ranking
+from tallywright.operators.counting import StageCounts
+from tallywright.plans import fraud, tables
+from tallywright.sources.readers import read_csv, read_parquet
+from tallywright.sources.writers import write_csv, write_parquet
+
+
+def test_counts_are_those_of_the_stages(spark, sf_dir, tmp_path):
+    rows = tables.transactions(spark, sf_dir)
+    counts = StageCounts()
+    write_parquet(fraud.clean_transactions(rows, ["merchant"], counts), str(tmp_path / "clean"))
+    complete = F.col("merchant").isNotNull()
+    positive = complete & (F.col("transaction_amount") > 0)
+    stages = {"loaded": F.lit(True), "complete": complete, "positive": positive, "fraud": positive & (F.col("is_fraud") == 1), "genuine": positive & (F.col("is_fraud") == 0)}
+    wanted = cleaning.stage_counts(rows, stages).collect()
+    assert sorted(counts.frame(spark).collect()) == sorted(wanted)
+    assert counts.counts()["positive"] == read_parquet(spark, str(tmp_path / "clean")).count()
+    with pytest.raises(ValueError):
+        counts.mark(rows, "loaded")
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    for write in (write_parquet, write_csv):
+        write(spark.range(10), path)
+        broken = spark.range(1000).select(F.when(F.col("id") == 999, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("id"))
+        with pytest.raises(Exception, match="no"):
+            write(broken, path)
+        back = read_parquet(spark, path) if write is write_parquet else read_csv(spark, path, "id long")
+        assert back.count() == 10
+        assert os.listdir(tmp_path) == ["rows"]
+
+
+def test_a_folder_is_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = f"file://{tmp_path}/rows/"
+    write_parquet(spark.range(10), path)
+    write_parquet(read_parquet(spark, path).filter("id < 3"), path)
+    assert read_parquet(spark, path).count() == 3 and os.listdir(tmp_path) == ["rows"]
+
+
+def test_line_breaks_need_the_option(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\nb"), (2, 'say "x", y')], "id long, t string")
+    write_csv(rows, str(tmp_path / "t"))
+    assert sorted(read_csv(spark, str(tmp_path / "t"), rows.schema, multi_line=True).collect()) == sorted(rows.collect())
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 16])
+def test_value_numbers(spark, size):
+    """Dense, one for each value, and the same on any layout."""
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.concat(F.lit("v"), (F.col("id") % 77).cast("string"))).alias("v"))
+    got = [{r["v"]: (r["n"], r["n_rows"]) for r in ranking.value_numbers(df.repartition(parts), "v", "n", size).collect()} for parts in (1, 5)]
+    assert got[0] == got[1]
+    assert sorted(n for n, _ in got[0].values()) == list(range(77))
+    assert sum(c for _, c in got[0].values()) == 900
+    assert ranking.value_numbers(df.limit(0), "v", "n", size).collect() == []
+
+
+def test_repeat_rate_moves_no_pairs(spark):
+    rows = [("a", 1), ("a", 2), ("a", 2), ("b", 3), ("b", 3), ("c", None), ("d", None), ("d", 4), (None, 1), (None, 5)]
+    df = spark.createDataFrame(rows, "customer string, number long")
+    rate = aggregates.repeat_rate(df, "customer", "number")
+    assert rate.collect() == [(2, 5, 40.0)]
+    assert aggregates.repeat_rate(df.limit(0), "customer", "number").collect() == [(0, 0, 0.0)]
+    plan = aggregates.repeat_rate(df, "customer", "number")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "number" not in plan[plan.index("hashpartitioning") :].split("\n")[0]
