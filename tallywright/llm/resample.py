@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -238,11 +238,14 @@ def noise(key: Column, seed: int = SEED) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log(uniform)))
 
 
-def scored(docs: DataFrame, target: DataFrame, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
+def scored(
+    docs: DataFrame, target: DataFrame, seed: int = SEED, buckets: int = BUCKETS, keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
     """A stored table (row, doc, n_words, n_features, weight, score): each row of ``docs``
-    (doc_id, text and any others) as a struct under a number of its own."""
+    (doc_id, text and any others) under a number of its own, with the columns to ``keep``,
+    doc_id among them, as a struct."""
     gains = bucket_gains(docs, target, buckets)
-    each = docs.select(F.struct("*").alias("doc"), weight(docs["text"], gains).alias("w"))
+    each = docs.select(F.struct(*keep).alias("doc"), weight(docs["text"], gains).alias("w"))
     return materialize(
         each.select(
             F.monotonically_increasing_id().alias("row"), "doc", "w.*", (F.col("w.weight") + noise(F.col("doc.doc_id"), seed)).alias("score")
@@ -271,7 +274,7 @@ def ranked(rows: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS)
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, seed: int = SEED, min_words: int = MIN_WORDS, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs`` that are drawn, with all their columns. An empty target weighs
     by rarity alone; empty ``docs`` give no rows. Every row counts, repeated ones too."""
-    rows = scored(docs, target, seed, buckets)
+    rows = scored(docs, target, seed, buckets, docs.columns)
     drawn = materialize(ranked(rows, percent, min_words).filter("rank is not null").select("row", "score"), "drawn")
     lowest = drawn.agg(F.min("score").alias("score")).scalar()
     return rows.filter(F.col("score") >= lowest).join(drawn.select("row"), "row", "left_semi").select("doc.*")
