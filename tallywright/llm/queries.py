@@ -162,24 +162,22 @@ from digested d left join shared s on d.payload_digest = s.payload_digest
 
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """Scores are long, as in the SQL; one beyond that is an error there and here."""
-    vectors = table(spark, folder, "embeddings").select(
-        "vec_id", topk.whole_components(F.col("embedding"), 256).alias("components")
-    )
-    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5).withColumn("score", F.col("score").cast("long"))
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("components"))
+    found = topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, factor=256)
+    return found.withColumn("score", F.col("score").cast("long"))
 
 
 OP10_SQL = """
 with part as (
-    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
-    where embedding is not null and len(embedding) > 0
-      and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::hugeint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
 scored as (
     select q.vec_id as query_id, c.vec_id,
-           list_inner_product(q.v::double[], c.v::double[])::bigint as score
+           coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::hugeint as score
     from part q, part c where q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
 ranked as (
     select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
-select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+select query_id, rank::int as rank, vec_id, score::bigint as score from ranked where rank <= 5
 """
 OP6_SQL = """
 with cut as (

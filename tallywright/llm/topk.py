@@ -2,263 +2,272 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.sources.scratch import materialize
 
-# Rows of one block of candidates, and of one block of queries.
+# Vectors of one block of candidates.
 BLOCK = 4096
-QUERIES = 256
-# Blocks of candidates that meet a block of queries in one task, about.
-RUN = 16
-# Part of each list read before the bounds are looked at.
+# Bytes of query vectors that are broadcast at a time.
+BROADCAST_BYTES = 1 << 25
+# Part of each list read before the bounds are looked at again.
 DEPTHS = (1 / 16, 1 / 4, 1 / 2, 1.0)
-# Bound of the scores that are formed in longs; larger ones are formed in Python integers.
-LARGEST = 2.0**62
+# Bounds of the scores that are exact in doubles, and in longs with room for a bound.
+IN_DOUBLES, IN_LONGS = 2.0**53, 2.0**62
+# How the whole components of a block are stored: as integers of so many bytes, as doubles, or,
+# where the factor takes them beyond these, as doubles that it has yet to multiply.
+AS_DOUBLES, BEFORE_FACTOR = 9, 10
 SCORE = pa.decimal128(38, 0)
-
-
-def whole_components(vector: Column, factor: int = 256) -> Column:
-    """floor(factor * x) of each component, as array<long>; null where the vector takes no
-    part: it is null, empty, or holds a null, a non-finite component or one of which the
-    result is not a long."""
-
-    def fits(x: Column) -> Column:  # a NaN is larger than any number
-        scaled = x.cast("double") * factor
-        return x.isNotNull() & (scaled >= -(2.0**63)) & (scaled < 2.0**63)
-
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * factor))
-    return F.when((F.size(vector) > 0) & F.forall(vector, fits), whole)
-
-
-def _fits(values: np.ndarray, kind: np.dtype) -> bool:
-    return np.iinfo(kind).min <= values.min() and values.max() <= np.iinfo(kind).max
-
-
-def _blocks(rows: int):
+MOST = 10**38 - 1
+
+
+def _whole(values: np.ndarray, factor: int | None) -> tuple[int, np.ndarray]:
+    """(kind, values) of one vector, floor(factor * x) of each component being an integer."""
+    if values.dtype.kind != "f":
+        values = values.astype(np.int64)
+    else:
+        values = values.astype(np.float64)
+        with np.errstate(over="ignore"):
+            scaled = values if factor is None else np.floor(values * factor)
+        if not np.isfinite(scaled).all():
+            return BEFORE_FACTOR, values
+        if len(scaled) and max(scaled.max(), -scaled.min()) >= 2.0**63:
+            return AS_DOUBLES, scaled
+        values = scaled.astype(np.int64)
+    for width in (2, 4):
+        kind = np.iinfo(f"<i{width}")
+        if not len(values) or kind.min <= values.min() and values.max() <= kind.max:
+            return width, values
+    return 8, values
+
+
+def _stored(kind: int) -> str:
+    return f"<i{kind}" if kind <= 8 else "<f8"
+
+
+def _blocks(rows: int, factor: int | None):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Up to ``rows`` vectors of one length to a row: their ids and all components."""
-        waiting: dict[int, tuple[list, list]] = {}
+        """Up to ``rows`` vectors of one length and kind to a row: their ids and all components."""
+        waiting: dict[tuple[int, int], tuple[list, list]] = {}
 
-        def out(size: int) -> pa.RecordBatch:
-            ids, vectors = waiting.pop(size)
-            flat = np.concatenate(vectors)
-            width = next(w for w in (2, 4, 8) if _fits(flat, np.dtype(f"<i{w}")))
-            columns = [
-                pa.array([size], pa.int32()),
-                pa.array([width], pa.int32()),
-                pa.array([ids], pa.list_(pa.int64())),
-                pa.array([flat.astype(f"<i{width}").tobytes()], pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["size", "width", "ids", "data"])
+        def out(key: tuple[int, int]) -> pa.RecordBatch:
+            ids, vectors = waiting.pop(key)
+            data = np.concatenate(vectors).astype(_stored(key[1])).tobytes()
+            columns = [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([data], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["size", "kind", "ids", "data"])
 
         for batch in batches:
             for vec_id, vector in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = vector.values.to_numpy()
-                ids, vectors = waiting.setdefault(len(values), ([], []))
+                kind, values = _whole(vector.values.to_numpy(), factor)
+                key = len(values), kind
+                ids, vectors = waiting.setdefault(key, ([], []))
                 ids.append(vec_id)
                 vectors.append(values)
                 if len(ids) == rows:
-                    yield out(len(values))
-        for size in list(waiting):
-            yield out(size)
+                    yield out(key)
+        for key in list(waiting):
+            yield out(key)
 
     return pack
 
 
-def blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
-    """A stored table (block, size, width, ids, data) of (vec_id, components), cut within each task."""
-    packed = vectors.mapInArrow(_blocks(rows), "size int, width int, ids array<long>, data binary")
-    return materialize(packed.withColumn("block", F.monotonically_increasing_id()), name)
-
-
-def _matrix(size: int, width: int, data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<i{width}").reshape(-1, size).astype(np.int64)
+def blocks(vectors: DataFrame, rows: int, factor: int | None, name: str) -> DataFrame:
+    """A stored table (size, kind, ids, data) of (vec_id, components), cut within each task."""
+    packed = vectors.mapInArrow(_blocks(rows, factor), "size int, kind int, ids array<long>, data binary")
+    return materialize(packed, name)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest scores, ties to the smaller id."""
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+def matrix(size: int, kind: int, data: bytes, rows: int, factor: int | None) -> np.ndarray:
+    """The components of a block as longs, or as Python integers where they are wider."""
+    values = np.frombuffer(data, _stored(kind)).reshape(rows, size)
+    if kind <= 8:
+        return values.astype(np.int64)
+    exact = [[int(x) if kind == AS_DOUBLES else math.floor(Fraction(x) * (factor or 1)) for x in row] for row in values.tolist()]
+    return np.array(exact, object).reshape(rows, size)
 
 
-def _reach(vectors: np.ndarray) -> np.ndarray:
-    """The largest absolute component of each vector, as a double."""
-    return np.maximum(vectors.max(axis=1).astype(np.float64), -vectors.min(axis=1).astype(np.float64))
-
-
-def _wide(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray) -> list:
-    """As ``search``, for vectors of any whole components; the scores are Python integers.
-
-    Doubles with a bound of their error say which candidates can be among the k best.
-    """
-    v, q = vectors.astype(np.float64), queries.astype(np.float64)
-    about = q @ v.T
-    # Both conversions, the products and the sum err by (size + 2) / 2**53 of this; the rest is for the bound itself.
-    error = (np.abs(q) @ np.abs(v).T) * ((2 * vectors.shape[1] + 16) * 2.0**-53)
-    own = ids == query_ids[:, None]
-    if len(ids) >= k:
-        lower = np.where(own, -np.inf, about - error)
-        floor[:] = np.maximum(floor, np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k])
-    able = (about + error >= floor[:, None]) & ~own
-    found = []
-    for i in range(len(q)):
-        hits = np.flatnonzero(able[i])
-        scores = vectors[hits].astype(object) @ queries[i].astype(object)
-        found.append(_first(ids[hits].tolist(), scores.tolist(), k))
-    return found
-
-
-def _first(ids: list[int], scores: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``_best``, of Python integers."""
-    order = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
-    return np.array([ids[i] for i in order], np.int64), np.array([scores[i] for i in order], object)
-
-
-def _decimals(scores: list[np.ndarray]) -> pa.Array:
-    if all(s.dtype == np.int64 for s in scores):
-        return pa.array(np.concatenate(scores)).cast(SCORE)
-    flat = [int(x) for s in scores for x in s]
-    if any(abs(x) >= 10**38 for x in flat):
-        raise OverflowError("a score has more than 38 digits")
-    return pa.array(flat, SCORE)
+def _reach(vectors: np.ndarray) -> int:
+    """The largest absolute component."""
+    return int(max(vectors.max(), -vectors.min())) if vectors.size else 0
 
 
 class Lists:
-    """The components of a block of candidates as one sorted list per dimension.
-
-    Lists are read from the high end for positive and from the low end for negative
-    factors. After reading to a depth, a component is known where it lies beyond the
-    frontier, the last value read. A score is then at most that with each unknown
-    component at the frontier, and at least that with each at the far end of its list.
-    """
-
-    def __init__(self, vectors: np.ndarray, kind: type) -> None:
-        self.vectors = vectors.astype(kind)
-        self.sorted = np.sort(self.vectors, axis=0)
-
-    def bounds(self, positive: np.ndarray, negative: np.ndarray, share: float, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(lower, upper) bounds of the scores of ``rows`` for each query."""
-        v, n = self.vectors[rows], len(self.sorted)
-        depth = max(1, int(np.ceil(n * share)))
-        top, bottom = self.sorted[n - depth], self.sorted[depth - 1]
-        upper = positive @ np.maximum(v, top).T + negative @ np.minimum(v, bottom).T
-        if depth == n:
-            return upper, upper
-        lower = positive @ np.where(v >= top, v, self.sorted[0]).T + negative @ np.where(v <= bottom, v, self.sorted[-1]).T
-        return lower, upper
-
-
-def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray) -> list:
-    """[(ids, scores)] for each query: the candidates of a block that can be among its k
-    best, their number being k at most. ``floor`` has a score for each query that k others
-    are known to reach; it is raised.
-
-    All lists are read in parallel to growing depths. A candidate whose upper bound is
-    below k lower bounds is out, seen or not; the rest is read further until it is read
-    whole, which resolves the scores. Candidates that may tie stay in. Those of which a
-    score may not fit a long are taken apart.
+    """The components of a block of candidates as one list of (value, place) per dimension,
+    sorted by value. The places are those in ``ids``. There is no way from a place to its
+    components: they are met as the lists are read."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids, self.reach = ids, _reach(vectors)
+        self.size = vectors.shape[1]
+        self.places = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32)
+        self.values = np.take_along_axis(vectors.T, self.places, axis=1)
+        self.typed: dict[type, np.ndarray] = {}
+
+    def values_as(self, kind: type) -> np.ndarray:
+        if kind not in self.typed:
+            self.typed[kind] = self.values.astype(kind)
+        return self.typed[kind]
+
+
+def _add(total: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
+    """total[place] += value, places repeating."""
+    if total.dtype == np.float64:
+        total += np.bincount(places, weights=values, minlength=len(total))
+    else:
+        np.add.at(total, places, values)
+
+
+def search(lists: Lists, query_id: int, query: np.ndarray, k: int, floor: int | float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids, scores, entries read) of the candidates that can be among the k best of a
+    query, k at most. ``floor`` is a score that k others are known to reach, or -inf.
+
+    The lists are read side by side, from the high end where the query's component is
+    positive, from the low end where it is negative, none where it is zero. Each entry adds
+    to the partial sum of its place. An unread component lies between the frontier, the last
+    value read, and the far end of its list: that bounds each score from both sides. A
+    candidate whose upper bound is below k lower bounds is out, read or not. Once at most k
+    are left, or the bounds have met, the rest of the lists is read for what is left alone:
+    that gives their final scores. Candidates that tie stay in until then.
     """
-    if not len(vectors) or not len(queries):
-        return [(ids[:0], np.zeros(0, np.int64)) for _ in queries]
-    bound = _reach(vectors) * _reach(queries).max() * vectors.shape[1]
-    wide = bound >= LARGEST
-    if wide.any():
-        apart = _wide(query_ids, queries, ids[wide], vectors[wide], k, floor)
-        rest = search(query_ids, queries, ids[~wide], vectors[~wide], k, floor)
-        return [_first([*a.tolist(), *b.tolist()], [*x.tolist(), *y.tolist()], k) for (a, x), (b, y) in zip(apart, rest)]
-    largest = bound.max()
-    kind = np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
-    lists, q = Lists(vectors, kind), queries.astype(kind)
-    positive, negative = np.maximum(q, 0), np.minimum(q, 0)
-    found: list = [None] * len(q)
-    rows, live = np.arange(len(ids)), np.arange(len(q))
+    n, ids = len(lists.ids), lists.ids
+    own = ids == query_id
+    # Of whole numbers; a sum of bounds stays below twice the bound of a score.
+    bound = 2 * lists.reach * _reach(query) * max(lists.size, 1)
+    kind = np.float64 if bound < IN_DOUBLES else np.int64 if bound < IN_LONGS else object
+    asked = np.flatnonzero(query != 0)
+    q = query[asked].astype(kind)
+    down = (query[asked] > 0)[:, None]
+    places = np.where(down, lists.places[asked, ::-1], lists.places[asked])
+    gains = np.where(down, lists.values_as(kind)[asked, ::-1], lists.values_as(kind)[asked]) * q[:, None]
+    total = np.zeros(n, kind)
+    unread = np.ones((len(asked), n), bool)
+    dims = np.arange(len(asked))[:, None]
+    left = ~own
+    before, read = 0, 0
     for share in DEPTHS:
-        lower, upper = lists.bounds(positive[live], negative[live], share, rows)
-        own = ids[rows] == query_ids[live, None]
-        lower = np.where(own, np.iinfo(np.int64).min if kind is np.int64 else -np.inf, lower)
-        if len(rows) >= k:
-            reached = np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k]
-            if kind is np.int64:  # the bound as a double must not be larger
-                reached = np.nextafter(reached.astype(np.float64), -np.inf)
-            floor[live] = np.maximum(floor[live], reached)
-        able = (upper >= floor[live, None]) & ~own
-        if share == 1.0:
-            for i, at in enumerate(live):
-                hits = np.flatnonzero(able[i])
-                found[at] = _best(ids[rows[hits]], upper[i, hits].astype(np.int64), k)
-            return found
-        none = ~able.any(axis=1)
-        for at in live[none]:
-            found[at] = (ids[:0], np.zeros(0, np.int64))
-        few = ~none & (able.sum(axis=1) <= 4 * k)
-        for i in np.flatnonzero(few):  # what is left of the lists of a few candidates
-            hits = rows[able[i]]
-            scores = vectors[hits] @ queries[live[i]]
-            found[live[i]] = _best(ids[hits], scores, k)
-        left = ~none & ~few
-        live = live[left]
-        if not len(live):
-            return found
-        rows = rows[able[left].any(axis=0)]
-    return found
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+        depth = max(1, math.ceil(n * share)) if len(asked) else n
+        part = slice(before, depth)
+        ahead = left[places[:, part]]  # what is out needs no sum
+        _add(total, places[:, part][ahead], gains[:, part][ahead])
+        unread[dims, places[:, part]] = False
+        read += (depth - before) * len(asked)
+        before = depth
+        if depth == n:
+            break
+        here = np.flatnonzero(left)
+        rest = unread[:, here].astype(kind)
+        upper = total[here] + gains[:, depth - 1] @ rest
+        lower = total[here] + gains[:, -1] @ rest
+        if len(here) >= k:
+            at = len(here) - k
+            reached = sorted(lower)[at] if kind is object else np.partition(lower, at)[at].item()
+            floor = max(floor, reached)
+        left[here[upper < floor]] = False
+        if np.count_nonzero(left) <= k:
+            tail = places[:, depth:]
+            ahead = left[tail]
+            _add(total, tail[ahead], gains[:, depth:][ahead])
+            # Each list to the last entry that is wanted.
+            read += int(np.where(ahead.any(axis=1), n - depth - ahead[:, ::-1].argmax(axis=1), 0).sum())
+            break
+    here = np.flatnonzero(left & (total >= floor) if floor != -math.inf else left)
+    order = here[np.lexsort((ids[here], -total[here]))][:k]
+    scores = total[order]
+    return ids[order], scores.astype(np.int64) if kind is np.float64 else scores, read
+
+
+def _merged(a: tuple[list, list], b: tuple[list, list], k: int) -> tuple[list, list]:
+    """The k highest of two lists of (ids, scores), ties to the smaller id."""
+    both = sorted(zip((-s for s in (*a[1], *b[1])), (*a[0], *b[0])))[:k]
+    return [i for _, i in both], [-s for s, _ in both]
+
+
+def _sortable(value: int) -> bytes:
+    """Bytes in the order of the integers."""
+    size = (abs(value).bit_length() + 8) // 8
+    head, body = size.to_bytes(4, "big"), value.to_bytes(size, "big", signed=True)
+    if value >= 0:
+        return b"\x01" + head + body
+    return b"\x00" + bytes(255 - x for x in head) + body
+
+
+NEAR = "query_id long, vec_id long, score decimal(38, 0), beyond binary"
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, factor: int | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its k highest integer inner products
     with all other vectors, ties to the smaller vec_id; fewer where there are fewer.
 
-    Both tables are (vec_id, components), the components being array<long>. Null ids
-    and components take no part, and vectors of another length than the query's do
-    not meet it. A query never meets rows of its own vec_id. A candidate row that is
-    repeated counts each time; of queries that share a vec_id the smallest vector asks.
-    Components may be any longs. A score is decimal(38, 0) and exact; one that is among the
-    k best of a block and has more digits is an error.
-
-    Blocks of candidates meet blocks of queries, in as many tasks as there are pairs of
-    a query block and ``RUN`` candidate blocks. A task gives k rows for each query and
-    block at most, and of these the k best are taken in each task before the shuffle.
+    Both tables are (vec_id, components). The components are whole numbers, or with a
+    ``factor`` numbers x that stand for floor(factor * x). Rows with a null id take no part, nor
+    vectors that are null or hold a null or a component that is not finite. Vectors of another
+    length than the query's do not meet it; empty ones meet with the score 0. A query never
+    meets rows of its own vec_id. A candidate row that is repeated counts each time; of
+    queries that share a vec_id the smallest vector asks. A score is decimal(38, 0) and
+    exact; one that is among the k best and has more digits is an error.
+
+    Candidates stay where they are: each task reads its blocks and the queries, which are
+    broadcast, ``broadcast_bytes`` of them in a round. A task keeps the k best of each
+    query over its blocks, and these meet in the shuffle.
     """
-    both = "vec_id is not null and components is not null"
-    asking = queries.filter(both).groupBy("vec_id").agg(F.min("components").alias("components"))
-    asked = blocks(asking, QUERIES, "query_blocks")
-    held = blocks(vectors.filter(both).select("vec_id", "components"), BLOCK, "vector_blocks")
-    slots, runs = max(1, asked.count()), max(1, -(-held.count() // RUN))
-
-    def dealt(number: int) -> Column:
-        return F.pmod(F.xxhash64("block"), F.lit(number)).cast("int")
-
-    def each(number: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
-
-    left = held.select("size", each(slots).alias("slot"), dealt(runs).alias("run"), "width", "ids", "data")
-    right = asked.select(
-        "size",
-        dealt(slots).alias("slot"),
-        each(runs).alias("run"),
-        *[F.col(c).alias(f"query_{c}") for c in ("block", "width", "ids", "data")],
-    )
-
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors: dict[int, np.ndarray] = {}  # what one block has reached holds for the next
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                query_ids, ids = np.array(r["query_ids"]), np.array(r["ids"])
-                wanted = _matrix(r["size"], r["query_width"], r["query_data"])
-                there = _matrix(r["size"], r["width"], r["data"])
-                floor = floors.setdefault(r["query_block"], np.full(len(wanted), -np.inf))
-                found = search(query_ids, wanted, ids, there, k, floor)
-                lengths = [len(x) for x, _ in found]
-                near_ids = np.concatenate([x for x, _ in found]).astype(np.int64)
-                columns = [pa.array(np.repeat(query_ids, lengths)), pa.array(near_ids), _decimals([x for _, x in found])]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
-
-    near = left.join(right, ["size", "slot", "run"]).mapInArrow(scores, "query_id long, vec_id long, score decimal(38, 0)")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    able = "vec_id is not null and components is not null"
+
+    def sound(x):  # a NaN is larger than any number
+        far = F.lit(float("inf"))
+        return x.isNotNull() & (x.cast("double") < far) & (x.cast("double") > -far)
+
+    there = vectors.filter(able).filter(F.forall("components", sound)).select("vec_id", "components")
+    asking = queries.filter(able).filter(F.forall("components", sound)).groupBy("vec_id").agg(F.min("components").alias("components"))
+    held = blocks(there, BLOCK, factor, "vector_blocks")
+    asked = materialize(asking.withColumn("part", F.xxhash64("vec_id")), "queries")
+    size = asked.agg(F.sum(F.size("components") * 8 + 16)).first()[0] or 0
+    rounds = max(1, math.ceil(size / broadcast_bytes))
+    near = None
+    for number in range(rounds):
+        some = asked.filter(F.pmod("part", F.lit(rounds)) == number).drop("part").toArrow().sort_by("vec_id")
+        by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for vec_id, vector in zip(some.column("vec_id").to_pylist(), some.column("components").combine_chunks() if len(some) else []):
+            kind, values = _whole(vector.values.to_numpy(), factor)
+            exact = matrix(len(values), kind, values.astype(_stored(kind)).tobytes(), 1, factor)[0]
+            by_size.setdefault(len(values), []).append((vec_id, exact))
+        shared = vectors.sparkSession.sparkContext.broadcast(by_size)
+
+        def scores(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple[list, list]] = {}
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    r = batch.slice(i, 1).to_pylist()[0]
+                    wanted = shared.value.get(r["size"], [])
+                    if not wanted:
+                        continue
+                    ids = np.array(r["ids"], np.int64)
+                    lists = Lists(ids, matrix(r["size"], r["kind"], r["data"], len(ids), factor))
+                    for query_id, query in wanted:
+                        known = best.get(query_id, ([], []))
+                        floor = known[1][-1] if len(known[1]) == k else -math.inf
+                        near_ids, found, _ = search(lists, query_id, query, k, floor)
+                        best[query_id] = _merged(known, (near_ids.tolist(), found.tolist()), k)
+            flat = [(q, i, s) for q, (ids, found) in best.items() for i, s in zip(ids, found)]
+            columns = [
+                pa.array([q for q, _, _ in flat], pa.int64()),
+                pa.array([i for _, i, _ in flat], pa.int64()),
+                pa.array([max(-MOST, min(MOST, int(s))) for _, _, s in flat], SCORE),
+                pa.array([_sortable(int(s)) if abs(s) > MOST else None for _, _, s in flat], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score", "beyond"])
+
+        found = held.mapInArrow(scores, NEAR)
+        near = found if near is None else near.unionByName(found)
+    # A score of more digits stands at the end of the range, and its bytes tell the order there.
+    key = F.when(F.col("score") < 0, F.coalesce("beyond", F.lit(b"\x02"))).otherwise(F.coalesce("beyond", F.lit(b"")))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc(key), "vec_id")
+    first = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    wrong = F.raise_error(F.lit("a score among the best has more than 38 digits")).cast("decimal(38, 0)")
+    return first.select("query_id", "rank", "vec_id", F.when(F.col("beyond").isNull(), F.col("score")).otherwise(wrong).alias("score"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import os
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -12,10 +13,11 @@ from tallywright.llm.queries import OP10_SQL, op10_top_k
 from pyspark.sql import functions as F
 
 
-@pytest.mark.parametrize("rows, run", [(4096, 16), (37, 2)])
-def test_query_equals_sql(spark, sf_dir, monkeypatch, rows, run):
+@pytest.mark.parametrize("rows, size", [(4096, 1 << 25), (37, 2000)])
+def test_query_equals_sql(spark, sf_dir, monkeypatch, rows, size):
+    """Also in many blocks and, with few bytes to broadcast, in many rounds."""
     monkeypatch.setattr(topk, "BLOCK", rows)
-    monkeypatch.setattr(topk, "RUN", run)
+    monkeypatch.setattr(topk.top_k, "__defaults__", (None, size))
     assert oracle.compare(op10_top_k(spark, sf_dir), oracle.connect(sf_dir), OP10_SQL) == []
 
 
@@ -30,7 +32,6 @@ def brute(rows, k):
 @pytest.mark.parametrize("size, low, high", [(1, -3, 3), (8, 0, 2), (16, -256, 256), (16, -(1 << 20), 1 << 20), (4, -(1 << 25), 1 << 25)])
 def test_blocks_with_ties(spark, monkeypatch, size, low, high):
     monkeypatch.setattr(topk, "BLOCK", 40)
-    monkeypatch.setattr(topk, "QUERIES", 16)
     rng = np.random.default_rng(size)
     rows = [(i, v) for i, v in enumerate(rng.integers(low, high + 1, (150, size)).tolist())]
     rows += [(i, rows[0][1]) for i in range(200, 260)] + [(300, [1] * 5), (301, [2] * 5)]
@@ -41,11 +42,41 @@ def test_blocks_with_ties(spark, monkeypatch, size, low, high):
     assert got == brute(rows, 5)
 
 
+def best(df, k, **params):
+    got = {}
+    for r in topk.top_k(df, df.filter("vec_id % 50 = 0"), k, **params).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], int(r["score"])))
+    return got
+
+
 def test_unsound_vectors_take_no_part(spark):
-    vectors = [(1, [0.1, -0.1]), (2, None), (3, []), (4, [None, 1.0]), (5, [math.nan, 1.0]), (6, [math.inf, 0.0]), (7, [1e30, 0.0]), (8, [-0.001, 2.0])]
-    df = spark.createDataFrame(vectors, "vec_id long, v array<double>")
-    got = {r[0]: r[1] for r in df.select("vec_id", topk.whole_components(F.col("v"))).collect()}
-    assert got == {1: [25, -26], 8: [-1, 512]} | {i: None for i in range(2, 8)}
+    vectors = [(0, [0.1, -0.1]), (2, None), (4, [None, 1.0]), (5, [math.nan, 1.0]), (6, [math.inf, 0.0]), (7, [-math.inf, 0.0]), (8, [-0.001, 2.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, components array<double>")
+    assert best(df, 5, factor=256) == {0: [(8, -25 - 26 * 512)]}
+
+
+def test_every_finite_vector_takes_part(spark):
+    """A component that is too large for a long decides where it meets one that is not zero."""
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (50, [2.0, 0.0]), (1, [1.0, 1e17]), (2, [0.5, 0.0])], "vec_id long, components array<double>")
+    assert best(df, 2, factor=256) == {0: [(50, 131072), (1, 65536)], 50: [(0, 131072), (1, 131072)]}
+    big = 1.7e308
+    rows = [(0, [1.0, -0.5]), (1, [big, big]), (2, [-big, 3.0]), (3, [1e30, 2e30]), (4, [1e17, 2e17 + 64]), (5, [-1.0, -2.0]), (6, [5e-324, -5e-324])]
+    df = spark.createDataFrame(rows, "vec_id long, components array<double>")
+    exact = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in rows}
+    scores = sorted((-sum(a * b for a, b in zip(exact[0], v)), i) for i, v in exact.items() if i)
+    assert scores[0][1] == 1 and abs(scores[0][0]) > 10**38
+    with pytest.raises(Exception, match="more than 38 digits"):
+        best(df, 1, factor=256)
+    rest = df.filter("vec_id <> 1")
+    want = [(i, -s) for s, i in scores if i != 1]
+    assert best(rest, 4, factor=256) == {0: want[:4]}
+    with pytest.raises(Exception, match="more than 38 digits"):  # the last of all
+        best(rest, 9, factor=256)
+
+
+def test_empty_vectors_meet_each_other(spark):
+    df = spark.createDataFrame([(0, []), (3, []), (2, []), (4, [1.0]), (100, [0.0])], "vec_id long, components array<double>")
+    assert best(df, 2, factor=256) == {0: [(2, 0), (3, 0)], 100: [(4, 0)]}
 
 
 def test_repeated_and_nameless_rows_and_no_rows(spark):
@@ -56,17 +87,25 @@ def test_repeated_and_nameless_rows_and_no_rows(spark):
     assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
-def test_bounds_hold_at_every_depth():
+@pytest.mark.parametrize("shape", ["even", "steep"])
+def test_reading_ends_early_where_bounds_allow(shape):
+    """Results are those of the whole scores; of steep lists a part is read."""
     rng = np.random.default_rng(0)
-    v, q = rng.integers(-99, 99, (200, 12)), rng.integers(-99, 99, (20, 12)).astype(np.float64)
-    exact, last = q @ v.T, None
-    for share in (0.01, 0.1, 0.5, 1.0):
-        low, high = topk.Lists(v, np.float64).bounds(np.maximum(q, 0), np.minimum(q, 0), share, np.arange(200))
-        assert (low <= exact).all() and (exact <= high).all()
-        if last:
-            assert (low >= last[0]).all() and (high <= last[1]).all()
-        last = low, high
-    assert (low == exact).all()
+    v = rng.integers(-99, 99, (2000, 6)) if shape == "even" else (rng.pareto(0.7, (2000, 6)) * 20).astype(np.int64)
+    lists, ids = topk.Lists(np.arange(2000) * 2, v), np.arange(2000) * 2
+    read = 0
+    for query_id, q in enumerate(rng.integers(-9, 99, (40, 6))):
+        found, scores, entries = topk.search(lists, query_id, q, 5, -math.inf)
+        exact = v @ q
+        want = [i for i in np.lexsort((ids, -exact)) if ids[i] != query_id][:5]
+        assert found.tolist() == ids[want].tolist() and scores.tolist() == exact[want].tolist()
+        read += entries
+    assert read <= (1.0 if shape == "even" else 0.95) * 40 * 2000 * 6
+
+
+def test_order_of_bytes():
+    values = [0, 1, -1, 127, 128, -128, -129, 10**40, -(10**40), 2**200, -(2**200), 255, 256, -256]
+    assert sorted(values) == sorted(values, key=topk._sortable)
 
 
 def test_outliers_stay_in_the_query(spark, sf_dir, tmp_path):
@@ -82,18 +121,10 @@ def test_outliers_stay_in_the_query(spark, sf_dir, tmp_path):
     assert oracle.compare(op10_top_k(spark, str(tmp_path)), oracle.connect(str(tmp_path)), OP10_SQL) == []
 
 
-def test_components_that_convert_to_a_long_stay(spark):
-    rows = [(1, [262144.0, 0.5]), (2, [-262144.0, 0.5]), (3, [-(2.0**55), 0.0]), (4, [2.0**55, 0.0]), (5, [2.0**54, -1e6])]
-    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
-    got = {r[0]: r[1] for r in df.select("vec_id", topk.whole_components(F.col("v"))).collect()}
-    assert got == {1: [1 << 26, 128], 2: [-(1 << 26), 128], 3: [-(1 << 63), 0], 4: None, 5: [1 << 62, -256_000_000]}
-
-
 @pytest.mark.parametrize("bits, share", [(31, 1.0), (40, 0.05), (58, 0.3), (62, 0.01), (62, 1.0)])
 def test_scores_beyond_a_long(spark, monkeypatch, bits, share):
     """Some or all vectors are wide, many differ by one in a component, some are copies."""
     monkeypatch.setattr(topk, "BLOCK", 40)
-    monkeypatch.setattr(topk, "QUERIES", 16)
     rng = np.random.default_rng(bits)
     wide, small = rng.integers(-(1 << bits), 1 << bits, (150, 6)), rng.integers(-9, 10, (150, 6))
     made = np.where(rng.random((150, 1)) < share, wide, small).tolist()
