@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -89,18 +89,50 @@ def unframed(data: bytes) -> bytes:
         at += 2
 
 
+def inflated(data: bytes, window: int) -> tuple[bytes, bytes]:
+    """One compressed stream at the beginning of ``data``, and what follows it. The window
+    is that of ``zlib``: 31 for gzip, 47 for either that or zlib. ValueError if it is broken."""
+    stream = zlib.decompressobj(window)
+    try:
+        out = stream.decompress(data) + stream.flush()
+    except zlib.error as error:
+        raise ValueError("compressed data") from error
+    if not stream.eof:
+        raise ValueError("compressed data end early")
+    return out, stream.unused_data
+
+
 def payload_of(block: bytes) -> bytes:
-    """The entity of an HTTP response; ValueError if it is broken."""
+    """The entity of an HTTP response without its transfer codings; ValueError if it is
+    broken or has a coding that is not known. A block of another protocol is its payload."""
+    if not block.startswith(b"HTTP/"):
+        return block
     head, _, body = block.partition(b"\r\n\r\n")
-    fields = [x.lower().replace(b" ", b"") for x in head.split(b"\r\n")[1:]]
-    if b"transfer-encoding:chunked" in fields:
-        return unframed(body)
-    length = [x.split(b":")[1] for x in fields if x.startswith(b"content-length:")]
-    if length and int(length[0]) != len(body):
+    fields = [(k.strip().lower(), v.strip()) for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])]
+    codings = [c.strip().lower() for k, v in fields if k == b"transfer-encoding" for c in v.split(b",")]
+    codings = [c for c in codings if c not in (b"", b"identity")]
+    for coding in reversed(codings):  # the last one was put on last
+        if coding == b"chunked":
+            body = unframed(body)
+        elif coding in (b"gzip", b"x-gzip", b"deflate"):
+            body = inflated(body, 47)[0]
+        else:
+            raise ValueError("transfer coding")
+    length = [v for k, v in fields if k == b"content-length"]
+    if length and not codings and whole_number(length[0].decode("latin-1")) != len(body):
         raise ValueError("content length")
     return body
 
 
+def whole_number(text: str, bits: int = 64) -> int | None:
+    """The number of some ASCII digits with or without a sign; null of any other text and of
+    one that does not fit."""
+    if not re.fullmatch(r"[+-]?[0-9]{1,19}", text.strip(), re.ASCII):
+        return None
+    number = int(text)
+    return number if -(1 << (bits - 1)) <= number < 1 << (bits - 1) else None
+
+
 def originals(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """(digest, original): the largest page_id of each payload of ``min_revisit`` bytes or
     more that several rows hold. Rows are combined in each task before the shuffle."""
@@ -175,57 +207,134 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT)
     records.write.option("lineSep", LINE * 2).option("maxRecordsPerFile", FILE_RECORDS).mode("overwrite").text(path)
 
 
+GZIP = b"\x1f\x8b\x08"
 # A record begins at a line of its version.
 BEGIN = re.compile(rb"\nWARC/\d")
 
 
-def sha1_hex(declared: str | None) -> str | None:
-    """A declared SHA-1 digest, in hex or base32, as lower-case hex; other texts as they are."""
-    value = re.sub("^sha-?1:", "", (declared or "").strip(), flags=re.IGNORECASE)
-    if re.fullmatch("[0-9A-Fa-f]{40}", value):
-        return value.lower()
-    if len(value) == 32:
+# Digests that can be checked, and their bytes.
+DIGESTS = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
+
+
+def declared_digest(declared: str | None) -> str | None:
+    """A declared digest as lower-case hex, of any but SHA-1 behind its name and a colon. It may
+    be in hex, base32 or base64 and without a name that of SHA-1. Null where there is none or
+    one of another kind; a text that no payload has where it is not of its kind's length."""
+    name, colon, value = (declared or "").strip().rpartition(":")
+    name = name.strip().lower().replace("-", "").replace("_", "") if colon else "sha1"
+    size = DIGESTS.get(name)
+    if size is None or not value:
+        return None
+    found = None
+    if len(value) == 2 * size and re.fullmatch("[0-9A-Fa-f]+", value):
+        found = value.lower()
+    else:
+        padded = value.rstrip("=")
+        for decode, unit in ((base64.b32decode, 8), (base64.b64decode, 4)):
+            text = padded.upper() if unit == 8 else padded.replace("-", "+").replace("_", "/")
+            try:
+                raw = decode(text + "=" * (-len(text) % unit))
+            except ValueError:
+                continue
+            if len(raw) == size:
+                found = raw.hex()
+                break
+    if found is None:
+        return f"{name}:malformed"
+    return found if name == "sha1" else f"{name}:{found}"
+
+
+def has_digest(payload: bytes, declared: str | None) -> bool:
+    """Whether a payload has the digest that ``declared_digest`` gave; true where there is none."""
+    if declared is None:
+        return True
+    name, colon, value = declared.rpartition(":")
+    return hashlib.new(name if colon else "sha1", payload).hexdigest() == value
+
+
+def members(data: bytes) -> Iterator[tuple[int, bytes | str]]:
+    """(offset, bytes) of each part of an archive: of a plain one the whole, of a compressed one
+    its gzip members one after another. A member that is broken is a text that says so, and
+    reading goes on where the next one seems to begin."""
+    if not data.startswith(GZIP):
+        yield 0, data
+        return
+    at = 0
+    while at < len(data):
         try:
-            return base64.b32decode(value.upper()).hex()
-        except binascii.Error:
-            return value
-    return value or None
+            part, rest = inflated(data[at:], 31)
+        except ValueError as error:
+            yield at, str(error)
+            at = data.find(GZIP, at + 1)
+            if at < 0:
+                return
+            continue
+        yield at, part
+        at = len(data) - len(rest)
+        if rest and not rest.startswith(GZIP):
+            yield at, "no compressed data"
+            at = data.find(GZIP, at + 1)
+            if at < 0:
+                return
+
+
+def parse(path: str, content: bytes) -> Iterator[tuple]:
+    """The records of one archive, plain or compressed, by their Content-Length. For what
+    cannot be parsed there is a row that names the problem; reading goes on at the next line
+    that begins a record. The start of a record of a compressed archive is that of its member."""
+    for offset, part in members(content):
+        if isinstance(part, str):
+            yield unreadable(path, offset, part)
+        else:
+            plain = part is content
+            for row in parse_plain(path, part):
+                yield row if plain else (row[0], offset, *row[2:])
 
 
-def parse(path: str, data: bytes) -> Iterator[tuple]:
-    """The records of one archive, by their Content-Length. For what cannot be parsed there is
-    a row that names the problem; reading goes on at the next line that begins a record."""
+def unreadable(path: str, at: int, problem: object) -> tuple:
+    return (path, at, *[None] * 9, f"unreadable: {problem}", None)
+
+
+def parse_plain(path: str, data: bytes) -> Iterator[tuple]:
     at = 0
     while at < len(data):
         try:
             end = data.index(b"\r\n\r\n", at)
             version, *fields = data[at:end].decode("utf-8", "replace").split(LINE)
             head = {k.strip().lower(): v.strip() for k, _, v in (f.partition(":") for f in fields)}
-            size = int(head["content-length"])
+            size = whole_number(head["content-length"])
+            if size is None or size < 0:
+                raise ValueError("record length")
             block = data[end + 4 : end + 4 + size]
             stop = end + 4 + size
             if not version.startswith("WARC/") or len(block) != size or data[stop : stop + 4] != b"\r\n\r\n":
                 raise ValueError("record end")
         except (ValueError, KeyError) as error:
-            yield (path, at, None, None, None, None, None, None, None, None, None, f"unreadable: {error}", None)
+            yield unreadable(path, at, error)
             following = BEGIN.search(data, at)
             if following is None:
                 return
             at = following.start() + 1
             continue
 
-        def number(name: str) -> int | None:
-            return int(head[name]) if head.get(name, "").lstrip("-").isdigit() else None
+        def number(name: str, bits: int = 64) -> int | None:
+            return whole_number(head.get(name, ""), bits)
 
         def bare(name: str) -> str | None:
             return head[name].strip("<>") if name in head else None
 
-        refers = (bare("warc-refers-to") or "").split(":")
+        refers = re.fullmatch(r"urn:page:(.*)", bare("warc-refers-to") or "", re.DOTALL)
+        segment, total = number("warc-segment-number", 32), number("warc-segment-total-length")
+        problem = None
+        if segment is None and "warc-segment-number" in head:
+            problem = "segment number"
+        elif total is None and "warc-segment-total-length" in head:
+            problem = "total length"
         yield (
             path, at, head.get("warc-type"), bare("warc-record-id"), head.get("warc-target-uri"), number("page-id"),
-            int(refers[2]) if refers[:2] == ["urn", "page"] and refers[2].lstrip("-").isdigit() else None,
-            sha1_hex(head.get("warc-payload-digest")), number("warc-segment-number"),
-            bare("warc-segment-origin-id"), number("warc-segment-total-length"), None, block,
+            whole_number(refers[1]) if refers else None,
+            declared_digest(head.get("warc-payload-digest")), segment,
+            bare("warc-segment-origin-id"), total, problem, block,
         )
         at = stop + 4
 
@@ -252,13 +361,14 @@ def _summary(row: tuple) -> tuple:
     if kind != "response" or segment is not None:
         return *row[:12], block if kind in ("response", "continuation") else None, None, None
     try:
+        if row[11] is not None:
+            raise ValueError(row[11])
         payload = payload_of(block)
     except ValueError as error:
         return *row[:11], str(error), None, None, None
-    digest = hashlib.sha1(payload).hexdigest()
-    if row[7] not in (None, digest):
+    if not has_digest(payload, row[7]):
         return *row[:11], "digest", None, None, None
-    return *row[:12], None, len(payload), digest
+    return *row[:12], None, len(payload), hashlib.sha1(payload).hexdigest()
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
@@ -273,6 +383,8 @@ def joined(segments: list[tuple[int, int | None, bytes]]) -> bytes:
     read twice counts once."""
     parts: dict[int, tuple[int | None, bytes]] = {}
     for number, total, part in segments:
+        if number is None:
+            raise ValueError("segment number")
         if parts.setdefault(number, (total, part)) != (total, part):
             raise ValueError("two segments of one number")
     if sorted(parts) != list(range(1, len(parts) + 1)):
@@ -296,13 +408,16 @@ def responses(records: DataFrame) -> DataFrame:
     """
 
     def one(rows: list[tuple]) -> tuple:
-        _, kind, record_id, uri, page_id, declared, segment, origin, _, block = next((r for r in rows if r[1] == "response"), rows[0])
+        first = next((r for r in rows if r[1] == "response"), rows[0])
+        _, kind, record_id, uri, page_id, declared, segment, origin, _, block, problem = first
         name = record_id if kind == "response" else origin
         try:
+            if problem is not None:
+                raise ValueError(problem)
             if segment is not None or kind != "response":
                 block = joined([(r[6], r[8], r[9]) for r in rows])
             payload = payload_of(block)
-            if declared is not None and hashlib.sha1(payload).hexdigest() != declared:
+            if not has_digest(payload, declared):
                 raise ValueError("digest")
         except ValueError as error:
             return name, uri, page_id, declared, None, str(error)
@@ -321,7 +436,7 @@ def responses(records: DataFrame) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batches(groups(_tuples(batches)), RESPONSE)
 
-    columns = ["type", "record_id", "target_uri", "page_id", "payload_digest", "segment", "origin_id", "total_length", "block"]
+    columns = ["type", "record_id", "target_uri", "page_id", "payload_digest", "segment", "origin_id", "total_length", "block", "problem"]
     whole = records.filter("type = 'response' and segment is null").select(F.lit(None).cast("string").alias("origin"), *columns)
     origin = F.when(F.col("type") == "continuation", F.col("origin_id")).otherwise(F.col("record_id"))
     cut = records.filter("type = 'continuation' or type = 'response' and segment is not null").select(origin.alias("origin"), *columns)
@@ -339,23 +454,30 @@ def page_records(spark: SparkSession, path: str, unreadable: bool = False) -> Da
     """
     records = materialize(read_summaries(spark, path), "records")
     whole = records.filter("type = 'response' and segment is null").select(
-        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "problem"
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "problem", F.col("payload_digest").alias("declared")
     )
     cut = responses(records.filter("type = 'continuation' or segment is not null")).select(
         "page_id",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha1("payload").alias("payload_digest"),
         "problem",
+        F.col("declared_digest").alias("declared"),
     )
     read = whole.unionByName(materialize(cut, "reassembled"))
-    seen = read.filter("problem is null").groupBy("page_id", "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
-    there = seen.select(F.col("page_id").alias("original"), F.col("payload_digest").alias("digest"), "payload_bytes")
+    # A response is known by its SHA-1 and by the digest that it declares.
+    names = F.explode(F.array_distinct(F.array_compact(F.array("payload_digest", "declared")))).alias("digest")
+    seen = read.filter("problem is null").select("page_id", names, "payload_digest", "payload_bytes")
+    there = materialize(
+        seen.groupBy(F.col("page_id").alias("original"), "digest").agg(F.min("payload_digest").alias("sha1"), F.max("payload_bytes").alias("payload_bytes")),
+        "originals_read",
+    )
     asked = records.filter("type = 'revisit'").select("page_id", "payload_digest", "refers_to")
+    # Both sides are plain rows, so that Spark can divide the revisits of one response.
     found = asked.join(there, (F.col("refers_to") == F.col("original")) & (F.col("payload_digest") == F.col("digest")), "left")
     revisits = found.select(
         "page_id",
         "payload_bytes",
-        "payload_digest",
+        F.coalesce("sha1", "payload_digest").alias("payload_digest"),
         F.lit("revisit").alias("record_type"),
         "refers_to",
         F.when(F.col("original").isNull(), "no response").alias("problem"),

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import random
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -136,3 +139,115 @@ def test_archives_of_others_lose_no_records(spark, tmp_path):
     assert sorted((r for r in got if r[3] != "unreadable"), key=str) == sorted(right, key=str)
     lost = [r for r in got if r[3] == "unreadable"]
     assert len(lost) == 4 and all(r[:3] == (None, None, None) and r[5].startswith("unreadable: ") for r in lost)
+
+
+def test_transfer_codings():
+    body = b"text " * 50
+    head = b"HTTP/1.1 200 OK\r\n"
+    framed = warc.framed(body)
+
+    def payload(fields, data):
+        return warc.payload_of(head + fields + b"\r\n\r\n" + data)
+
+    assert payload(b"Transfer-Encoding:\tchunked", framed) == body
+    assert payload(b"transfer-ENCODING :  Chunked \t", framed) == body
+    assert payload(b"Transfer-Encoding: gzip, chunked", warc.framed(gzip.compress(body))) == body
+    assert payload(b"Transfer-Encoding: gzip\r\nTransfer-Encoding: chunked", warc.framed(gzip.compress(body))) == body
+    assert payload(b"Transfer-Encoding: deflate,chunked", warc.framed(zlib.compress(body))) == body
+    assert payload(b"Transfer-Encoding: identity\r\nContent-Length: 250", body) == body
+    assert payload(b"Content-Encoding: gzip", gzip.compress(body)) == gzip.compress(body)  # that is the entity's own
+    assert warc.payload_of(b"20000101 host A 10.0.0.1") == b"20000101 host A 10.0.0.1"
+    for fields, data in [
+        (b"Transfer-Encoding: chunked, br", framed), (b"Transfer-Encoding: gzip, chunked", framed), (b"Content-Length: \xb2", b"ab"),
+        (b"Content-Length: 1_0", b"a" * 10), (b"Transfer-Encoding: gzip", gzip.compress(body)[:-9]), (b"Transfer-Encoding: chunked", b"-1\r\n"),
+    ]:
+        with pytest.raises(ValueError):
+            payload(fields, data)
+
+
+def test_declared_digests():
+    body = b"some payload"
+    for name, spelt in (("sha1", "SHA-1"), ("md5", "md5"), ("sha256", "sha-256"), ("sha512", "sha512")):
+        raw = hashlib.new(name, body).digest()
+        for text in (raw.hex(), raw.hex().upper(), base64.b32encode(raw).decode(), base64.b32encode(raw).decode().rstrip("="), base64.b64encode(raw).decode()):
+            found = warc.declared_digest(f"{spelt}:{text}")
+            assert found == (raw.hex() if name == "sha1" else f"{name}:{raw.hex()}")
+            assert warc.has_digest(body, found) and not warc.has_digest(b"other", found)
+    assert warc.declared_digest("blake3:00ff") is None and warc.declared_digest(None) is None and warc.has_digest(body, None)
+    for bad in ("sha1:00", "sha256:zz", "\u00e9" * 32, "sha1:" + "\u0661" * 40):
+        assert not warc.has_digest(body, warc.declared_digest(bad))
+
+
+def test_numbers_that_are_none(spark, tmp_path):
+    """Odd numbers and segments without one give rows with problems, and no task fails."""
+    block = warc.HTTP + warc.framed(b"abc" * 100)
+
+    def first(name, number, **more):
+        return record(WARC_Type="response", WARC_Record_ID=f"<{name}>", WARC_Segment_Number=number, **more, block=block[:50])
+
+    def later(name, **more):
+        return record(WARC_Type="continuation", WARC_Record_ID=f"<{name}:2>", WARC_Segment_Origin_ID=f"<{name}>", **more, block=block[50:])
+
+    total = {"WARC_Segment_Total_Length": len(block)}
+    data = [
+        first("whole", 1) + later("whole", WARC_Segment_Number=2, **total),
+        first("nameless", 1) + later("nameless", **total),
+        first("mixed", 1) + later("mixed", WARC_Segment_Number=2, **total) + later("mixed", **total),
+        first("square", "\u00b2"), first("large", "9" * 30), first("int", 1 << 40), first("arabic", "\u0661"),
+        first("length", 1) + later("length", WARC_Segment_Number=2, WARC_Segment_Total_Length="1e3"),
+        record(WARC_Type="response", WARC_Record_ID="<page>", Page_ID="9" * 25, block=block),
+        record(WARC_Type="revisit", WARC_Record_ID="<v>", WARC_Refers_To="<urn:page>", block=b""),
+        record(WARC_Type="revisit", WARC_Record_ID="<v>", WARC_Refers_To="<urn:page:" + "9" * 25 + ">", block=b""),
+    ]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a").write_bytes(b"".join(data))
+    got = warc.page_records(spark, str(tmp_path / "w"), unreadable=True).collect()
+    assert sorted((r["record_type"], r["problem"] is None) for r in got) == [("response", False)] * 7 + [("response", True)] * 2 + [("revisit", False)] * 2
+    named = warc.responses(warc.read_records(spark, str(tmp_path / "w"))).collect()
+    assert {r["record_id"] for r in named if r["problem"] is None} == {"whole", "page"} and len(named) == 9
+
+
+def test_compressed_archives(spark, tmp_path):
+    """A member for each record or for many; a broken one is named and the next ones are read."""
+    block = warc.HTTP + warc.framed(b"abc" * 100)
+    records = [record(WARC_Type="response", WARC_Record_ID=f"<r{n}>", Page_ID=n, block=block) for n in range(6)]
+    revisit = record(WARC_Type="revisit", WARC_Record_ID="<v>", Page_ID=9, WARC_Refers_To="<urn:page:4>", WARC_Payload_Digest="sha256:" + hashlib.sha256(b"abc" * 100).hexdigest(), block=b"")
+    named = record(WARC_Type="response", WARC_Record_ID="<r4>", Page_ID=4, WARC_Payload_Digest="sha256:" + hashlib.sha256(b"abc" * 100).hexdigest(), block=block)
+    broken = bytearray(gzip.compress(records[5]))
+    broken[len(broken) // 2] ^= 0xFF
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc.gz").write_bytes(gzip.compress(records[0]) + gzip.compress(records[1] + records[2]) + bytes(broken) + gzip.compress(records[3]) + b"tail")
+    (tmp_path / "w" / "b.warc.gz").write_bytes(gzip.compress(named) + gzip.compress(revisit) + gzip.compress(records[5])[:-4])
+    got = warc.page_records(spark, str(tmp_path / "w"), unreadable=True).collect()
+    assert sorted(r["page_id"] for r in got if r["record_type"] == "response" and r["problem"] is None) == [0, 1, 2, 3, 4]
+    assert [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["problem"]) for r in got if r["record_type"] == "revisit"] == [(9, 300, hashlib.sha1(b"abc" * 100).hexdigest(), None)]
+    assert sum(r["record_type"] == "unreadable" for r in got) >= 3
+
+
+def test_damaged_archives_end_no_task(spark, tmp_path):
+    """Bytes changed, left out and put in anywhere, plain and compressed: every file gives rows
+    or names, and what lies outside the damage is read."""
+    rng = random.Random(5)
+    block = warc.HTTP + warc.framed(b"abc" * 40, 30)
+    good = [record(WARC_Type="response", WARC_Record_ID=f"<r{n}>", Page_ID=n, WARC_Payload_Digest="sha1:" + hashlib.sha1(b"abc" * 40).hexdigest(), block=block) for n in range(4)]
+    cut = [
+        record(WARC_Type="response", WARC_Record_ID="<s>", Page_ID=7, WARC_Segment_Number=1, block=block[:60]),
+        record(WARC_Type="continuation", WARC_Record_ID="<s:2>", WARC_Segment_Origin_ID="<s>", WARC_Segment_Number=2, WARC_Segment_Total_Length=len(block), block=block[60:]),
+    ]
+    odd = [b"\x00", b"\xff\xfe", b"\r\n\r\n", b"WARC/1.1\r\n", "\u00b2".encode(), b":", b"-1", b"9" * 40, b"\x1f\x8b\x08", b""]
+    (tmp_path / "w").mkdir()
+    for number in range(120):
+        data = bytearray(b"".join(good[:3] + cut))
+        for _ in range(rng.randint(1, 6)):
+            at = rng.randrange(len(data))
+            data[at : at + rng.randint(0, 12)] = rng.choice(odd)
+        data = bytes(data) + b"\r\n\r\n" + good[3]
+        if number % 3 == 0:
+            data = bytearray(b"".join(map(gzip.compress, [*good[:3], *cut])))
+            data[rng.randrange(len(data))] ^= 1 << rng.randrange(8)
+            data = bytes(data) + gzip.compress(good[3])
+        (tmp_path / "w" / f"{number}").write_bytes(data)
+    got = warc.page_records(spark, str(tmp_path / "w"), unreadable=True).collect()
+    last = [r for r in got if r["page_id"] == 3 and r["problem"] is None]
+    assert len(last) >= 110
+    assert all(r["payload_digest"] == hashlib.sha1(b"abc" * 40).hexdigest() for r in got if r["record_type"] == "response" and r["problem"] is None and r["page_id"] == 3)
