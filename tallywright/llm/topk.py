@@ -15,6 +15,8 @@ from tallywright.sources.scratch import materialize
 
 # Vectors of one block of candidates.
 BLOCK = 4096
+# Queries that are searched for together.
+QUERIES = 256
 # Bytes of query vectors that are broadcast at a time.
 BROADCAST_BYTES = 1 << 25
 # Part of each list read before the bounds are looked at again.
@@ -101,86 +103,111 @@ def _reach(vectors: np.ndarray) -> int:
 class Lists:
     """The components of a block of candidates as one list of (value, place) per dimension,
     sorted by value. The places are those in ``ids``. There is no way from a place to its
-    components: they are met as the lists are read."""
+    components: they are met as the lists are read, from either end."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.reach = ids, _reach(vectors)
-        self.size = vectors.shape[1]
-        self.places = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32)
-        self.values = np.take_along_axis(vectors.T, self.places, axis=1)
-        self.typed: dict[type, np.ndarray] = {}
-
-    def values_as(self, kind: type) -> np.ndarray:
-        if kind not in self.typed:
-            self.typed[kind] = self.values.astype(kind)
-        return self.typed[kind]
-
-
-def _add(total: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
-    """total[place] += value, places repeating."""
-    if total.dtype == np.float64:
-        total += np.bincount(places, weights=values, minlength=len(total))
-    else:
-        np.add.at(total, places, values)
+        self.ids, self.reach, self.size = ids, _reach(vectors), vectors.shape[1]
+        self.places = np.argsort(vectors, axis=0, kind="stable")
+        self.values = np.take_along_axis(vectors, self.places, axis=0)
+        self._tables: dict[tuple[int, type], tuple[np.ndarray, ...]] = {}
+
+    def tables(self, depth: int, kind: type) -> tuple[np.ndarray, ...]:
+        """What is known by place when ``depth`` entries of each list are read: from the high
+        end with the largest and with the smallest value that an unread one may have, and
+        from the low end with the smallest and with the largest. An unread component lies
+        between the frontier, the last value read, and the far end of its list."""
+        if (depth, kind) not in self._tables:
+            n, dims = len(self.ids), np.arange(self.size)
+            high, low = slice(n - depth, n), slice(0, depth)
+            made = []
+            for part, frontier, far in ((high, n - depth, 0), (low, depth - 1, n - 1)):
+                for unread in (frontier, far):
+                    table = np.empty((n, self.size), kind)
+                    table[:] = self.values[unread]
+                    table[self.places[part], dims] = self.values[part]
+                    made.append(table)
+            self._tables[depth, kind] = tuple(made)
+        return self._tables[depth, kind]
+
+
+def kind_for(lists: Lists, query: np.ndarray) -> type:
+    """Numbers in which the bounds of scores, sums of whole numbers, are exact."""
+    bound = 2 * lists.reach * _reach(query) * max(lists.size, 1)
+    return next((k for k, most in ((np.float32, 2**24), (np.float64, IN_DOUBLES), (np.int64, IN_LONGS)) if bound < most), object)
+
 
+def _limits(floors: list, kind: type) -> np.ndarray:
+    """Scores to reach, those beyond what the kind can hold at its end."""
+    if kind is object:
+        return np.array(floors, object)
+    most = int(IN_LONGS if kind is np.int64 else IN_DOUBLES)
+    return np.array([-most if f == -math.inf else max(-most, min(most, f)) for f in floors], np.int64 if kind is np.int64 else np.float64)
 
-def search(lists: Lists, query_id: int, query: np.ndarray, k: int, floor: int | float) -> tuple[np.ndarray, np.ndarray, int]:
-    """(ids, scores, entries read) of the candidates that can be among the k best of a
-    query, k at most. ``floor`` is a score that k others are known to reach, or -inf.
 
-    The lists are read side by side, from the high end where the query's component is
-    positive, from the low end where it is negative, none where it is zero. Each entry adds
-    to the partial sum of its place. An unread component lies between the frontier, the last
-    value read, and the far end of its list: that bounds each score from both sides. A
-    candidate whose upper bound is below k lower bounds is out, read or not. Once at most k
-    are left, or the bounds have met, the rest of the lists is read for what is left alone:
-    that gives their final scores. Candidates that tie stay in until then.
+def search(lists: Lists, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: list) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(ids, scores, share of the lists read) for each query, the scores of all being of one
+    ``kind_for``: the candidates of a block that can be among its k best, k at most.
+    ``floors`` are scores that k others are known to reach, or -inf.
+
+    The lists are read side by side, from the high end where a query's component is
+    positive, from the low end where it is negative, to growing depths. What is read
+    bounds each score from both sides. A candidate whose upper bound is below k lower
+    bounds is out, read or not. A query of which all are out ends there; for the others the
+    lists are read on to their ends for what is left alone, which gives the final scores.
+    Candidates that tie stay in until then.
     """
     n, ids = len(lists.ids), lists.ids
-    own = ids == query_id
-    # Of whole numbers; a sum of bounds stays below twice the bound of a score.
-    bound = 2 * lists.reach * _reach(query) * max(lists.size, 1)
-    kind = np.float64 if bound < IN_DOUBLES else np.int64 if bound < IN_LONGS else object
-    asked = np.flatnonzero(query != 0)
-    q = query[asked].astype(kind)
-    down = (query[asked] > 0)[:, None]
-    places = np.where(down, lists.places[asked, ::-1], lists.places[asked])
-    gains = np.where(down, lists.values_as(kind)[asked, ::-1], lists.values_as(kind)[asked]) * q[:, None]
-    total = np.zeros(n, kind)
-    unread = np.ones((len(asked), n), bool)
-    dims = np.arange(len(asked))[:, None]
-    left = ~own
-    before, read = 0, 0
-    for share in DEPTHS:
-        depth = max(1, math.ceil(n * share)) if len(asked) else n
-        part = slice(before, depth)
-        ahead = left[places[:, part]]  # what is out needs no sum
-        _add(total, places[:, part][ahead], gains[:, part][ahead])
-        unread[dims, places[:, part]] = False
-        read += (depth - before) * len(asked)
-        before = depth
+    kind = kind_for(lists, queries)
+    q = queries.astype(kind)
+    positive, negative = np.maximum(q, 0), np.minimum(q, 0)
+    limits = _limits(floors, kind)
+    nothing = -math.inf if kind is not np.int64 else -(1 << 63)
+    found: list = [(ids[:0], np.zeros(0, np.int64), 0.0)] * len(q)
+    live, rows = np.arange(len(q)), np.arange(n)
+    for depth in sorted({max(1, math.ceil(n * share)) for share in DEPTHS}):
+        high_most, high_least, low_least, low_most = (t if len(rows) == n else t[rows] for t in lists.tables(depth, kind))
+        upper = positive[live] @ high_most.T + negative[live] @ low_least.T
+        own = ids[rows] == query_ids[live, None]
+        if depth < n and len(rows) >= k:
+            lower = positive[live] @ high_least.T + negative[live] @ low_most.T
+            lower[own] = nothing
+            at = len(rows) - k
+            reached = np.sort(lower, axis=1)[:, at] if kind is object else np.partition(lower, at, axis=1)[:, at]
+            limits[live] = np.maximum(limits[live], reached)
+        able = (upper >= limits[live, None]).astype(bool) & ~own
         if depth == n:
-            break
-        here = np.flatnonzero(left)
-        rest = unread[:, here].astype(kind)
-        upper = total[here] + gains[:, depth - 1] @ rest
-        lower = total[here] + gains[:, -1] @ rest
-        if len(here) >= k:
-            at = len(here) - k
-            reached = sorted(lower)[at] if kind is object else np.partition(lower, at)[at].item()
-            floor = max(floor, reached)
-        left[here[upper < floor]] = False
-        if np.count_nonzero(left) <= k:
-            tail = places[:, depth:]
-            ahead = left[tail]
-            _add(total, tail[ahead], gains[:, depth:][ahead])
-            # Each list to the last entry that is wanted.
-            read += int(np.where(ahead.any(axis=1), n - depth - ahead[:, ::-1].argmax(axis=1), 0).sum())
-            break
-    here = np.flatnonzero(left & (total >= floor) if floor != -math.inf else left)
-    order = here[np.lexsort((ids[here], -total[here]))][:k]
-    scores = total[order]
-    return ids[order], scores.astype(np.int64) if kind is np.float64 else scores, read
+            for i, at in enumerate(live):
+                found[at] = *_first(ids[rows], upper[i], able[i], k), 1.0
+            return found
+        some = able.any(axis=1)
+        for at in live[~some]:
+            found[at] = ids[:0], np.zeros(0, np.int64), depth / n
+        live = live[some]
+        if not len(live):
+            return found
+        rows = rows[able.any(axis=0)]
+    return found
+
+
+def _first(ids: np.ndarray, scores: np.ndarray, able: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest of the scores that count, ties to the smaller id."""
+    hits = np.flatnonzero(able)
+    if len(hits) > 4 * k and scores.dtype != object:  # what is below the k-th of them is no use
+        at = len(hits) - k
+        hits = hits[scores[hits] >= np.partition(scores[hits], at)[at]]
+    chosen = scores[hits] if scores.dtype == object else scores[hits].astype(np.int64)
+    order = np.lexsort((ids[hits], -chosen))[:k]
+    return ids[hits[order]], chosen[order]
+
+
+def alike(lists: Lists, queries: list[tuple[int, np.ndarray]]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Queries in groups whose scores are of one kind of number, ``QUERIES`` at most."""
+    groups: dict[type, list] = {}
+    for query in queries:
+        groups.setdefault(kind_for(lists, query[1]), []).append(query)
+    for group in groups.values():
+        for at in range(0, len(group), QUERIES):
+            yield group[at : at + QUERIES]
 
 
 def _merged(a: tuple[list, list], b: tuple[list, list], k: int) -> tuple[list, list]:
@@ -249,11 +276,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, factor: int | None = N
                         continue
                     ids = np.array(r["ids"], np.int64)
                     lists = Lists(ids, matrix(r["size"], r["kind"], r["data"], len(ids), factor))
-                    for query_id, query in wanted:
-                        known = best.get(query_id, ([], []))
-                        floor = known[1][-1] if len(known[1]) == k else -math.inf
-                        near_ids, found, _ = search(lists, query_id, query, k, floor)
-                        best[query_id] = _merged(known, (near_ids.tolist(), found.tolist()), k)
+                    for some in alike(lists, wanted):
+                        query_ids = [i for i, _ in some]
+                        known = [best.get(i, ([], [])) for i in query_ids]
+                        floors = [x[1][-1] if len(x[1]) == k else -math.inf for x in known]
+                        asked_for = np.array([v for _, v in some]).reshape(len(some), -1)
+                        for query_id, before, (near_ids, found, _) in zip(query_ids, known, search(lists, np.array(query_ids, np.int64), asked_for, k, floors)):
+                            best[query_id] = _merged(before, (near_ids.tolist(), found.tolist()), k)
             flat = [(q, i, s) for q, (ids, found) in best.items() for i, s in zip(ids, found)]
             columns = [
                 pa.array([q for q, _, _ in flat], pa.int64()),

@@ -87,20 +87,40 @@ def test_repeated_and_nameless_rows_and_no_rows(spark):
     assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
-@pytest.mark.parametrize("shape", ["even", "steep"])
-def test_reading_ends_early_where_bounds_allow(shape):
-    """Results are those of the whole scores; of steep lists a part is read."""
+@pytest.mark.parametrize("shape, most", [("even", 1.0), ("steep", 0.6)])
+def test_reading_ends_early_where_bounds_allow(shape, most):
+    """Results are those of the whole scores. A block that cannot reach what others have
+    is left when its lists say so."""
     rng = np.random.default_rng(0)
-    v = rng.integers(-99, 99, (2000, 6)) if shape == "even" else (rng.pareto(0.7, (2000, 6)) * 20).astype(np.int64)
-    lists, ids = topk.Lists(np.arange(2000) * 2, v), np.arange(2000) * 2
-    read = 0
-    for query_id, q in enumerate(rng.integers(-9, 99, (40, 6))):
-        found, scores, entries = topk.search(lists, query_id, q, 5, -math.inf)
-        exact = v @ q
-        want = [i for i in np.lexsort((ids, -exact)) if ids[i] != query_id][:5]
-        assert found.tolist() == ids[want].tolist() and scores.tolist() == exact[want].tolist()
-        read += entries
-    assert read <= (1.0 if shape == "even" else 0.95) * 40 * 2000 * 6
+    v = rng.integers(-99, 99, (2000, 6)) if shape == "even" else (rng.pareto(2.5, (2000, 6)) * 20).astype(np.int64)
+    ids, q = np.arange(2000) * 2, rng.integers(-9, 99, (40, 6))
+    lists, exact, best = topk.Lists(ids, v), q @ v.T, {}
+    for again in (False, True):
+        floors = [best[i][1][0] * 3 // 2 for i in range(40)] if again else [-math.inf] * 40
+        shares = []
+        for i, (found, scores, share) in enumerate(topk.search(lists, np.arange(40), q, 5, floors)):
+            want = [j for j in np.lexsort((ids, -exact[i])) if ids[j] != i and exact[i, j] >= floors[i]][:5]
+            assert found.tolist() == ids[want].tolist() and scores.tolist() == exact[i, want].tolist()
+            best.setdefault(i, (found, scores))
+            shares.append(share)
+    # The second time no candidate reaches the floor.
+    assert 0 < np.mean(shares) <= most
+
+
+def test_what_is_known_comes_from_the_part_that_is_read():
+    """Bounds hold at every depth and narrow; nothing beyond the frontier is in the tables."""
+    rng = np.random.default_rng(1)
+    v, q = rng.integers(-99, 99, (200, 12)), rng.integers(-99, 99, (20, 12)).astype(np.float64)
+    lists, exact, last = topk.Lists(np.arange(200), v), q @ v.T, None
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    for depth in (1, 7, 100, 200):
+        high_most, high_least, low_least, low_most = lists.tables(depth, np.float64)
+        high, low = up @ high_most.T + down @ low_least.T, up @ high_least.T + down @ low_most.T
+        assert (low <= exact).all() and (exact <= high).all()
+        assert last is None or ((low >= last[0]).all() and (high <= last[1]).all())
+        assert ((high_most != high_least).sum(axis=0) <= 200 - depth).all()
+        last = low, high
+    assert (low == exact).all() and (high == exact).all()
 
 
 def test_order_of_bytes():
