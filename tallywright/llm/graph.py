@@ -11,9 +11,12 @@ from tallywright.sources.scratch import materialize
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star step, then one small-star step, on edges (a, b)."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    nearest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-    large = both.join(nearest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-    lowest = large.groupBy("a").agg(F.min("b").alias("low"))
+    # The minima are stored: a join with an aggregate is sorted by it, and only a join of plain
+    # shuffles is one whose hot keys Spark divides.
+    nearest = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "nearest")
+    large = both.join(nearest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    large = materialize(large.distinct(), "large_stars")
+    lowest = materialize(large.groupBy("a").agg(F.min("b").alias("low")), "lowest")
     moved = large.join(lowest, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.unionByName(lowest.select("a", F.col("low").alias("b"))).distinct()
 
@@ -26,8 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     node known near them, until every component is one star. The number of steps
     grows with the logarithm of the longest chain. Each step is a table in the
     shared folder, so a lost executor costs no more than one step. The minimum
-    per node is combined in each task before the shuffle; the rows of a node with
-    very many neighbours meet in joins only, which Spark can split.
+    per node is combined in each task before the shuffle and stored; the rows of a node
+    with very many neighbours meet it in a join of two stored tables, which Spark splits.
     """
     edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = None

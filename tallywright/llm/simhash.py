@@ -210,7 +210,8 @@ def classes(prints: DataFrame, radius: int = 4) -> DataFrame:
     members = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "first"
     )
-    lowest = members.groupBy("root").agg(F.min("first").alias("component_id"))
+    members = materialize(members, "members")
+    lowest = materialize(members.groupBy("root").agg(F.min("first").alias("component_id")), "lowest_ids")
     return members.join(lowest, "root").select("fingerprint", "root", "component_id")
 
 

@@ -6,8 +6,9 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from tallywright.llm import simhash
+from tallywright.llm import graph, simhash
 from tallywright.llm.graph import components
 from tallywright.llm.queries import op1_simhash
 
@@ -141,3 +142,39 @@ def test_components_of_a_chain_and_a_hub(spark):
     got = {r["node"]: r["root"] for r in rows}
     assert len(rows) == len(got)
     assert got == {i: 1 for i in range(1, 61)} | {i: 1000 for i in range(1000, 1100)} | {-5: -9, -9: -9}
+
+
+def test_a_hub_is_divided(spark, monkeypatch):
+    """The neighbours of one node with most edges meet it in a join that Spark splits."""
+    plans = []
+    real = graph.materialize
+
+    def recorded(df, name):
+        if name == "large_stars":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(graph, "materialize", recorded)
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        n = F.col("id")
+        hub = spark.range(40_000).select(F.lit(0).cast("long").alias("a"), (n + 1).alias("b"))
+        edges = hub.unionByName(spark.range(4000).select((n + 50_000).alias("a"), (n * 7 + 60_000).alias("b")))
+        rows = graph.components(edges.repartition(12))
+        assert rows.filter("root = 0").count() == 40_001
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plans[0]
