@@ -23,14 +23,17 @@ SPAN = 1 << 25
 CHUNK = 1024
 
 
+# Characters of the lines of the order; a separator must hold a byte that is none of them.
+ORDER = b"0123456789abcdef =-"
+
+
 def id_width(size: int, end: int) -> int:
     """Bytes of an id in a file, the lowest first: two where the vocabulary allows, else four.
 
-    The highest byte of the separator is written as a character of its own, so it must be one
-    of ASCII; four bytes always give that."""
-    if size <= 1 << 16 and end >> 8 < 0x80:
+    The separator must have a byte that no line of the order has; four bytes give that."""
+    if size <= 1 << 16 and end.to_bytes(2, "little").strip(ORDER):
         return 2
-    if size <= 1 << 31:
+    if size <= 1 << 24:
         return 4
     raise ValueError("the vocabulary has too many ids")
 
@@ -62,9 +65,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None)
             for at in range(0, batch.num_rows, 256):
                 rows = []
                 for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
-                    # The writer puts the last byte of the separator behind each row.
-                    rows.append((id_bytes(encode.ids(text, special=False), width) + mark[:-1], "tokens", file, place))
-                    rows.append((f"{place} {'' if doc_id is None else '=' + doc_id}".encode(), "order", file, place))
+                    # The writer puts the separator behind each row.
+                    rows.append((id_bytes(encode.ids(text, special=False), width), "tokens", file, place))
+                    rows.append((f"{place} {'' if doc_id is None else '=' + doc_id.encode().hex()}".encode(), "order", file, place))
                     place += 1
                 columns = list(zip(*rows))
                 kinds = [pa.binary(), pa.string(), pa.int64(), pa.int64()]
@@ -72,7 +75,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None)
 
     rows = docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(encoded, "value binary, kind string, file long, place long")
     ordered = rows.sortWithinPartitions("kind", "file", "place").select(F.col("value").cast("string").alias("value"), "kind", "file")
-    ordered.write.option("lineSep", mark[-1:].decode("ascii")).partitionBy("kind", "file").mode("overwrite").text(path)
+    # An encoding of one byte for each character lets the separator be any bytes; rows are written as they are.
+    separated = ordered.write.option("encoding", "ISO-8859-1").option("lineSep", mark.decode("latin-1"))
+    separated.partitionBy("kind", "file").mode("overwrite").text(path)
 
 
 def separator_of(tokenizer: str | None = None) -> tuple[int, int]:
@@ -85,10 +90,11 @@ def separator_of(tokenizer: str | None = None) -> tuple[int, int]:
 def read_order(spark: SparkSession, path: str, tokenizer: str | None = None) -> DataFrame:
     """(file, place, doc_id) of written token files, the doc_id as a string."""
     end, width = separator_of(tokenizer)
-    last = end.to_bytes(width, "little")[-1:].decode("ascii")
-    lines = spark.read.schema("value string, file long").option("lineSep", last).text(f"{path}/kind=order")
+    mark = end.to_bytes(width, "little").decode("latin-1")
+    separated = spark.read.schema("value string, file long").option("encoding", "ISO-8859-1").option("lineSep", mark)
     place = F.substring_index("value", " ", 1).cast("long")
-    name = F.regexp_extract("value", r"(?s)^\d+ =(.*)", 1)
+    name = F.unhex(F.substring_index("value", "=", -1)).cast("string")
+    lines = separated.text(f"{path}/kind=order")
     return lines.select("file", place.alias("place"), F.when(F.col("value").contains("="), name).alias("doc_id"))
 
 
