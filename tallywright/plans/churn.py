@@ -38,12 +38,14 @@ def churn_model(
     numeric: Sequence[str] = NUMERIC,
     evaluate_on: str = "test",
     seed: int = 42,
+    wide: Sequence[str] = (),
     output: str | None = None,
 ) -> Scored:
     """Fit on 70 % of the customers, score all, evaluate on the other 30 %.
 
     ``evaluate_on="train"`` fits and evaluates on all customers. The clean rows
-    are kept while the fit and the scoring read them.
+    are kept while the fit and the scoring read them. ``wide`` names categories of very
+    many values, which are indexed by tables.
     """
     complete = cleaning.drop_nulls(df, [*categorical, *numeric, "churn"])
     numbers = cleaning.drop_nulls(cleaning.cast_numeric(complete, numeric), numeric)
@@ -51,7 +53,7 @@ def churn_model(
     indices = [f"{c}_idx" for c in categorical]
     pipeline = Pipeline(
         stages=[
-            indexing.string_indexer(categorical, indices, "keep"),
+            *indexing.indexers(categorical, indices, wide, keys[0]),
             features.assembler([*indices, *numeric]),
             models.logistic(LABEL, 10),
         ]

@@ -46,7 +46,9 @@ def prepared(
     return cleaning.fill_present(clean_transactions(df, subset, counts), categorical)
 
 
-def _encoder(df: DataFrame, categorical: Sequence[str]) -> tuple[DataFrame, list, list[str]]:
+def _encoder(
+    df: DataFrame, categorical: Sequence[str], wide: Sequence[str], spread: str
+) -> tuple[DataFrame, list, list[str]]:
     """Stages that turn the columns into a vector. A category the source lacks
     becomes the constant 0."""
     present = [c for c in categorical if c in df.columns]
@@ -54,7 +56,7 @@ def _encoder(df: DataFrame, categorical: Sequence[str]) -> tuple[DataFrame, list
         if name not in present:
             df = cleaning.with_column_or(df, f"{name}_index", f"{name}_index")
     outputs = [f"{c}_index" for c in present]
-    stages = [indexing.string_indexer(present, outputs, "keep")] if present else []
+    stages = indexing.indexers(present, outputs, wide, spread)
     inputs = [*NUMERIC, *[f"{c}_index" for c in categorical]]
     used = [*NUMERIC, *present, *[f"{c}_index" for c in categorical if c not in present]]
     return df, [*stages, features.assembler(inputs)], used
@@ -69,14 +71,16 @@ def fraud_logistic(
     complete: str = "needed",
     seed: int = 42,
     partitions: int | None = None,
+    wide: Sequence[str] = (),
     output: str | None = None,
 ) -> Scored:
     """Logistic regression on oversampled training rows.
 
     ``complete`` is that of ``prepared``. By default the rows are split before they are balanced, so that no copy of
-    a training row is tested on. ``balance_first`` swaps the two steps.
+    a training row is tested on. ``balance_first`` swaps the two steps. ``wide`` names
+    categories of very many values, which are indexed by tables.
     """
-    rows, stages, used = _encoder(prepared(df, categorical, complete), categorical)
+    rows, stages, used = _encoder(prepared(df, categorical, complete), categorical, wide, keys[0])
     if balance_first:
         balanced = balance.oversample_minority(rows, LABEL, keys, seed, copy_column="_copy")
         train, test = split.hash_split(balanced, [*keys, "_copy"], (0.8, 0.2), seed)
@@ -113,6 +117,7 @@ def fraud_forest(
     complete: str = "needed",
     seed: int = 42,
     partitions: int | None = None,
+    wide: Sequence[str] = (),
     output: str | None = None,
     counts: StageCounts | None = None,
 ) -> ForestResult:
@@ -121,11 +126,12 @@ def fraud_forest(
     ``balancing`` is ``weights``, ``oversample`` or ``both``; it touches the
     training rows only. The threshold is chosen on rows of its own
     (``validation``) or on those it is reported for (``test``). ``counts`` get the rows of
-    each stage of cleaning while the clean rows are stored.
+    each stage of cleaning while the clean rows are stored. ``wide`` names categories of
+    very many values, which are indexed by tables and taken as numbers.
     """
     if balancing not in ("weights", "oversample", "both") or threshold_on not in ("validation", "test"):
         raise ValueError("balancing is weights, oversample or both; threshold_on is validation or test")
-    rows, stages, used = _encoder(prepared(df, categorical, complete, counts), categorical)
+    rows, stages, used = _encoder(prepared(df, categorical, complete, counts), categorical, wide, keys[0])
     with_validation = threshold_on == "validation"
     weights = (0.64, 0.16, 0.2) if with_validation else (0.8, 0.2)
     # Stored once with the part of each row: weights, fit, threshold and test all read it.

@@ -14,7 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tallywright.operators import linear, models, recommend, text, trees, tuning
+from tallywright.operators import indexing, linear, models, recommend, text, trees, tuning
 
 
 @pytest.fixture(scope="module")
@@ -187,3 +187,45 @@ def test_top_items_are_those_of_the_model(spark):
     scored = recommend.with_factors(model.transform(ratings), model)
     again = linear.dot(F.col("_user_factors"), F.col("_item_factors"))
     assert scored.count() == 900 and scored.filter(F.abs(again - F.col("prediction")) > 1e-5).count() == 0
+
+
+def test_table_indexer_is_the_string_indexer(spark):
+    """Same indices by tables, for seen, unseen and null values."""
+    rows = spark.range(500).select(
+        F.col("id").alias("key"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("a"), (F.abs(F.hash("id")) % 23).cast("string"))).alias("a"),
+        (F.col("id") % 7).cast("string").alias("b"),
+    )
+    train = rows.filter("a <> 'a3' and b <> '5'")
+    mine = indexing.TableIndexer(["a", "b"], ["ai", "bi"], "key", "keep").fit(train).transform(rows)
+    theirs = indexing.string_indexer(["a", "b"], ["ai", "bi"], "keep").fit(train).transform(rows)
+    assert mine.columns == theirs.columns and sorted(mine.collect(), key=str) == sorted(theirs.collect(), key=str)
+    with pytest.raises(Exception, match="has no index"):
+        indexing.TableIndexer(["a"], ["ai"], "key").fit(train).transform(rows).collect()
+
+
+def test_jobs_with_a_category_of_very_many_values(spark):
+    """Same scores as with labels on the driver, and a column of which each row has its own."""
+    from tallywright.plans import churn, fraud
+
+    n = F.col("id")
+    rows = spark.range(3000).select(
+        n.alias("transaction_id"),
+        F.lit("2024-01-05 10:00:00").alias("transaction_time"),
+        (F.abs(F.hash(n)) % 900 + 10).cast("double").alias("transaction_amount"),
+        (n % 60 + 18).cast("int").alias("customer_age"),
+        F.concat(F.lit("m"), (n % 20).cast("string")).alias("merchant"),
+        F.concat(F.lit("r"), n.cast("string")).alias("customer_region"),
+        (F.abs(F.hash(n, F.lit(1))) % 10 < 3).cast("int").alias("is_fraud"),
+    )
+    few = ("merchant",)
+    driver = fraud.fraud_logistic(rows, ["transaction_id"], few).predictions
+    table = fraud.fraud_logistic(rows, ["transaction_id"], few, wide=few).predictions
+    both = driver.select("transaction_id", "probability_1").join(table.select("transaction_id", F.col("probability_1").alias("again")), "transaction_id")
+    assert both.count() == driver.count() == table.count()
+    assert both.filter(F.abs(F.col("again") - F.col("probability_1")) > 1e-9).count() == 0
+    forest = fraud.fraud_forest(rows, ["transaction_id"], trees=3, depth=3, wide=("customer_region",))
+    assert forest.predictions.filter("prediction_best is null").count() == 0
+    people = rows.select(F.col("transaction_id").alias("customer_id"), "merchant", "customer_region", "transaction_amount", F.when(F.col("is_fraud") == 1, "Y").otherwise("N").alias("churn"))
+    scored = churn.churn_model(people, categorical=("merchant", "customer_region"), numeric=("transaction_amount",), wide=("customer_region",))
+    assert scored.predictions.count() == 3000 and scored.predictions.filter("probability_1 is null").count() == 0
