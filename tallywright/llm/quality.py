@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.llm.text import let, lines, trim, words
@@ -16,7 +16,7 @@ from tallywright.sources.scratch import materialize
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 3
 
-# What rules may test, with the thresholds they may use. All are parameters.
+# What rules may test.
 MEASURES: dict[str, str] = {
     "words": "double(n_words)",
     "chars_per_word": "word_chars / greatest(n_words, 1)",
@@ -24,13 +24,12 @@ MEASURES: dict[str, str] = {
     "repeated_per_100_words": "100 * n_repeat_words / greatest(n_words, 1)",
     "dup_lines_per_100_words": "100 * n_dup_lines / greatest(n_words, 1)",
 }
-THRESHOLDS: dict[str, tuple[float, ...]] = {
-    "words": (100, 200, 500, 1000, 5000, 20000),
-    "chars_per_word": (2, 3, 3.5, 4, 6, 7, 8, 10, 12),
-    "symbols_per_100_words": (1, 2, 5, 10, 20, 50, 100, 200),
-    "repeated_per_100_words": (5, 10, 20, 30, 40),
-    "dup_lines_per_100_words": (0.5, 1, 2, 5, 10),
-}
+Thresholds = Mapping[str, Sequence[float]]
+# The thresholds are values of the growing rows themselves: these quantiles of a measure over the
+# bad ones and over the good ones. Ties and equal quantiles leave fewer.
+QUANTILES = (0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
+# Digits to which values are cut before they are counted, so that their number is bounded.
+DIGITS = 4
 # Of three parts of the labelled rows, by the hash of the key, two grow rules and one prunes them.
 PARTS = 3
 
@@ -119,39 +118,73 @@ class Cell:
     bad: int
     good: int
 
-    def meets(self, test: Test) -> bool:
-        above = self.bins[test.measure] > THRESHOLDS[test.measure].index(test.threshold)
+    def meets(self, test: Test, thresholds: Thresholds) -> bool:
+        above = self.bins[test.measure] > thresholds[test.measure].index(test.threshold)
         return above == test.above
 
 
-def labelled_cells(stats: DataFrame, labels: DataFrame) -> list[Cell]:
-    """Counts of good and bad rows by bins of all measures, over every labelled row of
+def labelled_measures(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """A stored table of the measures, ``grows`` and ``bad`` (0 or 1) of every labelled row of
     (doc_id, stats) that meets the base rules. A doc_id labelled twice counts as bad
-    if one label is 0; null labels and ids count for nothing.
-
-    Their number is bounded by the thresholds, whatever the number of rows: at most
-    the product of the bins, here 7 * 10 * 9 * 6 * 6, in two parts.
-    """
+    if one label is 0; null labels and ids count for nothing."""
     label = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    bins = {}
-    for name, value in measures().items():
-        bins[name] = sum(((value >= t).cast("int") for t in THRESHOLDS[name]), F.lit(0))
     grows = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) > 0
-    rows = (
-        stats.filter(~base_failed())
-        .join(label, "doc_id")
-        .select(*[c.alias(n) for n, c in bins.items()], grows.alias("grows"), (F.col("quality") == 0).cast("long").alias("bad"))
+    rows = stats.filter(~base_failed()).join(label, "doc_id")
+    values = [c.alias(n) for n, c in measures().items()]
+    return materialize(rows.select(*values, grows.alias("grows"), (F.col("quality") == 0).cast("long").alias("bad")), "labelled")
+
+
+def _cut(value: Column) -> Column:
+    """A value that is not negative without what is beyond ``DIGITS`` digits, so no larger."""
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(value)) - (DIGITS - 1))
+    near = F.floor(value / unit) * unit
+    return F.when(value > 0, F.least(near, value)).otherwise(F.lit(0.0))
+
+
+def quantile_thresholds(rows: DataFrame, quantiles: Sequence[float] = QUANTILES) -> dict[str, tuple[float, ...]]:
+    """The quantiles of each measure over the bad growing rows and over the good ones, each
+    once, ascending: the smallest value that so large a part of them does not exceed.
+
+    Exact, of values cut to ``DIGITS`` digits: they are counted in each task before the
+    shuffle and added up in order, of which no task has more than there are such values.
+    """
+    each = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), _cut(F.col(m)).alias("value")) for m in MEASURES]))
+    counts = rows.filter("grows").select("bad", each).groupBy("measure", "bad", "value").agg(F.count("*").alias("n"))
+    side = Window.partitionBy("measure", "bad")
+    summed = counts.withColumns(
+        {"upto": F.sum("n").over(side.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("n").over(side)}
+    )
+    rank = [F.greatest(F.ceil(F.lit(q) * F.col("total")), F.lit(1)) for q in quantiles]
+    at_one = F.exists(F.array(*rank), lambda r: (r > F.col("upto") - F.col("n")) & (r <= F.col("upto")))
+    found = summed.filter(at_one).select("measure", "value").distinct().collect()
+    return {m: tuple(sorted(r["value"] for r in found if r["measure"] == m)) for m in MEASURES}
+
+
+def labelled_cells(rows: DataFrame, thresholds: Thresholds) -> list[Cell]:
+    """Counts of good and bad rows by bins of all measures, over all of ``labelled_measures``.
+
+    Their number is bounded by the thresholds, whatever the number of rows: at most the
+    product of the bins, 19 for each of five measures where no quantiles are equal, in two
+    parts. Of a million labelled rows some ten thousand cells are to be expected.
+    """
+    bins = {m: sum(((F.col(m) >= t).cast("int") for t in thresholds[m]), F.lit(0)) for m in MEASURES}
+    counted = (
+        rows.select(*[c.alias(n) for n, c in bins.items()], "grows", "bad")
         .groupBy(*bins, "grows")
         .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
-        .collect()
+        .toArrow()
+        .to_pylist()
     )
-    return [Cell({n: r[n] for n in bins}, r["grows"], r["bad"], r["good"]) for r in rows]
+    # In an order that does not follow from the partitions.
+    counted.sort(key=lambda r: [*(r[n] for n in bins), r["grows"]])
+    return [Cell({n: r[n] for n in bins}, r["grows"], r["bad"], r["good"]) for r in counted]
 
 
 class _Rows:
     """Cells as arrays: a bin of each by measure, and their numbers of bad and good rows."""
 
-    def __init__(self, cells: Sequence[Cell]) -> None:
+    def __init__(self, cells: Sequence[Cell], thresholds: Thresholds) -> None:
+        self.thresholds = thresholds
         self.bins = {m: np.array([c.bins[m] for c in cells], np.int64) for m in MEASURES}
         self.bad = np.array([c.bad for c in cells], np.int64)
         self.good = np.array([c.good for c in cells], np.int64)
@@ -159,7 +192,7 @@ class _Rows:
     def meet(self, rule: Sequence[Test]) -> np.ndarray:
         met = np.ones(len(self.bad), bool)
         for test in rule:
-            met &= (self.bins[test.measure] > THRESHOLDS[test.measure].index(test.threshold)) == test.above
+            met &= (self.bins[test.measure] > self.thresholds[test.measure].index(test.threshold)) == test.above
         return met
 
     def totals(self, where: np.ndarray) -> tuple[int, int]:
@@ -177,10 +210,10 @@ def _grow(rows: _Rows, here: np.ndarray) -> list[Test]:
         before = math.log2(bad / (bad + good))
         found = []
         for name in MEASURES:
-            size = len(THRESHOLDS[name]) + 1
+            size = len(rows.thresholds[name]) + 1
             bins = rows.bins[name][here]
             below_bad, below_good = (np.bincount(bins, x[here], size).cumsum().tolist() for x in (rows.bad, rows.good))
-            for place, threshold in enumerate(THRESHOLDS[name]):
+            for place, threshold in enumerate(rows.thresholds[name]):
                 for above in (True, False):
                     p, n = below_bad[place], below_good[place]
                     if above:
@@ -215,7 +248,7 @@ def _by_chance(bad: int, good: int, share: float) -> float:
     return math.exp(-distance)
 
 
-def learn(cells: list[Cell], precision: float = 0.9, chance: float = 0.05) -> list[list[Test]]:
+def learn(cells: list[Cell], thresholds: Thresholds, precision: float = 0.9, chance: float = 0.05) -> list[list[Test]]:
     """Sequential covering: an ordered list of rules that reject.
 
     Each rule is grown on two thirds of the labelled rows and pruned on the rest. It is
@@ -227,7 +260,7 @@ def learn(cells: list[Cell], precision: float = 0.9, chance: float = 0.05) -> li
     labelled rows of both kinds there is no rule.
     """
     rules: list[list[Test]] = []
-    rows, tried = _Rows(cells), 0
+    rows, tried = _Rows(cells, thresholds), 0
     growing = np.array([c.grows for c in cells], bool)
     held = ~growing
     while grown := _grow(rows, growing):
@@ -256,9 +289,17 @@ def verdict(rules: Sequence[Sequence[Test]], stats: str = "stats") -> Column:
     return kept.otherwise(F.lit(True))
 
 
-def fit(stats: DataFrame, labels: DataFrame) -> list[list[Test]]:
+def fit(
+    stats: DataFrame,
+    labels: DataFrame,
+    quantiles: Sequence[float] = QUANTILES,
+    precision: float = 0.9,
+    chance: float = 0.05,
+) -> list[list[Test]]:
     """The decision list learned from a stored table (doc_id, stats) and labels (doc_id, quality)."""
-    return learn(labelled_cells(stats, labels))
+    rows = labelled_measures(stats, labels)
+    thresholds = quantile_thresholds(rows, quantiles)
+    return learn(labelled_cells(rows, thresholds), thresholds, precision, chance)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

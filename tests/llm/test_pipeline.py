@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+import pytest
+
 import corpus_pipeline
 import test_lines
+import test_packing
 import test_quality
 import test_simhash
+from tallywright.llm import quality
 
 
-def test_stages_equal_the_plain_ones(spark, sf_dir):
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_stages_equal_the_plain_ones(spark, folder):
+    sf_dir = folder
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    first = [(d, t) for d, t in rows if (s := test_quality.slow(t))[0] >= 50 and 100 * s[4] <= 50 * s[0]]
+    stats = corpus_pipeline.materialize(quality.with_statistics(docs).select("doc_id", "stats"), "statistics")
+    rules = quality.fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    first = sorted((d, t) for d, t in rows if test_quality.kept_of(rules, test_quality.slow(t)))
     out, seen = docs, []
     for name, stage in corpus_pipeline.STAGES[:3]:
         out = corpus_pipeline.materialize(stage(spark, out, sf_dir), name)
         assert out.columns == docs.columns
         seen.append(sorted((r["doc_id"], r["text"]) for r in out.collect()))
-    assert set(seen[0]) <= set(first)
+    assert seen[0] == first
     kept = seen[0]
     assert seen[1] == sorted((d, t) for (d, _), t in zip(kept, test_lines.slow(kept)))
     groups = test_simhash.slow_groups(seen[1])
     assert [d for d, _ in seen[2]] == sorted(d for d, _, component in groups if d == component)
-    last = corpus_pipeline.STAGES[3][1](spark, out, sf_dir)
-    assert {r["doc_id"] for r in last.select("doc_id").collect()} == {d for d, _ in seen[2]}
+    last = corpus_pipeline.STAGES[3][1](spark, out, sf_dir).collect()
+    ids = dict(zip((d for d, _ in seen[2]), test_packing.slow_ids([t for _, t in seen[2]])))
+    used = test_packing.check(last, ids, 1024)
+    assert used <= 1.01 * -(-sum(map(len, ids.values())) // 1024) + 2

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections import Counter
 
@@ -45,6 +46,16 @@ def test_odd_texts(spark):
     assert got == {i: slow(t) for i, t in enumerate(texts)}
 
 
+# Bins of the cells below.
+THRESHOLDS = {
+    "words": (100, 200, 500, 1000, 5000, 20000),
+    "chars_per_word": (2, 3, 3.5, 4, 6, 7, 8, 10, 12),
+    "symbols_per_100_words": (1, 2, 5, 10, 20, 50, 100, 200),
+    "repeated_per_100_words": (5, 10, 20, 30, 40),
+    "dup_lines_per_100_words": (0.5, 1, 2, 5, 10),
+}
+
+
 def cells(rows):
     bins = {m: 0 for m in quality.MEASURES}
     return [quality.Cell(bins | b, g, bad, good) for b, g, bad, good in rows]
@@ -56,21 +67,21 @@ def test_rules_are_ordered_conjunctions():
     for grows in (True, False):
         data += [({"symbols_per_100_words": 6}, grows, 50, 0), ({}, grows, 0, 500), ({"chars_per_word": 8}, grows, 40, 1)]
         data += [({"chars_per_word": 8, "repeated_per_100_words": 3}, grows, 0, 60)]
-    rules = quality.learn(cells(data))
+    rules = quality.learn(cells(data), THRESHOLDS)
     assert len(rules) == 2 and all(rules)
-    kept = [c for c in cells(data) if not any(all(c.meets(t) for t in rule) for rule in rules)]
+    kept = [c for c in cells(data) if not any(all(c.meets(t, THRESHOLDS) for t in rule) for rule in rules)]
     assert sum(c.bad for c in kept) == 0 and sum(c.good for c in kept) == 1120
 
 
 def test_a_rule_covers_no_more_than_it_needs():
     data = [({"symbols_per_100_words": 6}, g, 50, 0) for g in (True, False)] + [({}, g, 0, 500) for g in (True, False)]
-    assert [[str(t) for t in rule] for rule in quality.learn(cells(data))] == [["symbols_per_100_words >= 50"]]
+    assert [[str(t) for t in rule] for rule in quality.learn(cells(data), THRESHOLDS)] == [["symbols_per_100_words >= 50"]]
 
 
 def test_no_rule_without_both_kinds_or_from_noise():
-    assert quality.learn([]) == []
-    assert quality.learn(cells([({}, True, 9, 0), ({}, False, 0, 9)])) == []
-    assert quality.learn(cells([({"words": 2}, g, 10, 90) for g in (True, False)])) == []
+    assert quality.learn([], THRESHOLDS) == []
+    assert quality.learn(cells([({}, True, 9, 0), ({}, False, 0, 9)]), THRESHOLDS) == []
+    assert quality.learn(cells([({"words": 2}, g, 10, 90) for g in (True, False)]), THRESHOLDS) == []
 
 
 def test_held_out_labels(spark):
@@ -115,7 +126,7 @@ def test_rare_kinds_are_learned_behind_a_rule_that_fails():
     data = [({"chars_per_word": 0}, True, 60, 0), ({"chars_per_word": 0}, False, 0, 30), ({"chars_per_word": 4}, True, 0, 900)]
     data += [({"chars_per_word": 4}, False, 0, 450), ({"chars_per_word": 4, "symbols_per_100_words": 6}, True, 6, 0)]
     data += [({"chars_per_word": 4, "symbols_per_100_words": 6}, False, 3, 0)]
-    rules = quality.learn(cells(data))
+    rules = quality.learn(cells(data), THRESHOLDS)
     assert [[str(t) for t in rule] for rule in rules] == [["symbols_per_100_words >= 50"]]
 
 
@@ -124,7 +135,61 @@ def test_more_than_twenty_kinds_are_learned():
     sizes = {"words": 7, "chars_per_word": 10, "symbols_per_100_words": 9}
     kinds = [dict(zip(sizes, at)) for at in itertools.product(*map(range, sizes.values()))]
     data = [(k, g, *((0, 900) if any(i % 2 for i in k.values()) else (300, 0))) for k in kinds for g in (True, False)]
-    rules = quality.learn(cells(data))
+    rules = quality.learn(cells(data), THRESHOLDS)
     assert len(rules) > 20
     for c in cells(data):
-        assert any(all(c.meets(t) for t in rule) for rule in rules) == (c.bad > 0)
+        assert any(all(c.meets(t, THRESHOLDS) for t in rule) for rule in rules) == (c.bad > 0)
+
+
+def statistics(spark, rows):
+    """A stored table (doc_id, stats) of given statistics."""
+    kind = ", ".join(f"{c}: bigint" for c in quality.STATISTICS)
+    df = spark.createDataFrame(rows, f"doc_id long, stats struct<{kind}>")
+    return materialize(df, "given")
+
+
+def test_thresholds_come_from_the_labelled_rows(spark):
+    """Kinds that lie close together are told apart: 5.0 and 5.8 letters a word."""
+    rows = [(i, (1000, 5000 if i < 400 else 5800, 0, 0, 0)) for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i >= 400)) for i in range(1200)], "doc_id long, quality int")
+    rules = quality.fit(statistics(spark, rows), labels)
+    assert [[str(t) for t in rule] for rule in rules] == [["chars_per_word < 5.8"]]
+
+
+def test_quantiles_are_exact(spark):
+    rows = [((i * 7919) % 1000 / 8.0, i % 3 == 0, int(i % 5 == 0)) for i in range(1000)]
+    frame = spark.createDataFrame([(v, v, v, v, v, g, b) for v, g, b in rows], [*quality.MEASURES, "grows", "bad"])
+    for parts in (1, 5):
+        found = quality.quantile_thresholds(frame.repartition(parts), (0.0, 0.1, 0.5, 1.0))
+        want = set()
+        for side in (0, 1):
+            values = sorted(v for v, g, b in rows if g and b == side)
+            want |= {values[max(math.ceil(q * len(values)), 1) - 1] for q in (0.0, 0.1, 0.5, 1.0)}
+        cut = sorted({float(f"{math.floor(v / 10 ** (math.floor(math.log10(v)) - 3) + 1e-9) * 10.0 ** (math.floor(math.log10(v)) - 3):.6g}") if v else 0.0 for v in want})
+        assert all(len(t) == len(cut) and all(abs(a - b) <= 1e-9 * max(1, b) for a, b in zip(t, cut)) for t in found.values())
+    assert quality.quantile_thresholds(frame.limit(0)) == {m: () for m in quality.MEASURES}
+
+
+def kept_of(rules, stats):
+    """The verdict of a decision list in plain Python."""
+    n, chars, symbols, dup, repeated = stats
+    if n < 50 or 100 * repeated > 50 * n:
+        return False
+    words = max(n, 1)
+    values = {
+        "words": float(n), "chars_per_word": chars / words, "symbols_per_100_words": 100 * symbols / words,
+        "repeated_per_100_words": 100 * repeated / words, "dup_lines_per_100_words": 100 * dup / words,
+    }
+    return not any(all((values[t.measure] >= t.threshold) == t.above for t in rule) for rule in rules)
+
+
+def test_verdicts_of_the_query(spark):
+    """Each ``kept`` of a table on which rules are learned, from the rules in plain Python."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stats = materialize(quality.with_statistics(docs).select("doc_id", "stats"), "statistics")
+    rules = quality.fit(stats, spark.read.parquet(f"{folder}/labels.parquet"))
+    assert rules
+    want = {r["doc_id"]: kept_of(rules, slow(r["text"])) for r in docs.collect()}
+    assert {r["doc_id"]: r["kept"] for r in op2_quality_rules(spark, folder).collect()} == want
+    assert 0 < sum(not k for k in want.values()) < len(want) / 2
