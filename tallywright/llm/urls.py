@@ -13,10 +13,13 @@ from tallywright.sources.scratch import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = 64
-# Bits of all levels together beyond which they would weigh too much in each task: 32 MB.
+# Bits of the levels that one task holds at a time: 32 MB. A list that needs more is dealt by
+# the hash of its keys into slices, each with a cascade of its own.
 MOST_BITS = 1 << 28
-# Share of keys outside that the first level may let through, and all others.
-FIRST_RATE, NEXT_RATE = 0.05, 0.5
+# Keys of a level up to which its bits weigh little, and the share of others that it then lets through.
+SMALL, SMALL_RATE = 1 << 16, 1 / 256
+# The share that levels of more keys let through; the first one's follows from the two sides.
+RATE = 0.5
 
 
 def host_of(url: Column) -> Column:
@@ -96,10 +99,14 @@ class Level:
         return found
 
 
+def _size(count: int, rate: float) -> int:
+    """Bits of a filter of so many keys."""
+    return WORD * max(1, math.ceil(-count * math.log(rate) / math.log(2) ** 2 / WORD))
+
+
 def _build(keys: DataFrame, count: int, number: int, rate: float) -> Level:
     """A filter of the (key) rows, its bits combined in each task before the shuffle."""
-    hashes = max(1, round(-math.log2(rate)))
-    bits = WORD * max(1, math.ceil(-count * math.log(rate) / math.log(2) ** 2 / WORD))
+    hashes, bits = max(1, round(-math.log2(rate))), _size(count, rate)
     place = F.explode(F.array(*_places(F.col("key"), number, hashes, bits))).alias("place")
     words = (
         keys.select(place)
@@ -112,6 +119,30 @@ def _build(keys: DataFrame, count: int, number: int, rate: float) -> Level:
     return Level(number, hashes, bits, materialize(row.select(F.col("all.set").alias("words")), "bloom"))
 
 
+def _rate(number: int, count: int, others: int) -> float:
+    """The share of ``others`` that level ``number`` of ``count`` keys may let through.
+
+    Each level costs two passes over what is left, each halving of its rate a bit and a half
+    for each of its keys. Half is the cheapest where keys are many, but for the first level:
+    of it as many of the others may pass as make the second level little larger than itself.
+    """
+    if count <= SMALL:
+        return SMALL_RATE
+    return min(RATE, count * math.sqrt(0.5) / max(others, 1)) if number == 1 else RATE
+
+
+def _levels(listed: DataFrame, others: DataFrame) -> list[Level]:
+    levels: list[Level] = []
+    now, other = listed, others
+    count, rest = now.count(), other.count()
+    while count:
+        number = len(levels) + 1
+        levels.append(_build(now, count, number, _rate(number, count, rest)))
+        passed = materialize(other.filter(levels[-1].holds(F.col("key"))), "passed")
+        now, other, count, rest = passed, now, passed.count(), count
+    return levels
+
+
 class Cascade:
     """Exact membership in ``listed`` for every key of ``universe`` (key).
 
@@ -123,42 +154,47 @@ class Cascade:
     logarithm of the list.
 
     The list may have keys beyond the universe; those are ignored. Null keys are in
-    neither. If the levels would weigh more than ``most_bits`` the answer comes from a
-    join by shuffle instead, exact as well.
+    neither. Where the levels need more than ``most_bits`` together, both sides are dealt
+    by the hash of the key into slices that need no more, each with levels of its own.
     """
 
     def __init__(self, universe: DataFrame, listed: DataFrame, most_bits: int = MOST_BITS) -> None:
         known = universe.select("key").filter("key is not null").distinct()
         marked = known.join(listed.select("key").distinct().withColumn("inside", F.lit(True)), "key", "left")
         keys = materialize(marked.select("key", F.col("inside").isNotNull().alias("inside")), "keys")
-        self.listed = keys.filter("inside").select("key")
-        self.levels: list[Level] | None = []
-        now, other = self.listed, keys.filter("not inside").select("key")
-        count, bits = now.count(), 0
-        while count:
-            level = len(self.levels) + 1
-            rate = FIRST_RATE if level == 1 else NEXT_RATE
-            bits += math.ceil(-count * math.log(rate) / math.log(2) ** 2)
-            if bits > most_bits:
-                self.levels = None
-                return
-            built = _build(now, count, level, rate)
-            self.levels.append(built)
-            now, other = materialize(other.filter(built.holds(F.col("key"))), "passed"), now
-            count = now.count()
-
-    def inside(self, key: Column) -> Column:
-        """True where the key is listed; for a key outside the universe either, for a null false."""
-        if self.levels is None:
-            raise ValueError("the list is too long for filters; use mark")
-        answer = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(self.levels):
+        sides = keys.agg(F.count_if("inside").alias("listed"), F.count("*").alias("all")).first()
+        count, others = sides["listed"], sides["all"] - sides["listed"]
+        # The later levels together need no more than some four bits for each listed key.
+        self.slices = max(1, math.ceil((_size(count, _rate(1, count, others)) + 4 * count) / most_bits)) if count else 1
+        self.cascades = []
+        for number in range(self.slices):
+            some = keys.filter(self.slice_of(F.col("key")) == number) if self.slices > 1 else keys
+            self.cascades.append(_levels(some.filter("inside").select("key"), some.filter("not inside").select("key")))
+
+    def slice_of(self, key: Column) -> Column:
+        """The slice that knows a key; a null is in the first."""
+        return F.coalesce(F.pmod(F.xxhash64(F.lit("slice"), key), F.lit(self.slices)).cast("int"), F.lit(0))
+
+    def _by(self, levels: list[Level], key: Column) -> Column:
+        answer = F.lit(len(levels) % 2 == 1)
+        for level in reversed(levels):
             answer = F.when(~level.holds(key), F.lit(level.number % 2 == 0)).otherwise(answer)
         return F.when(key.isNull(), F.lit(False)).otherwise(answer)
 
+    def inside(self, key: Column) -> Column:
+        """True where the key is listed; for a key outside the universe either, for a null false.
+        A task holds the levels of all slices."""
+        answer = self._by(self.cascades[0], key)
+        for number, levels in enumerate(self.cascades[1:], 1):
+            answer = F.when(self.slice_of(key) == number, self._by(levels, key)).otherwise(answer)
+        return answer
+
     def mark(self, df: DataFrame, key: str, output: str) -> DataFrame:
-        """``df`` with a column that tells whether its key is listed."""
-        if self.levels is not None:
-            return df.withColumn(output, self.inside(F.col(key)))
-        found = self.listed.select(F.col("key").alias(key), F.lit(True).alias(output))
-        return df.drop(output).join(found, key, "left").withColumn(output, F.col(output).isNotNull())
+        """``df`` with a column that tells whether its key is listed. Each slice marks the rows
+        of its own keys where they are, in a scan of its own, so a task holds one at a time."""
+        found = None
+        for number, levels in enumerate(self.cascades):
+            rows = df.filter(self.slice_of(F.col(key)) == number) if self.slices > 1 else df
+            some = rows.withColumn(output, self._by(levels, F.col(key)))
+            found = some if found is None else found.unionByName(some)
+        return found

@@ -47,18 +47,35 @@ def test_exact_for_the_whole_universe(spark, listed):
     universe = [f"k{i}" for i in range(3000)]
     inside = {f"k{i}" for i in range(3000) if i * 7919 % 3000 < listed}
     cascade = urls.Cascade(keys(spark, [*universe, "k1", None]), keys(spark, [*inside, *inside, "elsewhere", None]))
-    assert cascade.levels is not None and len(cascade.levels) <= 20
+    assert cascade.slices == 1 and len(cascade.cascades[0]) <= 20
     got = cascade.mark(keys(spark, [*universe, None, None]), "key", "in").collect()
     assert len(got) == 3002
     assert {r["key"] for r in got if r["in"]} == inside
 
 
-def test_beyond_the_bound_by_join(spark):
+@pytest.mark.parametrize("most_bits", [100, 1000, 1 << 20])
+def test_slices(spark, most_bits):
+    """Lists beyond the bound are marked by cascades of slices, exactly and without a join."""
     universe = [f"k{i}" for i in range(300)]
-    cascade = urls.Cascade(keys(spark, universe), keys(spark, universe[:99]), most_bits=100)
-    assert cascade.levels is None
-    got = cascade.mark(keys(spark, [*universe, "k1", None]), "key", "in").collect()
-    assert sorted(r["key"] for r in got if r["in"]) == sorted([*universe[:99], "k1"]) and len(got) == 302
+    cascade = urls.Cascade(keys(spark, universe), keys(spark, universe[:99]), most_bits)
+    assert (cascade.slices > 1) == (most_bits < 1 << 20)
+    rows = keys(spark, [*universe, "k1", None])
+    marked = cascade.mark(rows, "key", "in")
+    assert "Join" not in marked._jdf.queryExecution().executedPlan().toString()
+    for got in (marked.collect(), rows.withColumn("in", cascade.inside(F.col("key"))).collect()):
+        assert sorted(r["key"] for r in got if r["in"]) == sorted([*universe[:99], "k1"]) and len(got) == 302
+
+
+def test_levels_of_many_keys(spark, monkeypatch):
+    """Where bits are dear a cascade has the rates of a large one, and more levels."""
+    monkeypatch.setattr(urls, "SMALL", 0)
+    universe = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = spark.range(0, 20_000, 9).select(F.concat(F.lit("k"), "id").alias("key"))
+    cascade = urls.Cascade(universe, listed)
+    levels = cascade.cascades[0]
+    assert len(levels) >= 6 and sum(level.bits for level in levels) < 12 * 2223
+    got = cascade.mark(universe, "key", "in").filter("in").select("key")
+    assert got.exceptAll(listed).count() == 0 and got.count() == 2223
 
 
 def test_no_rows(spark):
