@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import math
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Sequence
 from itertools import count
@@ -20,7 +22,10 @@ MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581  # how the vocabulary writes a space
 NO_PIECE = 0x110000  # stands for that letter itself where a text holds it
 # Bytes of the texts that one lattice covers; a longer text has one of its own.
-CHARS = 1 << 20
+CHARS = 1 << 19
+# Letters of a part beyond which it goes letter by letter, alone: rounds over all parts at once
+# would have few letters each. And letters whose arcs such a part has at a time.
+LONG, STRETCH = 1 << 12, 1 << 15
 SLOT_BITS = 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # No piece holds a line feed, or a space behind another letter.
@@ -33,9 +38,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _draws(seeds: np.ndarray, part: np.ndarray, step: int) -> np.ndarray:
+def _draws(seeds: np.ndarray, part: np.ndarray, step: int | np.ndarray) -> np.ndarray:
     """Uniform numbers in [0, 1) that depend on the seed of a row, the part and the step only."""
-    x = _mix(seeds + part.astype(np.uint64) * _FACTOR) + np.uint64((step + 1) * int(_FACTOR) % 2**64)
+    steps = np.atleast_1d(step).astype(np.uint64) + np.uint64(1)
+    x = _mix(seeds + part.astype(np.uint64) * _FACTOR) + steps * _FACTOR
     return (_mix(x) >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
@@ -139,9 +145,104 @@ class Model:
         occurrence = np.fromiter((p for x in parts for p in x), np.int64, int(sizes.sum()))
         if not len(occurrence):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        width = np.fromiter(map(len, number), np.int64, len(number))
-        codes = np.frombuffer("".join(number).encode("utf-32-le", "surrogatepass"), "<i4")
-        codes = np.where(codes == SPACE, np.int32(NO_PIECE), np.where(codes == 0x20, np.int32(SPACE), codes))
+        rows = np.repeat(np.arange(len(texts)), sizes)
+        within = np.arange(len(occurrence)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        distinct = list(number)
+        is_long = np.fromiter((len(p) > LONG for p in distinct), bool, len(distinct))
+        steps, chosen = np.zeros(len(occurrence), np.int64), {}
+        for at in np.flatnonzero(is_long[occurrence]):
+            chosen[at] = self._sampled_alone(distinct[occurrence[at]], seeds[rows[at]], within[at], alpha)
+            steps[at] = len(chosen[at])
+        short = np.flatnonzero(~is_long[occurrence])
+        place = np.cumsum(~is_long) - 1
+        taken = self._sampled_together(
+            [p for p, far in zip(distinct, is_long) if not far], place[occurrence[short]], seeds[rows[short]], within[short], alpha
+        )
+        for live, _ in taken:
+            steps[short[live]] += 1
+        offset = np.cumsum(steps) - steps
+        out = np.zeros(int(steps.sum()), np.int64)
+        for at, ids in chosen.items():
+            out[offset[at] : offset[at] + len(ids)] = ids
+        for back, (live, ids) in enumerate(taken):
+            out[offset[short[live]] + steps[short[live]] - 1 - back] = ids
+        spelled, widths = self._spelled(out)
+        ends = np.concatenate(([0], np.cumsum(widths)))[np.concatenate((offset, [len(out)]))]
+        upto = np.concatenate(([0], np.cumsum(sizes)))[1:]
+        return spelled, ends[upto]
+
+    def _codes(self, text: str) -> np.ndarray:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<i4")
+        return np.where(codes == SPACE, np.int32(NO_PIECE), np.where(codes == 0x20, np.int32(SPACE), codes))
+
+    def _stretch(self, codes: np.ndarray, a: int, b: int, alpha: float) -> tuple[list[int], list[int], list[float], list[int]]:
+        """(bounds, lengths, weights, ids) of the arcs to the nodes a + 1 to b of one part, by node
+        and then by length; those of node a + 1 + i lie between bounds[i] and bounds[i + 1]."""
+        first = max(0, a - self.longest + 1)
+        some = codes[first:b]
+        source, length, ids = self.arcs(some, np.zeros(len(some), np.int32), np.full(len(some), len(some), np.int32))
+        target = source + length + first
+        here = np.flatnonzero(target > a)
+        here = here[np.argsort(target[here].astype(np.int64) * (self.longest + 1) + length[here])]
+        bounds = np.searchsorted(target[here], np.arange(a + 1, b + 2))
+        return bounds.tolist(), length[here].tolist(), (alpha * self._weights(ids[here])).tolist(), ids[here].tolist()
+
+    def _sampled_alone(self, part: str, seed: np.uint64, within: int, alpha: float) -> np.ndarray:
+        """Pieces of one long part in order: the same filtering and sampling letter by letter.
+        Only the sums of its nodes are kept, and the arcs of some stretches at a time."""
+        codes = self._codes(part)
+        n, exp = len(codes), math.exp
+        totals = array("d", [0.0]) * (n + 1)
+        stretches = [(a, min(a + STRETCH, n)) for a in range(0, n, STRETCH)]
+        held: dict[int, tuple] = {}
+        for a, b in stretches:
+            arcs = bounds, lengths, weights, _ = self._stretch(codes, a, b, alpha)
+            if len(held) < 16:
+                held[a] = arcs
+            lo = 0
+            for node in range(a + 1, b + 1):
+                hi = bounds[node - a]
+                if hi - lo == 1:
+                    totals[node] = totals[node - lengths[lo]] + weights[lo]
+                else:
+                    ways = [totals[node - lengths[i]] + weights[i] for i in range(lo, hi)]
+                    most = max(ways)
+                    totals[node] = most + math.log(sum([exp(x - most) for x in ways]))
+                lo = hi
+        out, step, node = [], 0, n
+        draws: list[float] = []
+        for a, b in reversed(stretches):
+            bounds, lengths, weights, ids = held.pop(a, None) or self._stretch(codes, a, b, alpha)
+            while node > a:
+                if step % STRETCH == 0:
+                    draws = _draws(np.array([seed]), np.array([within]), np.arange(step, step + STRETCH)).tolist()
+                left = draws[step % STRETCH]
+                lo, hi = bounds[node - a - 1], bounds[node - a]
+                arc = lo
+                if hi - lo > 1:
+                    ways = [totals[node - lengths[i]] + weights[i] for i in range(lo, hi)]
+                    most = max(ways)
+                    ways = [exp(x - most) for x in ways]
+                    left *= sum(ways)
+                    while arc < hi - 1:
+                        left -= ways[arc - lo]
+                        if left < 0:
+                            break
+                        arc += 1
+                out.append(ids[arc])
+                node -= lengths[arc]
+                step += 1
+        return np.array(out[::-1], np.int64)
+
+    def _sampled_together(
+        self, distinct: Sequence[str], occurrence: np.ndarray, seed: np.ndarray, within: np.ndarray, alpha: float
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """[(occurrences, ids)]: the last pieces of all occurrences of some parts, the ones
+        before these, and so on."""
+        if not len(occurrence):
+            return []
+        width = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        codes = self._codes("".join(distinct))
         stop = np.cumsum(width)
         part = np.repeat(np.arange(len(width), dtype=np.int32), width)
         base = stop - width + np.arange(len(width))  # the first node of each part
@@ -171,12 +272,8 @@ class Model:
             sums = np.add.reduceat(ways, cuts)
             total[target[heads[a:b]]] = most + np.log(sums)
             share[lo:hi] = ways / np.repeat(sums, repeats)
-        rows = np.repeat(np.arange(len(texts)), sizes)
-        within = np.arange(len(occurrence)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        seed = seeds[rows]
         live, node, root = np.arange(len(occurrence)), base[occurrence] + width[occurrence], base[occurrence]
-        taken, steps = [], np.zeros(len(occurrence), np.int64)
-        step = 0
+        taken, step = [], 0
         while len(live):
             left = _draws(seed[live], within[live], step)
             arc, last = first[node].copy(), first[node] + fan[node] - 1
@@ -187,20 +284,12 @@ class Model:
                 if not len(open_):
                     break
                 arc[open_] += 1
-            taken.append((live, arc))
-            steps[live] += 1
+            taken.append((live, ids[arc]))
             node = source[arc]
             on = node != root[live]
             live, node = live[on], node[on]
             step += 1
-        offset = np.cumsum(steps) - steps
-        chosen = np.zeros(int(steps.sum()), np.int64)
-        for back, (live, arc) in enumerate(taken):
-            chosen[offset[live] + steps[live] - 1 - back] = ids[arc]
-        out, widths = self._spelled(chosen)
-        ends = np.concatenate(([0], np.cumsum(widths)))[np.concatenate((offset, [len(chosen)]))]
-        upto = np.concatenate(([0], np.cumsum(sizes)))[1:]
-        return out, ends[upto]
+        return taken
 
     def _spelled(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids with each letter that is no piece as those of its UTF-8 bytes, and their numbers."""

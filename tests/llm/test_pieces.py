@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import math
+import random
+import re
+import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -77,3 +81,67 @@ def test_large_alpha_gives_the_likeliest():
     ids, _ = model.sample(["inter"], np.zeros(1, np.uint64), 1000.0)
     best = max(ways(model, " inter").items(), key=lambda x: x[1])[0]
     assert tuple(ids) == best
+
+
+def slow_ids(model, text, seed, alpha=1.0):
+    """One text by the definition: sums over all ways to each letter, then pieces drawn from the
+    end, part by part."""
+    known = {model.bytes[int(i)].decode(): int(i) for i in model.ids if i >= 0}
+    out = []
+    for number, part in enumerate(re.findall(r"\n| +[^ \n]*|[^ \n]+", " " + text) if text else []):
+        arcs, total = [[] for _ in range(len(part) + 1)], [0.0] + [0.0] * len(part)
+        for end in range(1, len(part) + 1):
+            for size in range(1, min(model.longest, end) + 1):
+                word = part[end - size : end]
+                if word in known and chr(pieces.SPACE) not in word:
+                    arcs[end].append((size, [known[word]], alpha * float(model.log[known[word]])))
+                elif size == 1:
+                    spelt = [int(model.byte_ids[b]) for b in word.encode()]
+                    arcs[end].append((1, spelt, alpha * len(spelt) * model.byte_log))
+            most = max(total[end - size] + w for size, _, w in arcs[end])
+            total[end] = most + math.log(sum(math.exp(total[end - size] + w - most) for size, _, w in arcs[end]))
+        at, step, drawn = len(part), 0, []
+        while at:
+            left = float(pieces._draws(np.array([seed], np.uint64), np.array([number]), step)[0])
+            for size, ids, w in arcs[at]:
+                left -= math.exp(total[at - size] + w - total[at])
+                if left < 0:
+                    break
+            drawn.append(ids)
+            at, step = at - size, step + 1
+        out += [i for ids in reversed(drawn) for i in ids]
+    return out
+
+
+def test_query_by_the_definition(spark, sf_dir):
+    """Every row's pieces, by their number and hash, beside a sampler without lattices."""
+    model = pieces.model()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.xxhash64("doc_id", F.lit(0)).alias("seed")).collect()
+    made = [(r["doc_id"], slow_ids(model, r["text"] or "", r["seed"] % 2**64)) for r in docs]
+    want = spark.createDataFrame(made, "doc_id long, ids array<int>").select("doc_id", F.size("ids"), F.xxhash64("ids"))
+    got = op5_pieces(spark, sf_dir)
+    assert got.filter("not lossless").count() == 0
+    assert sorted(map(tuple, got.select("doc_id", "n_pieces", "ids_hash").collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("stretch", [1, 16, 33, 1 << 15])
+def test_long_parts(monkeypatch, stretch):
+    """Parts that go alone have the pieces of the definition, wherever stretches end."""
+    model = pieces.model()
+    rng = random.Random(stretch)
+    texts = ["".join(rng.choice("abcdeth日é") for _ in range(rng.randint(0, 120))) for _ in range(20)] + ["a b " * 9, "", "\n" * 5, "x" * 99]
+    seeds = np.arange(len(texts), dtype=np.uint64) * np.uint64(12345)
+    monkeypatch.setattr(pieces, "LONG", 7)
+    monkeypatch.setattr(pieces, "STRETCH", stretch)
+    for alpha in (1.0, 30.0):
+        ids, ends = model.sample(texts, seeds, alpha)
+        starts = [0, *ends[:-1]]
+        assert [ids[a:b].tolist() for a, b in zip(starts, ends)] == [slow_ids(model, t, int(s), alpha) for t, s in zip(texts, seeds)]
+
+
+def test_a_long_text_without_spaces_takes_no_round_for_each_letter():
+    model, rng = pieces.model(), random.Random(2)
+    text = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=400_000))
+    began = time.process_time()
+    ids, _ = model.sample([text], np.zeros(1, np.uint64), 1.0)
+    assert time.process_time() - began < 10 and model.text(ids) == text
