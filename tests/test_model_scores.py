@@ -229,3 +229,46 @@ def test_jobs_with_a_category_of_very_many_values(spark):
     people = rows.select(F.col("transaction_id").alias("customer_id"), "merchant", "customer_region", "transaction_amount", F.when(F.col("is_fraud") == 1, "Y").otherwise("N").alias("churn"))
     scored = churn.churn_model(people, categorical=("merchant", "customer_region"), numeric=("transaction_amount",), wide=("customer_region",))
     assert scored.predictions.count() == 3000 and scored.predictions.filter("probability_1 is null").count() == 0
+
+
+def test_forests_within_a_forest(spark, rows):
+    """At its own size and depth it is the model; cut down, the plain walk over its nodes."""
+    df = encoded(rows)
+    model = RandomForestClassifier(labelCol="label", numTrees=6, maxDepth=5, seed=3).fit(df)
+    scored = trees.with_smaller_forests(model.transform(df), model, [6, 2], [5, 1, 3], "within").collect()
+    nodes = {}
+    for r in trees.tree_nodes(df, model).collect():
+        nodes.setdefault(r["tree"], {})[r["node"]] = r
+
+    def plain(x, count, depth):
+        votes = np.zeros(2)
+        for tree in range(count):
+            at = nodes[tree][0]
+            for _ in range(depth):
+                if at["left"] < 0:
+                    break
+                value = x[at["feature"]]
+                left = value in at["values"] if at["categorical"] else value <= at["values"][0]
+                at = nodes[tree][at["left"] if left else at["right"]]
+            votes += np.array(at["votes"]) / sum(at["votes"])
+        return float(votes.argmax())
+
+    for r in scored:
+        within = {(f["trees"], f["depth"]): f["prediction"] for f in r["within"]}
+        assert set(within) == {(n, d) for n in (2, 6) for d in (1, 3, 5)} and within[6, 5] == r["prediction"]
+        assert all(within[n, d] == plain(r["features"].toArray(), n, d) for n, d in within)
+
+
+def test_forest_search(spark, rows):
+    """One fit for each fold; the largest point is what separate fits give, and the best one is refitted."""
+    df = encoded(rows).select("key", "features", "label")
+    forest = models.forest_classifier("label", seed=5)
+    found = tuning.forest_search(df, ["key"], forest, (3, 6), (2, 4), "label", tuning.recall_of(1.0))
+    apart = tuning.grid_search(df, ["key"], [forest], found.points, "label", tuning.recall_of(1.0))
+    largest = found.points.index({forest.numTrees: 6, forest.maxDepth: 4})
+    assert found.averages[largest] == pytest.approx(apart.averages[largest], abs=1e-12)
+    assert all(abs(a - b) < 0.15 for a, b in zip(found.averages, apart.averages))
+    best = found.points[found.best_point]
+    assert found.best.stages[0].getNumTrees == best[forest.numTrees]
+    assert sorted(r["count"] for r in found.predictions.groupBy("point", "fold").count().groupBy("point").agg(F.sum("count").alias("count")).collect()) == [600] * 4
+    assert found.scores().columns == ["numTrees", "maxDepth", "avg_metric"] or set(found.scores().columns) == {"numTrees", "maxDepth", "avg_metric"}
