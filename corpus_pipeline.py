@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywright.llm import lines, packing, quality, simhash
-from tallywright.sources.scratch import materialize
+from tallywright.sources.scratch import delete_path, materialize_alone
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -43,8 +44,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages over documents; each is stored and read again."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    """All stages over documents; each is stored and read again. A stage's table and all that it
+    stored on the way go once the next one is stored, so no more than two stages lie there."""
+    docs, before = spark.read.parquet(f"{folder}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, folder), name)
+        docs, path = materialize_alone(spark, partial(stage, spark, docs, folder), name)
+        if before is not None:
+            delete_path(spark, before)
+        before = path
     return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -25,10 +25,25 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _MADE.reset(token)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in made:
-            place = hadoop.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, through the file system that its address names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> tuple[DataFrame, str]:
+    """What ``make`` returns as a stored table, and its path. The scratch tables that were made on
+    the way are deleted once it is stored."""
+    path = scratch_path(spark, name)
+    with scratch_tables(spark):
+        made = make()
+        schema = made.schema
+        made.write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path), path
 
 
 def scratch_root(spark: SparkSession) -> str:
