@@ -19,7 +19,7 @@ END = 2
 # Pieces that one task packs together; sequences of different groups are never mixed.
 GROUP = 16384
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, spread long"
+PIECE = "piece int, start long, length long, ids_crc32 long, spread long"
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -32,7 +32,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
     """Pieces of the token ids of each row of ``docs`` (doc_id, text), a null text being
     empty. A document is its ids and then the id 2; only one longer than ``capacity``
     is cut. ``spread`` numbers the pieces over all tasks; ``ids`` are added on demand.
-    Every row counts, rows that repeat a doc_id or have none too.
+    Every row counts, rows that repeat a doc_id or have none too; a doc_id may be of any type.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,22 +40,23 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for at, text in enumerate(batch.column(1)):
                 ids = np.append(encode.ids(text.as_py()), np.uint32(END)).astype("<u4")
                 for piece, (start, length) in enumerate(cuts(len(ids), capacity)):
                     part = ids[start : start + length]
                     own = (part.view("<i4"),) if with_ids else ()
-                    rows.append((doc_id, piece, start, length, zlib.crc32(part.tobytes()), number, *own))
+                    rows.append((at, piece, start, length, zlib.crc32(part.tobytes()), number, *own))
                     number += 1
             columns = list(zip(*rows)) or [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            own_ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays([own_ids, *(pa.array(c, k) for c, k in zip(columns[1:], kinds[1:]))], names)
 
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    schema = PIECE
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {PIECE}"
+    names = ["doc_id", *(c.split()[0] for c in PIECE.split(", "))]
     if with_ids:
-        kinds, schema = [*kinds, pa.list_(pa.int32())], f"{PIECE}, ids array<int>"
-    names = [c.split()[0] for c in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
+        kinds, schema, names = [*kinds, pa.list_(pa.int32())], f"{schema}, ids array<int>", [*names, "ids"]
+    return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

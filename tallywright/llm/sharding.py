@@ -66,12 +66,12 @@ def with_shard(
 
     The table has ``slots`` rows, a number fixed by the caller and so the proven bound of
     the broadcast; each row is placed by one lookup, without a shuffle of ``df``. Columns
-    of these names are replaced.
+    of these names are replaced, key columns too, once they have told the slot.
     """
     names = sorted(set(shards))
     rows = [(i, names[s]) for i, s in enumerate(lookup_table(shards, slots).tolist())]
     table = df.sparkSession.createDataFrame(rows, f"`{slot}` int, `{output}` string")
-    placed = df.drop(output).withColumn(slot, slot_of(*keys, slots=slots))
+    placed = df.withColumn(slot, slot_of(*keys, slots=slots)).drop(output)
     return placed.join(F.broadcast(table), slot).select(*[c for c in df.columns if c not in (slot, output)], slot, output)
 
 

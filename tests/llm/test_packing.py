@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallywright.llm import packing
@@ -68,6 +69,8 @@ def test_repeated_rows_and_null_ids_and_no_rows(spark):
     assert sorted((str(r["doc_id"]), r["length"]) for r in rows) == [("1", 3), ("1", 3), ("None", 2)]
     assert {r["offset"] for r in rows} == {0, 3, 6} and len({r["sequence_id"] for r in rows}) == 1
     assert packing.packed_documents(df.limit(0)).count() == 0
+    named = packing.packed_documents(df.select(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("doc_id"), "text"))
+    assert sorted((str(r["doc_id"]), r["length"]) for r in named.collect()) == [("None", 2), ("doc 1", 3), ("doc 1", 3)]
 
 
 def best_fit_decreasing(lengths, capacity):

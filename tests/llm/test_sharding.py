@@ -60,6 +60,9 @@ def test_null_and_repeated_keys_and_clashing_names(spark):
     assert len({(r["slot"], r["shard"]) for r in rows if r["doc_id"] == 1}) == 1
     assert all(r["shard"] in "ab" for r in rows)
     assert sharding.with_shard(df.limit(0), ["doc_id"], ["a"], 7).count() == 0
+    table, slots = sharding.lookup_table(["a", "b"], 7), [r[0] for r in df.select(sharding.slot_of("shard", "slot", slots=7)).collect()]
+    by_own_names = sharding.with_shard(df, ["shard", "slot"], ["a", "b"], 7).collect()
+    assert sorted((r["slot"], r["shard"]) for r in by_own_names) == sorted((s, "ab"[table[s]]) for s in slots)
 
 
 def test_written_shards(spark, tmp_path):
