@@ -277,7 +277,7 @@ def test_sentiment(spark, tmp_path, tune):
     assert (result.grid is None) != tune
     if tune:
         assert result.grid.count() == 4
-    out = readers.read_csv(spark, str(tmp_path / "o"))
+    out = readers.read_csv(spark, str(tmp_path / "o"), multi_line=True)
     assert {(r["post_id"], r["post_text"]) for r in out.collect()} == {(r["post_id"], r["post_text"]) for r in result.scored.predictions.collect()}
     assert out.columns == ["post_id", "post_text", "sentiment", "predicted_label"]
     assert out.filter("sentiment = predicted_label").count() > 0.9 * out.count()

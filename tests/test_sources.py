@@ -82,7 +82,7 @@ def test_texts_survive_csv(spark, tmp_path):
     texts = ["plain", "two\nlines", 'a "quoted" one', "crlf\r\nend\r", "", None, "  spaces  ", "a,b;c\\", '"', "\\", "\\\"", "é😀", "x" * 100_000, "tab\t", ",", "\n"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     writers.write_csv(df, str(tmp_path / "c"), max_records=3)
-    back = {r["id"]: r["text"] for r in readers.read_csv(spark, str(tmp_path / "c"), df.schema).collect()}
+    back = {r["id"]: r["text"] for r in readers.read_csv(spark, str(tmp_path / "c"), df.schema, multi_line=True).collect()}
     assert back == dict(enumerate(texts))
 
 
