@@ -32,16 +32,21 @@ def with_softmax(df: DataFrame, weights: DataFrame, output: str, features: str =
     """An array of the probabilities of the classes: exp(b + w.x) over the sum of all classes.
     The largest margin is taken off first, so no exponential is too large."""
     classes = weights.agg(F.sort_array(F.collect_list(F.struct("class", "intercept", "weights"))).alias("all"))
-    rows = df.withColumn("_entries", filled_entries(F.col(features))).withColumn("_classes", classes.select("all").scalar())
+    own = [F.col(f"`{c}`") for c in df.columns]
 
-    def margin(of: Column) -> Column:
-        return F.aggregate("_entries", of["intercept"], lambda sum_, e: sum_ + e["value"] * F.get(of["weights"], e["index"]))
+    def margins(entries: Column) -> Column:
+        def margin(of: Column) -> Column:
+            return F.aggregate(entries, of["intercept"], lambda sum_, e: sum_ + e["value"] * F.get(of["weights"], e["index"]))
 
-    with_margins = rows.withColumn("_margins", F.transform("_classes", margin))
-    powers = with_margins.withColumn("_powers", F.transform("_margins", lambda m: F.exp(m - F.array_max("_margins"))))
+        return F.transform("_classes", margin)
+
+    # The coefficients are named once and dropped at once: so they are read in place, not copied to each row.
+    at_hand = df.withColumn("_classes", classes.select("all").scalar())
+    found = F.get(F.transform(F.array(filled_entries(F.col(features))), margins), F.lit(0))
+    with_margins = at_hand.select(*own, found.alias("_margins"))
+    powers = with_margins.select(*own, F.transform("_margins", lambda m: F.exp(m - F.array_max("_margins"))).alias("_powers"))
     total = F.aggregate("_powers", F.lit(0.0), lambda a, b: a + b)
-    found = powers.withColumn(output, F.transform("_powers", lambda p: p / total))
-    return found.drop("_entries", "_classes", "_margins", "_powers")
+    return powers.select(*own, F.transform("_powers", lambda p: p / total).alias(output))
 
 
 def likeliest(probabilities: Column) -> Column:

@@ -235,7 +235,11 @@ def test_forests_within_a_forest(spark, rows):
     """At its own size and depth it is the model; cut down, the plain walk over its nodes."""
     df = encoded(rows)
     model = RandomForestClassifier(labelCol="label", numTrees=6, maxDepth=5, seed=3).fit(df)
-    scored = trees.with_smaller_forests(model.transform(df), model, [6, 2], [5, 1, 3], "within").collect()
+    whole = {r["key"]: (r["features"].toArray(), r["prediction"]) for r in model.transform(df).collect()}
+    scored = trees.smaller_forests(df.select("key", "features", "flag"), model, [6, 2], [5, 1, 3])
+    assert scored.columns == ["key", "flag", "trees", "depth", "prediction"]
+    within = {(r["key"], r["trees"], r["depth"]): r["prediction"] for r in scored.collect()}
+    assert len(within) == 600 * 6
     nodes = {}
     for r in trees.tree_nodes(df, model).collect():
         nodes.setdefault(r["tree"], {})[r["node"]] = r
@@ -253,10 +257,25 @@ def test_forests_within_a_forest(spark, rows):
             votes += np.array(at["votes"]) / sum(at["votes"])
         return float(votes.argmax())
 
-    for r in scored:
-        within = {(f["trees"], f["depth"]): f["prediction"] for f in r["within"]}
-        assert set(within) == {(n, d) for n in (2, 6) for d in (1, 3, 5)} and within[6, 5] == r["prediction"]
-        assert all(within[n, d] == plain(r["features"].toArray(), n, d) for n, d in within)
+    for key, (x, prediction) in whole.items():
+        assert within[key, 6, 5] == prediction
+        assert all(within[key, n, d] == plain(x, n, d) for n in (2, 6) for d in (1, 3, 5))
+    assert trees.smaller_forests(df.limit(0).select("key", "features"), model, [2], [1]).collect() == []
+
+
+def test_models_are_read_in_place(spark, rows):
+    """Neither trees nor coefficients become a column that is copied to each row."""
+    df = encoded(rows)
+    forest = RandomForestClassifier(labelCol="label", numTrees=3, maxDepth=4, seed=3).fit(df)
+    price = RandomForestRegressor(labelCol="price", numTrees=3, maxDepth=4, seed=3).fit(df)
+    logistic = LogisticRegression(maxIter=3, family="multinomial").fit(df)
+    for scored, name in (
+        (trees.with_tree_probability(df, forest, "p"), "_trees"),
+        (trees.with_tree_prediction(df, price, "p"), "_trees"),
+        (linear.with_softmax(df, linear.class_weights_table(df, logistic), "p"), "_classes"),
+    ):
+        assert f"AS {name}" not in scored.select("key", "p")._jdf.queryExecution().executedPlan().toString()
+        assert f"AS {name}" not in scored._jdf.queryExecution().executedPlan().toString()
 
 
 def test_forest_search(spark, rows):
