@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -17,7 +18,13 @@ class Recommendations:
     predictions: DataFrame
     comparison: DataFrame
     metrics: DataFrame
-    top: DataFrame
+    k: int
+    users: DataFrame | None
+
+    @cached_property
+    def top(self) -> DataFrame:
+        """The ``k`` best products of each of the users, found when they are first asked for."""
+        return recommend.top_items(self.model, self.k, self.users)
 
 
 def recommendations(
@@ -52,5 +59,6 @@ def recommendations(
             predictions, "rating", "rounded", ("Actual_Rating", "Predicted_Rating"), "Count"
         ).orderBy("Actual_Rating", "Predicted_Rating"),
         metrics.regression_metrics(predictions, "rating", "rounded" if rounded else "prediction"),
-        recommend.top_items(model, k, users),
+        k,
+        users,
     )
