@@ -290,6 +290,54 @@ def op13_resample(spark: SparkSession, folder: str) -> DataFrame:
     return resample.ranked(rows).drop("row")
 
 
+# CRC-32 byte by byte, by a table that the first steps make; 3988292384 is its reversed polynomial.
+OP13_SQL = r"""
+with recursive steps(byte, step, v) as (
+    select i, 0, i::bigint from range(256) t(i) union all
+    select byte, step + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from steps where step < 8),
+crc_table as (select list(v order by byte) as entries from steps where step = 8),
+cut as (
+    select 'd' as side, row_number() over () as id, doc_id, text from documents union all
+    select 't', row_number() over (), null, text from benchmark),
+worded as (
+    select side, id, doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from cut),
+placed as (select side, id, w, size, unnest(generate_series(1, len(w) - size + 1)) as i from worded, (values (1), (2), (3)) t(size)),
+counted as (select side, id, array_to_string(w[i:i + size - 1], ' ') as run, count(*) as n from placed group by all),
+spelt as (select run, hex(encode(run)) as h from (select distinct run from counted)),
+hashed as (
+    select run, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::bigint)),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+    from spelt, crc_table),
+features as (select side, id, bucket, sum(n)::bigint as n from counted join hashed using (run) group by all),
+totals as (
+    select coalesce(sum(n) filter (where side = 'd'), 0)::double as s_all, coalesce(sum(n) filter (where side = 't'), 0)::double as t_all
+    from features),
+buckets as (
+    select bucket, coalesce(sum(n) filter (where side = 'd'), 0)::double as s, coalesce(sum(n) filter (where side = 't'), 0)::double as t
+    from features group by bucket),
+gains as (
+    select bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::bigint as gain from buckets, totals),
+weights as (
+    select id, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight from features join gains using (bucket)
+    where side = 'd' group by id),
+scored as (
+    select doc_id, len(w) >= 20 as able, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(doc_id::varchar, ''))[1:8])::bigint + 0.5::double)
+                                                      / 4294967296.0::double)))::bigint as score
+    from worded left join weights using (id) where side = 'd'),
+ranked as (
+    select *, row_number() over (partition by able order by score desc, doc_id, n_features) as place,
+           (5 * count(*) filter (where able) over ()) // 100 as drawn
+    from scored)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score::bigint as score,
+       case when able and place <= drawn then place::bigint end as rank
+from ranked
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -312,4 +360,5 @@ ORACLES: dict[str, str] = {
     "op10_top_k": OP10_SQL,
     "op11_decontamination": OP11_SQL,
     "op12_middle": OP12_SQL,
+    "op13_resample": OP13_SQL,
 }
