@@ -81,3 +81,13 @@ def test_large_folds_follow_one_another(rows, monkeypatch):
     df = rows.select("key", "features", "label")
     tuning.forest_search(df, ["key"], forest, (2,), (2,), "label", tuning.recall_of(1.0), partitions=models.PARTITIONS + 1)
     assert len(seen) == 4 and at_once[1] == 1
+
+
+def test_trees_are_walked_by_batch(rows):
+    """No walk by expressions, row by row."""
+    model = RandomForestClassifier(labelCol="label", numTrees=5, maxDepth=4, seed=3).fit(rows)
+    again = trees.with_tree_probability(model.transform(rows), model, "again")
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+    found = again.select("again", vector_to_array("probability")[1].alias("p")).collect()
+    assert len(found) == 400 and all(r["again"] == pytest.approx(r["p"], abs=1e-12) for r in found)
