@@ -58,6 +58,19 @@ def test_nodes_are_kept_up_to_a_bound(rows, monkeypatch):
     assert without.toDebugString.split("\n")[1:] == piped.toDebugString.split("\n")[1:] == kept.toDebugString.split("\n")[1:]
 
 
+def test_vectors_are_made_once(rows, monkeypatch):
+    """A forest at the end of a pipeline reads kept vectors, and is that of the plain pipeline."""
+    forest, fit, seen = models.forest_classifier("label", trees=4, depth=3), RandomForestClassifier.fit, []
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=["y", "x"], outputCol="features"), forest])
+    with models.training_rows(rows.select("key", "x", "y", "label"), ["key"]) as placed:
+        plain = pipeline.fit(placed)
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: seen.append((df.storageLevel.useMemory, df.columns)) or fit(self, df))
+    found = models.fit(pipeline, rows, ["x", "y", "label"], ["key"])
+    assert seen == [(True, ["features", "label"])] and len(found.stages) == 2
+    assert found.stages[1].toDebugString.split("\n")[1:] == plain.stages[1].toDebugString.split("\n")[1:]
+    assert found.transform(rows.select("x", "y")).count() == 400
+
+
 @pytest.mark.parametrize("search", ["forest", "grid"])
 def test_searches_keep_no_more(rows, monkeypatch, search):
     """The largest forest of the grid decides, and figures are the same."""

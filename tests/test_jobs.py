@@ -69,6 +69,16 @@ def test_price_model_learns_the_city(spark):
     assert result.metrics.first()["rmse"] < spread * 0.8
 
 
+def test_price_model_stores_the_parts(spark, monkeypatch):
+    """Neither the fit nor its checks hash the keys again."""
+    clean, seen, fit = sales.clean_sales(sales_rows(spark)), [], sales.models.fit
+    monkeypatch.setattr(sales.models, "fit", lambda pipeline, train, *rest: seen.append(train) or fit(pipeline, train, *rest))
+    found = sales.price_model(clean, ["order_id"], trees=1, depth=1)
+    train, test = sales.split.hash_split(clean, ["order_id"], (0.8, 0.2), 42)
+    assert "md5" not in seen[0]._jdf.queryExecution().toString() and "_part" not in found.predictions.columns
+    assert seen[0].count() == train.count() and found.predictions.count() == test.count()
+
+
 def test_price_model_guards(spark):
     clean = sales.clean_sales(sales_rows(spark))
     one_city = clean.withColumn("city", F.lit("x"))
