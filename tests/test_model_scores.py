@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, OneHotEncoder, StringIndexer, VectorAssembler
@@ -108,6 +108,35 @@ def posts(spark):
     )
 
 
+class Noted(Transformer):
+    """Adds one to each number, and to ``seen`` for each row it makes."""
+
+    def __init__(self, seen):
+        super().__init__()
+        self.seen = seen
+
+    def _transform(self, df):
+        seen = self.seen
+
+        def more(x):
+            seen.add(1)
+            return x + 1.0
+
+        return df.withColumn("y", F.udf(more, "double")("x"))
+
+
+def test_grid_search_transforms_rows_once(spark):
+    """Not for each fold, grid point, and score."""
+    i = F.col("id")
+    train = spark.range(300).select(i.alias("key"), (F.abs(F.hash("id")) % 50).cast("double").alias("x"), (i % 2).cast("double").alias("label"))
+    assembler, regression = VectorAssembler(inputCols=["y"], outputCol="features"), LogisticRegression(labelCol="label", maxIter=3)
+    points, seen = [{regression.regParam: r} for r in (0.01, 0.1)], spark.sparkContext.accumulator(0)
+    found = tuning.grid_search(train, ["key"], [Noted(seen), assembler, regression], points, "label", tuning.weighted_f1)
+    assert seen.value == 300 and found.predictions.count() == 600 and len(found.best.stages) == 3
+    plain = tuning.grid_search(train.withColumn("y", F.col("x") + 1), ["key"], [assembler, regression], points, "label", tuning.weighted_f1)
+    assert found.averages == plain.averages
+
+
 def test_grid_search_is_that_of_the_cross_validator(spark):
     """Same averages, and what grid points share is fitted once for each fold."""
     train = posts(spark)
