@@ -137,6 +137,29 @@ def test_grid_search_transforms_rows_once(spark):
     assert found.averages == plain.averages
 
 
+def test_grid_search_keeps_no_words(spark, monkeypatch):
+    """Neither the words nor counts that a later fit does not read are kept."""
+    seen, keep = [], models.kept
+    monkeypatch.setattr(models, "kept", lambda df: seen.append(df.columns) or keep(df))
+    monkeypatch.setattr(tuning, "kept", models.kept)
+    counts, regression = HashingTF(inputCol="words", outputCol="tf", numFeatures=16), models.logistic("label", 3)
+    points = ParamGridBuilder().addGrid(counts.numFeatures, [8, 16]).addGrid(regression.regParam, [0.01, 0.1]).build()
+    tuning.grid_search(posts(spark), ["key"], [counts, text.idf("tf", "features"), regression], points, "label", tuning.weighted_f1)
+    assert sorted(map(sorted, seen)) == [["_fold", "features", "key", "label"]] * 6 + [["_fold", "key", "label", "tf"]] * 2
+
+
+def test_partitions_follow_the_bytes_of_lists(spark, monkeypatch):
+    """Few rows of many words lie in as many partitions as keep each small."""
+    rows = posts(spark)
+    n_bytes = sum(sum(8 + len(w) for w in r["words"]) for r in rows.collect())
+    assert models.partitions_of(rows) == models.partitions_of(rows.limit(0)) == 16
+    for per, partitions in ((n_bytes // 16 + 1, 16), (n_bytes // 17, 32), (n_bytes // 60, 64)):
+        monkeypatch.setattr(models, "BYTES_PER_PARTITION", per)
+        assert models.partitions_of(rows) == partitions and models.partitions_of(rows.select("key")) == 16
+        with models.training_rows(rows, ["key"]) as placed:
+            assert placed.rdd.getNumPartitions() == partitions
+
+
 def test_grid_search_is_that_of_the_cross_validator(spark):
     """Same averages, and what grid points share is fitted once for each fold."""
     train = posts(spark)
